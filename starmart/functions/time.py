@@ -31,42 +31,36 @@ def duration_sec(start: Column, end: Column) -> Column:
     return (F.unix_timestamp(end) - F.unix_timestamp(start)).cast("int")
 
 
+def quotient(number: Column, by: int) -> Column:
+    """Whole-number division."""
+    return F.call_function("div", number, F.lit(by)).cast("int")
+
+
 def key_hour(key: Column) -> Column:
-    return F.floor(key / 10000).cast("int")
+    return quotient(key, 10000)
 
 
 def valid_time_key(key: Column) -> Column:
     """True for a key that names a second of the day; NULL for a NULL key."""
-    return (key >= 0) & (key_hour(key) < 24) & ((F.floor(key / 100) % 100) < 60) & ((key % 100) < 60)
+    in_hour = (quotient(key, 100) % 100 < 60) & (key % 100 < 60)
+    return (key >= 0) & (key < 240000) & in_hour
 
 
-def key_date(key: Column) -> Column:
-    """The date of a yyyyMMdd key; NULL if there is no such day."""
-    day = F.try_to_date(F.lpad(key.cast("string"), 8, "0"), "yyyyMMdd")
-    return F.when(key > 0, day)
+def _stamp(date: Column, hour: Column, minute: Column, second: Column) -> Column:
+    """NULL if any part is missing or the yyyyMMdd key names no day."""
+    year, month, day = quotient(date, 10000), quotient(date, 100) % 100, date % 100
+    return F.try_make_timestamp_ntz(year, month, day, hour, minute, second.cast("decimal(16,6)"))
 
 
 def keys_to_timestamp(date: Column, time: Column) -> Column:
     """Timestamp of a date key and a time key; NULL if either is NULL or names no day or second."""
-    day = key_date(date)
-    stamp = F.try_make_timestamp_ntz(
-        F.year(day),
-        F.month(day),
-        F.dayofmonth(day),
-        key_hour(time),
-        (F.floor(time / 100) % 100).cast("int"),
-        (time % 100).cast("decimal(16,6)"),
-    )
+    stamp = _stamp(date, key_hour(time), quotient(time, 100) % 100, time % 100)
     return F.when(valid_time_key(time), stamp)
 
 
 def keys_to_hour(date: Column, hour: Column) -> Column:
     """Start of an hour from a date key and the hour of day."""
-    day = key_date(date)
-    zero = F.lit(0)
-    return F.try_make_timestamp_ntz(
-        F.year(day), F.month(day), F.dayofmonth(day), hour, zero, zero.cast("decimal(16,6)")
-    )
+    return _stamp(date, hour, F.lit(0), F.lit(0))
 
 
 def hour_start(ts: Column) -> Column:

@@ -34,8 +34,9 @@ def _as(raw: DataFrame, name: str, kind: str) -> Column:
     source = raw.schema[name].dataType.simpleString()
     if source == kind:
         return F.col(name)
-    # A decimal target rounds half away from zero; numbers to text or wider numbers cannot fail.
-    return F.col(name).try_cast(kind)
+    # Text takes any value, so a plain cast keeps the key expression simple. A decimal target rounds
+    # half away from zero.
+    return F.col(name).cast(kind) if kind == "string" else F.col(name).try_cast(kind)
 
 
 def cast_failures(raw: DataFrame, spec: StagingSpec) -> DataFrame:

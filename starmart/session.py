@@ -20,7 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": BROADCAST_BYTES,
     "spark.sql.adaptive.autoBroadcastJoinThreshold": BROADCAST_BYTES,
-    "spark.sql.parquet.filterPushdown": "true",
+    # Recording the Python call site of every column expression costs most of the plan-building time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
