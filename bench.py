@@ -68,8 +68,9 @@ class Stored:
     def fresh_mart(self) -> DataFrame:
         return build_mart(self.trips, self.dims["dim_route"], AS_OF)
 
-    def star(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-        return self.trips, self.dims["dim_route"], self.date, self.time
+    def star(self, joined: bool = False) -> tuple[DataFrame | None, ...]:
+        """Facts and routes; with ``joined`` also calendar and clock, to look the keys up there."""
+        return self.trips, self.dims["dim_route"], *((self.date, self.time) if joined else (None, None))
 
 
 def headline(s: Stored) -> dict[str, tuple[Callable[[], DataFrame], Callable[[DataFrame], None]]]:
@@ -86,6 +87,8 @@ def headline(s: Stored) -> dict[str, tuple[Callable[[], DataFrame], Callable[[Da
         "route_hour_mart_5000": (lambda: analytics.route_hour(s.mart, AS_OF, 7, 5000, wide), fetch),
         "route_hour_star_5000": (
             lambda: analytics.star_route_hour(*s.star(), AS_OF, 7, 5000, wide), fetch),
+        "route_hour_star_joined_5000": (
+            lambda: analytics.star_route_hour(*s.star(True), AS_OF, 7, 5000, wide), fetch),
         "peak_hour_share": (lambda: analytics.peak_hours(s.mart, AS_OF), fetch),
         "weekly_trend": (lambda: analytics.weekly_trend(s.mart, AS_OF), fetch),
         "dwh_peak_hour_share": (lambda: analytics.star_peak_hours(*s.star(), AS_OF), fetch),

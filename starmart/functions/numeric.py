@@ -1,23 +1,19 @@
-"""Rounding, ratios and tolerant casts."""
+"""Rounding, averages and tolerant casts; arguments are SQL expressions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starmart.functions import sqltext
 
-def rounded(value: Column, digits: int) -> Column:
-    """Round half away from zero on the decimal value, so 1.005 becomes 1.01; result is double."""
-    return F.round(value.cast("decimal(28,8)"), digits).cast("double")
 
+def rounded(value: str, digits: int) -> Column:
+    return F.expr(sqltext.rounded(value, digits))
 
-def ratio(part: Column, whole: Column) -> Column:
-    """Quotient as double; NULL instead of an error when the divisor is zero."""
-    return part.cast("double") / F.nullif(whole, F.lit(0)).cast("double")
 
-
-def mean(total: Column, n: Column) -> Column:
-    """Average from an exact sum and a count, NULL for an empty or all-NULL group."""
-    return ratio(total, n)
+def mean(column: str, digits: int) -> Column:
+    """Rounded average of an aggregation."""
+    return F.expr(sqltext.rounded(sqltext.mean(column), digits))
 
 
 def coerce(df: DataFrame, types: dict[str, str]) -> DataFrame:

@@ -1,80 +1,37 @@
-"""Integer date/time keys, durations, hours and weeks on zone-less timestamps.
-
-Everything is integer arithmetic inside whole-stage codegen: no formatting to text and no detour over
-the session time zone.
-"""
+"""The date and key expressions of ``sqltext`` as columns; arguments are SQL expressions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from starmart.functions import sqltext
+
 NTZ = "timestamp_ntz"
 
 
 def ntz(value) -> Column:
-    """A literal (text or datetime) as a zone-less timestamp."""
-    return F.lit(str(value)).cast(NTZ)
-
-
-def date_key(ts: Column) -> Column:
-    """yyyyMMdd as int."""
-    return (F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)).cast("int")
-
-
-def time_key(ts: Column) -> Column:
-    """HHmmss as int; leading zeros are lost (05:00:03 is 50003)."""
-    return (F.hour(ts) * 10000 + F.minute(ts) * 100 + F.second(ts)).cast("int")
-
-
-def duration_sec(start: Column, end: Column) -> Column:
-    """Difference of the whole epoch seconds; negative when the end lies before the start."""
-    return (F.unix_timestamp(end) - F.unix_timestamp(start)).cast("int")
-
-
-def quotient(number: Column, by: int) -> Column:
-    """Whole-number division."""
-    return F.call_function("div", number, F.lit(by)).cast("int")
-
-
-def key_hour(key: Column) -> Column:
-    return quotient(key, 10000)
+    return F.expr(sqltext.ntz(value))
 
 
-def valid_time_key(key: Column) -> Column:
-    """True for a key that names a second of the day; NULL for a NULL key."""
-    in_hour = (quotient(key, 100) % 100 < 60) & (key % 100 < 60)
-    return (key >= 0) & (key < 240000) & in_hour
+def date_key(ts: str) -> Column:
+    return F.expr(sqltext.date_key(ts))
 
 
-def _stamp(date: Column, hour: Column, minute: Column, second: Column) -> Column:
-    """NULL if any part is missing or the yyyyMMdd key names no day."""
-    year, month, day = quotient(date, 10000), quotient(date, 100) % 100, date % 100
-    return F.try_make_timestamp_ntz(year, month, day, hour, minute, second.cast("decimal(16,6)"))
+def time_key(ts: str) -> Column:
+    return F.expr(sqltext.time_key(ts))
 
 
-def keys_to_timestamp(date: Column, time: Column) -> Column:
-    """Timestamp of a date key and a time key; NULL if either is NULL or names no day or second."""
-    stamp = _stamp(date, key_hour(time), quotient(time, 100) % 100, time % 100)
-    return F.when(valid_time_key(time), stamp)
+def duration_sec(start: str, end: str) -> Column:
+    return F.expr(sqltext.duration_sec(start, end))
 
 
-def keys_to_hour(date: Column, hour: Column) -> Column:
-    """Start of an hour from a date key and the hour of day."""
-    return _stamp(date, hour, F.lit(0), F.lit(0))
+def keys_to_timestamp(date: str, time: str) -> Column:
+    return F.expr(sqltext.keys_to_timestamp(date, time))
 
 
-def hour_start(ts: Column) -> Column:
-    zero = F.lit(0)
-    return F.make_timestamp_ntz(
-        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), zero, zero.cast("decimal(16,6)")
-    )
+def hour_start(ts: str) -> Column:
+    return F.expr(sqltext.hour_start(ts))
 
 
-def week_start(day: Column, first: str = "monday") -> Column:
-    """First day of the week as a date; weeks begin on ``monday`` or ``sunday``."""
-    day = day.cast("date")
-    if first == "monday":
-        return F.date_sub(day, F.weekday(day))
-    if first == "sunday":
-        return F.date_sub(day, F.dayofweek(day) - 1)
-    raise ValueError(f"first must be 'monday' or 'sunday', not {first!r}")
+def week_start(day: str, first: str = "monday") -> Column:
+    return F.expr(sqltext.week_start(day, first))

@@ -13,7 +13,7 @@ def describe_days(days: DataFrame, day: str = "full_date") -> DataFrame:
     d = F.col(day)
     iso_day = F.weekday(d) + 1
     return days.select(
-        date_key(d).alias("date_key"),
+        date_key(day).alias("date_key"),
         d.alias("full_date"),
         F.year(d).cast("smallint").alias("year"),
         F.quarter(d).cast("smallint").alias("quarter"),

@@ -40,7 +40,7 @@ class FactSpec:
 
 
 def trip_spec() -> FactSpec:
-    start, end = F.col("start_ts"), F.col("end_ts")
+    start, end = "start_ts", "end_ts"
     return FactSpec(
         "fact_trip",
         (
@@ -65,7 +65,7 @@ def trip_spec() -> FactSpec:
 
 
 def payment_spec() -> FactSpec:
-    at = F.col("created_at")
+    at = "created_at"
     return FactSpec(
         "fact_payment",
         (
@@ -84,7 +84,7 @@ def payment_spec() -> FactSpec:
 
 
 def position_spec() -> FactSpec:
-    at = F.col("event_ts")
+    at = "event_ts"
     return FactSpec(
         "fact_vehicle_position",
         (

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from starmart.functions.numeric import mean
-from starmart.functions.time import key_hour, keys_to_hour, ntz, valid_time_key
+from starmart.functions import sqltext as x
 from starmart.operators.dedup import latest_by_key
-from starmart.tables import MART_KEY, MART_SCHEMA, STATUS_CANCELED, STATUS_COMPLETED
+from starmart.tables import MART_KEY, STATUS_CANCELED, STATUS_COMPLETED
 
 ROUTE_COLUMNS = ("route_id_nat", "route_code", "route_name", "route_type")
 
 
-def status_count(statuses: Iterable[str]) -> Column:
-    return F.count_if(F.col("trip_status").isin(*statuses))
+MEASURES = {"duration": "trip_duration_sec", "distance": "distance_meters", "fare": "fare_amount"}
+
+
+def _status_count(statuses: Sequence[str]) -> str:
+    return f"count_if(trip_status in ({', '.join(repr(s) for s in statuses)}))"
 
 
 def route_hour_sums(
@@ -28,66 +30,52 @@ def route_hour_sums(
     Grouping by three integers before any join keeps the hash table narrow, and partial aggregation
     folds a hot route inside the map tasks.
     """
-    valid = fact_trip.filter(valid_time_key(F.col("start_time_key")))
-    return (
-        valid.groupBy("route_sk", "start_date_key", key_hour(F.col("start_time_key")).alias("_hour"))
-        .agg(
-            F.count("*").alias("trips_total"),
-            status_count(completed).alias("trips_completed"),
-            status_count(canceled).alias("trips_canceled"),
-            F.sum("trip_duration_sec").alias("_duration"),
-            F.count("trip_duration_sec").alias("_duration_n"),
-            F.sum("distance_meters").alias("_distance"),
-            F.count("distance_meters").alias("_distance_n"),
-            F.sum("fare_amount").alias("_fare"),
-            F.count("fare_amount").alias("_fare_n"),
-        )
-        .withColumn("start_hour", keys_to_hour(F.col("start_date_key"), F.col("_hour")))
-        .filter(F.col("start_hour").isNotNull())
-        .drop("start_date_key", "_hour")
-    )
-
-
-def build_mart(fact_trip: DataFrame, dim_route: DataFrame, as_of, version: str = "current", **statuses) -> DataFrame:
+    sums = [f"sum({c}) as {m}_sum, count({c}) as {m}_n" for m, c in MEASURES.items()]
+    return fact_trip.sparkSession.sql(f"""
+        select * except (start_date_key, hour) from (
+            select *, {x.keys_to_hour('start_date_key', 'hour')} as start_hour from (
+                select route_sk, start_date_key, {x.key_hour('start_time_key')} as hour,
+                       count(*) as trips_total, {_status_count(completed)} as trips_completed,
+                       {_status_count(canceled)} as trips_canceled, {', '.join(sums)}
+                from {{fact}} where {x.valid_time_key('start_time_key')} group by all))
+        where start_hour is not null""", fact=fact_trip)
+
+
+def build_mart(
+    fact_trip: DataFrame, dim_route: DataFrame, as_of, version: str = "current", **statuses
+) -> DataFrame:
     """Hourly measures per route.
 
     ``version='current'`` keeps only facts that point to a current route version, so facts of older
     versions leave the mart. ``version='by_key'`` books them on the current version of their route.
     """
-    sums = route_hour_sums(fact_trip, **statuses)
-    current = dim_route.filter("is_current")
+    route = ", ".join(ROUTE_COLUMNS)
     if version == "current":
-        routes = current.select("route_sk", *ROUTE_COLUMNS)
+        keyed = f"select route_sk, {route} from {{routes}} where is_current"
     elif version == "by_key":
-        all_keys = dim_route.select("route_sk", "route_id_nat")
-        routes = all_keys.join(current.select(*ROUTE_COLUMNS), "route_id_nat")
+        keyed = f"""select route_sk, {route} from (select route_sk, route_id_nat from {{routes}})
+                    join (select {route} from {{routes}} where is_current) using (route_id_nat)"""
     else:
         raise ValueError(f"version must be 'current' or 'by_key', not {version!r}")
-    measures = [c for c in sums.columns if c not in ("route_sk", "start_hour")]
-    merged = sums.join(routes, "route_sk").groupBy(*ROUTE_COLUMNS, "start_hour").agg(
-        *(F.sum(c).alias(c) for c in measures)
-    )
-    return merged.select(
-        *ROUTE_COLUMNS,
-        "start_hour",
-        "trips_total",
-        "trips_completed",
-        "trips_canceled",
-        mean(F.col("_duration"), F.col("_duration_n")).alias("avg_trip_duration_sec"),
-        F.col("_distance").cast("double").alias("total_distance_m"),
-        mean(F.col("_distance"), F.col("_distance_n")).alias("avg_distance_m"),
-        F.col("_fare").cast("double").alias("total_fare_amount"),
-        mean(F.col("_fare"), F.col("_fare_n")).alias("avg_fare_amount"),
-        ntz(as_of).alias("etl_loaded_at"),
-    )
+    mean = {m: x.ratio(f"sum({m}_sum)", f"sum({m}_n)") for m in MEASURES}
+    return fact_trip.sparkSession.sql(f"""
+        select {route}, start_hour, sum(trips_total) as trips_total,
+               sum(trips_completed) as trips_completed, sum(trips_canceled) as trips_canceled,
+               {mean['duration']} as avg_trip_duration_sec,
+               cast(sum(distance_sum) as double) as total_distance_m,
+               {mean['distance']} as avg_distance_m,
+               cast(sum(fare_sum) as double) as total_fare_amount,
+               {mean['fare']} as avg_fare_amount,
+               {x.ntz(as_of)} as etl_loaded_at
+        from {{sums}} join ({keyed}) using (route_sk)
+        group by {route}, start_hour""", sums=route_hour_sums(fact_trip, **statuses), routes=dim_route)
 
 
 def dropped_hours(fact_trip: DataFrame) -> DataFrame:
     """How many fact rows there are and how many have no valid hour, in one pass."""
-    date, time = F.col("start_date_key"), F.col("start_time_key")
-    hour = F.when(valid_time_key(time), keys_to_hour(date, key_hour(time)))
-    return fact_trip.agg(
-        F.count("*").alias("rows_total"), F.count_if(hour.isNull()).alias("rows_without_hour")
+    at = x.keys_to_timestamp("start_date_key", "start_time_key")
+    return fact_trip.selectExpr(f"{at} as at").agg(
+        F.count("*").alias("rows_total"), F.count_if(F.col("at").isNull()).alias("rows_without_hour")
     )
 
 
@@ -95,6 +83,3 @@ def replace_by_key(mart: DataFrame, keys: Sequence[str] = MART_KEY) -> DataFrame
     """Of rows with the same key keep the one loaded last."""
     return latest_by_key(mart, list(keys), ["etl_loaded_at"])
 
-
-def mart_columns() -> list[str]:
-    return list(MART_SCHEMA)

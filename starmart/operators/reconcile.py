@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from starmart.functions.numeric import coerce, mean, rounded
+from starmart.functions.numeric import coerce, mean
 
 KEYS = ("route_code", "start_hour")
 # Names of the difference columns and the measures they compare.
@@ -77,8 +77,7 @@ def route_series(compared: DataFrame, digits: int = 4) -> DataFrame:
     """Per route: trips of both sides, their difference, and unweighted means of hourly means."""
 
     def hourly_mean(column: str, name: str):
-        exact = F.col(column).cast("decimal(24,8)")
-        return rounded(mean(F.sum(exact), F.count(column)), digits).alias(name)
+        return mean(f"cast({column} as decimal(24,8))", digits).alias(name)
 
     return (
         compared.groupBy("route_code")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from starmart.functions.fingerprint import DNS_NAMESPACE, digest_to_uuid_hex, uuid5_hex
-from starmart.functions.numeric import mean, rounded
+from starmart.functions.numeric import mean
 from starmart.operators.ranking import ranked_within
 
 # Centre of a route none of whose stops has a coordinate.
@@ -71,8 +71,7 @@ def geometry(sequenced: DataFrame, stops: DataFrame) -> DataFrame:
     located = sequenced.join(places, F.col("stop_id") == F.col("_stop"), "left")
 
     def centre(column: str, fallback: float, name: str):
-        average = rounded(mean(F.sum(column), F.count(column)), 6)
-        return F.coalesce(average, F.lit(fallback)).alias(name)
+        return F.coalesce(mean(column, 6), F.lit(fallback)).alias(name)
 
     return located.groupBy("route_id").agg(
         centre("latitude", FALLBACK_LATITUDE, "center_lat"),

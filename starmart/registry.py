@@ -55,9 +55,9 @@ def stage_batch_filter(d: Domain) -> DataFrame:
 
 @query("scalar_date_keys")
 def scalar_date_keys(d: Domain) -> DataFrame:
-    start = F.col("start_ts")
     return d.trips().select(
-        "trip_id", tm.date_key(start).alias("start_date_key"), tm.time_key(start).alias("start_time_key")
+        "trip_id", tm.date_key("start_ts").alias("start_date_key"),
+        tm.time_key("start_ts").alias("start_time_key"),
     )
 
 
@@ -65,27 +65,25 @@ def scalar_date_keys(d: Domain) -> DataFrame:
 def scalar_duration(d: Domain) -> DataFrame:
     lines, orders = d.table("lineitem"), d.table("orders")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    seconds = tm.duration_sec(F.col("o_orderdate"), F.col("l_shipdate"))
+    seconds = tm.duration_sec("o_orderdate", "l_shipdate")
     return joined.select("l_orderkey", "l_linenumber", seconds.alias("duration_sec"))
 
 
 @query("scalar_key_to_timestamp")
 def scalar_key_to_timestamp(d: Domain) -> DataFrame:
-    start = F.col("start_ts")
     keyed = d.trips().select(
-        "trip_id", tm.date_key(start).alias("dk"),
-        F.when(F.col("trip_status") != "canceled", tm.time_key(start)).alias("tk"),
+        "trip_id", tm.date_key("start_ts").alias("dk"),
+        F.when(F.col("trip_status") != "canceled", tm.time_key("start_ts")).alias("tk"),
     )
-    stamped = keyed.withColumn("start_ts", tm.keys_to_timestamp(F.col("dk"), F.col("tk")))
-    return stamped.select("trip_id", "start_ts", tm.hour_start(F.col("start_ts")).alias("start_hour"))
+    stamped = keyed.withColumn("start_ts", tm.keys_to_timestamp("dk", "tk"))
+    return stamped.select("trip_id", "start_ts", tm.hour_start("start_ts").alias("start_hour"))
 
 
 @query("scalar_week_start")
 def scalar_week_start(d: Domain) -> DataFrame:
-    ts = F.col("ts")
     return d.table("events").select(
-        "event_id", tm.week_start(ts, "monday").alias("week_monday"),
-        tm.week_start(ts, "sunday").alias("week_sunday"),
+        "event_id", tm.week_start("ts", "monday").alias("week_monday"),
+        tm.week_start("ts", "sunday").alias("week_sunday"),
     )
 
 
@@ -119,7 +117,7 @@ def dim_date_insert(d: Domain) -> DataFrame:
 @query("dim_time")
 def dim_time(d: Domain) -> DataFrame:
     """The clock with the number of trips that start at each second of the day."""
-    starts = d.trips().groupBy(tm.time_key(F.col("start_ts")).alias("time_key")).agg(
+    starts = d.trips().groupBy(tm.time_key("start_ts").alias("time_key")).agg(
         F.count("*").alias("trips")
     )
     return cal.clock(d.spark).join(starts, "time_key", "left").withColumn(
@@ -262,7 +260,7 @@ _AVERAGES = ("avg_trip_duration_sec", "avg_distance_m", "avg_fare_amount")
 @query("mart_route_hour")
 def mart_route_hour(d: Domain) -> DataFrame:
     mart = d.mart().drop("etl_loaded_at")
-    return mart.withColumns({c: rounded(F.col(c), 4) for c in _AVERAGES})
+    return mart.withColumns({c: rounded(c, 4) for c in _AVERAGES})
 
 
 @query("mart_replace_by_key")
@@ -279,7 +277,7 @@ def mart_replace_by_key(d: Domain) -> DataFrame:
 @query("mart_latest")
 def mart_latest(d: Domain) -> DataFrame:
     top = analytics.latest_hours(d.mart())
-    return top.withColumn("avg_trip_duration_sec", rounded(F.col("avg_trip_duration_sec"), 4))
+    return top.withColumn("avg_trip_duration_sec", rounded("avg_trip_duration_sec", 4))
 
 
 @query("route_hour_7d")
@@ -330,7 +328,7 @@ def reconcile_route_hour(d: Domain) -> DataFrame:
     compared = reconcile.compare(*d.both_sources())
     return compared.select(
         "route_code", "start_hour", "trips_diff",
-        *(rounded(F.col(c), 2).alias(c) for c in ("fare_diff", "duration_diff")),
+        *(rounded(c, 2).alias(c) for c in ("fare_diff", "duration_diff")),
     )
 
 
@@ -372,7 +370,7 @@ def dq_foreign_key(d: Domain) -> DataFrame:
     stops = quality.foreign_key(
         d.staged(t.TRIP), "destination_stop_id", d.dims["dim_stop"], "stop_id_nat", "trip_destination_stop"
     )
-    paid = d.staged(t.PAYMENT).withColumn("payment_date_key", tm.date_key(F.col("created_at")))
+    paid = d.staged(t.PAYMENT).withColumn("payment_date_key", tm.date_key("created_at"))
     days = quality.foreign_key(
         paid, "payment_date_key", cal.calendar(d.spark), "date_key", "payment_date"
     )
