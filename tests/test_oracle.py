@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import numbers
 import os
 
 import duckdb
@@ -31,11 +32,11 @@ def duck():
 
 
 def plain(value):
-    if value is None or value is pd.NaT or value != value:
+    if value is None or value is pd.NaT or value is pd.NA or value != value:
         return None
     if isinstance(value, (datetime.date, pd.Timestamp)):
         return str(pd.Timestamp(value))
-    if isinstance(value, (float, decimal.Decimal)):
+    if isinstance(value, (numbers.Number, decimal.Decimal)) and not isinstance(value, bool):
         return repr(float(value))
     return str(value)
 
