@@ -5,10 +5,12 @@ from helpers import frame, rows, texts
 from pyspark.sql import functions as F
 
 from starmart import tables as t
+from starmart.__main__ import main as cli
 from starmart.operators import facts
 from starmart.plans import analytics
 from starmart.plans.warehouse import Warehouse, load_batch
 from starmart.sources import tables as io
+from starmart.streaming.positions import load_positions, read_feed
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -83,6 +85,38 @@ def test_partitions_are_pruned(spark, loaded, capsys):
     assert "etl_batch_id" in capsys.readouterr().out.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_comparison_report(spark, loaded, tmp_path):
+    done = cli(["compare", "--root", loaded[1], "--snapshot", "b1", "--out", str(tmp_path), "--as-of", "2024-01-31"])
+    assert done["star_rows"] == done["mart_rows"] == 2
+    compared = spark.read.option("header", True).csv(str(tmp_path / "route_hour_comparison"))
+    assert rows(compared, "route_code", "status", "trips_diff", "fare_diff") == [
+        ("B001", "matched", "0", "0.0"), ("T001", "matched", "0", "0.0")]
+    assert spark.read.json(str(tmp_path / "performance_metrics")).first().star_rows == 2
+
+
+def test_streamed_positions_equal_the_batch_load(spark, loaded, tmp_path):
+    raw, root, _ = loaded
+    house = Warehouse(spark, root)
+    spec = facts.position_spec()
+    batch = texts(house.facts(spec, t.VEHICLE_POSITION).drop("etl_batch_id"))
+    # A house that shares the dimensions but has no positions yet.
+    other = Warehouse(spark, str(tmp_path / "house"))
+    for name in ("dim_vehicle", "dim_stop"):
+        spark.read.parquet(house.path("dim", name)).write.parquet(other.path("dim", name))
+    io.write_batch(house.routes("b1"), other.path("dim", "dim_route"), "b1")
+    source = spark.read.parquet(f"{raw}/vehicle_positions")
+    feed_path = str(tmp_path / "feed")
+    source.write.parquet(feed_path)
+    for _ in range(2):
+        query = load_positions(read_feed(spark, feed_path, io.ddl(dict(source.dtypes))), other, "b1", AS_OF)
+        query.awaitTermination()
+        assert query.exception() is None
+    assert texts(other.facts(spec, t.VEHICLE_POSITION).drop("etl_batch_id")) == batch
+    source.filter("vehicle_id = 'V1'").write.mode("append").parquet(feed_path)
+    load_positions(read_feed(spark, feed_path, io.ddl(dict(source.dtypes))), other, "b1", AS_OF).awaitTermination()
+    assert texts(other.facts(spec, t.VEHICLE_POSITION).drop("etl_batch_id")) == batch + batch
+
+
 def test_replay_changes_nothing_and_a_second_batch_adds(spark, loaded):
     raw, root, _ = loaded
     house = Warehouse(spark, root)
