@@ -21,6 +21,8 @@ from starmart.operators.mart import build_mart
 from starmart.operators.positions import raw_event_id
 from starmart.operators.reconcile import align
 from starmart.plans.analytics import route_hour, star_route_hour
+from starmart.session import scratch_path
+from starmart.sources.tables import read_table
 
 # Columns of the given tables that the roles use. Declaring them saves a job per table.
 GIVEN = {
@@ -231,7 +233,12 @@ class Domain:
         return scd2.new_versions(self.stored_routes(), self.latest_routes(), AS_OF, **policy)
 
     def route_snapshot(self) -> DataFrame:
-        return scd2.snapshot(self.stored_routes(), self.route_versions(late_policy="accept"))
+        """Next snapshot; the versions are written first because it reads them twice."""
+        versions = self.route_versions(late_policy="accept")
+        path = scratch_path(self.spark, "versions")
+        versions.write.parquet(path)
+        written = read_table(self.spark, path, dict(versions.dtypes))
+        return scd2.snapshot(self.stored_routes(), written)
 
     # Facts and mart ------------------------------------------------------------------------------
 

@@ -24,15 +24,14 @@ def new_members(dim: DataFrame, staged: DataFrame, spec: DimSpec) -> DataFrame:
     )
 
 
-def insert_rows(dim: DataFrame, staged: DataFrame, spec: DimSpec, as_of) -> DataFrame:
-    """The rows to append: new members with keys above the highest key in use."""
-    added = new_members(dim, staged, spec).withColumns(
-        {"src_system": F.lit("oltp"), "etl_loaded_at": ntz(as_of)}
-    )
-    keyed = assign_surrogate_keys(added, spec.nat, spec.sk, highest_key(dim, spec.sk))
+def keyed_members(dim: DataFrame, members: DataFrame, spec: DimSpec, as_of) -> DataFrame:
+    """Dimension rows of new members, with keys above the highest key in use."""
+    audited = members.withColumns({"src_system": F.lit("oltp"), "etl_loaded_at": ntz(as_of)})
+    keyed = assign_surrogate_keys(audited, spec.nat, spec.sk, highest_key(dim, spec.sk))
     return keyed.select(*spec.schema)
 
 
 def merge_insert_only(dim: DataFrame, staged: DataFrame, spec: DimSpec, as_of) -> DataFrame:
     """The whole dimension after the load."""
-    return dim.select(*spec.schema).unionByName(insert_rows(dim, staged, spec, as_of))
+    added = keyed_members(dim, new_members(dim, staged, spec), spec, as_of)
+    return dim.select(*spec.schema).unionByName(added)

@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def assign_surrogate_keys(
-    members: DataFrame, nat: str, sk: str, start: Column | int = 0, hex_digits: int = 3
+    members: DataFrame, nat: str, sk: str, start: Column | int = 0, hex_digits: int = 4
 ) -> DataFrame:
     """Number the members 1, 2, ... above ``start`` in the order of the md5 of their natural key.
 
     A member's number is its rank inside its bucket plus the number of members in lower buckets. A
     bucket is a prefix of the md5, so buckets are even whatever the keys look like, and there are at
-    most ``16 ** hex_digits`` of them: that bounds the broadcast side and the running sum over it.
-    Take four or five digits for billions of members.
+    most ``16 ** hex_digits`` of them, 65536 by default: that bounds the broadcast side and the running
+    sum over it. ``members`` is read twice, so a caller with a costly plan writes it first.
     """
     digest = F.md5(F.col(nat).cast("string"))
     bucketed = members.withColumn("_md5", digest).withColumn(

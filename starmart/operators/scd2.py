@@ -160,10 +160,27 @@ def asof_lookup(
     facts: DataFrame, dim: DataFrame, key: str, day: str, keep: Sequence[str],
     spec: VersionSpec = ROUTE_VERSIONS,
 ) -> DataFrame:
-    """Surrogate key of the version valid on the fact's day; NULL if there is none."""
-    versions = dim.select(
-        F.col(spec.nat).alias("_nat"), spec.sk, F.col("valid_from").alias("_from"),
-        F.col("valid_to").alias("_to"),
+    """Surrogate key of the version valid on the fact's day; NULL if there is none.
+
+    Both sides carry the month, clipped to the days the facts cover. The join is then on key and month,
+    which spreads a key with many versions or facts over its months, and a fact is held against the
+    versions of one month (at most 31, as versions do not overlap) instead of all of its key.
+    """
+    first, last = facts.agg(F.min(day)).scalar(), facts.agg(F.max(day)).scalar()
+    lower, upper = F.greatest("_from", first), F.least("_to", last)
+    versions = (
+        dim.filter("valid_from <= valid_to")
+        .select(
+            F.col(spec.nat).alias("_nat"), spec.sk, F.col("valid_from").alias("_from"),
+            F.col("valid_to").alias("_to"),
+        )
+        .withColumns({"_lower": F.trunc(lower, "month"), "_upper": F.trunc(upper, "month")})
+        .filter("_lower <= _upper")
+        .withColumn("_month", F.explode(F.expr("sequence(_lower, _upper, interval 1 month)")))
+    )
+    matches = (
+        (F.col(key) == F.col("_nat"))
+        & (F.trunc(day, "month") == F.col("_month"))
+        & F.col(day).between(F.col("_from"), F.col("_to"))
     )
-    valid = F.col(day).between(F.col("_from"), F.col("_to"))
-    return facts.join(versions, (F.col(key) == F.col("_nat")) & valid, "left").select(*keep, spec.sk)
+    return facts.join(versions, matches, "left").select(*keep, spec.sk)

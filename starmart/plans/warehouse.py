@@ -8,7 +8,7 @@ from starmart.functions.time import ntz
 from starmart.operators import calendar as cal
 from starmart.operators import scd2
 from starmart.operators.conform import batch_rows, conform
-from starmart.operators.dimensions import insert_rows
+from starmart.operators.dimensions import keyed_members, new_members
 from starmart.operators.facts import FactSpec, classified_rows, payment_spec, position_spec, trip_spec
 from starmart.operators.mart import build_mart
 from starmart.operators.quality import gate_counts
@@ -88,26 +88,31 @@ class Warehouse:
         return counts
 
     def load_dimensions(self, batch_id: str | None, as_of) -> dict[str, int]:
-        return {
-            spec.name: io.append_rows(
-                insert_rows(self.dim(spec), self.staged(spec.source, batch_id), spec, as_of),
-                self.path("dim", spec.name),
+        """Append new members. They are written first, because numbering them reads them twice."""
+        counts = {}
+        for spec in DIMENSIONS:
+            dim = self.dim(spec)
+            pending = self._written(new_members(dim, self.staged(spec.source, batch_id), spec), spec.name)
+            counts[spec.name] = io.append_rows(
+                keyed_members(dim, pending, spec, as_of), self.path("dim", spec.name)
             )
-            for spec in DIMENSIONS
-        }
+        return counts
+
+    def _written(self, df: DataFrame, label: str) -> DataFrame:
+        """The frame as a table in the shared folder, which cuts its lineage."""
+        path = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        return io.read_table(self.spark, path, dict(df.dtypes))
 
     def load_routes(self, batch_id: str, previous: str | None, as_of, **policy) -> dict[str, int]:
         """Next snapshot of the route dimension, from the ``previous`` one, in its own folder."""
         dim = self.routes(previous)
         staged = scd2.resolve_default_fare(self.staged(ROUTE, batch_id), self.dim(DIM_FARE_PRODUCT))
         latest = scd2.latest_versions(staged, as_of)
-        pending = scratch_path(self.spark, "route-versions")
-        inserted = io.append_rows(scd2.new_versions(dim, latest, as_of, **policy), pending)
-        schema = {k: v for k, v in DIM_ROUTE_SCHEMA.items() if k != "route_sk"}
-        versions = io.read_table(self.spark, pending, schema)
+        versions = self._written(scd2.new_versions(dim, latest, as_of, **policy), "route-versions")
         folder = self.path("dim", "dim_route")
         total = io.write_batch(scd2.snapshot(dim, versions), folder, batch_id)
-        return {"dim_route_inserted": inserted, "dim_route": total}
+        return {"dim_route_inserted": versions.count(), "dim_route": total}
 
     def load_facts(self, batch_id: str, snapshot: str, as_of) -> dict[str, dict[str, int]]:
         dims = {spec.name: self.dim(spec) for spec in DIMENSIONS}

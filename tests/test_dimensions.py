@@ -10,7 +10,7 @@ from starmart import tables as t
 from starmart.operators import calendar as cal
 from starmart.operators.conform import conform
 from starmart.operators.dedup import latest_by_key
-from starmart.operators.dimensions import insert_rows, merge_insert_only
+from starmart.operators.dimensions import merge_insert_only, new_members
 from starmart.operators.keys import assign_surrogate_keys
 from starmart.sources.tables import ddl
 
@@ -66,7 +66,7 @@ def test_known_members_are_never_changed(spark):
     second = users(spark, ("u1", "changed@x", None, "2024-03-01 00:00:00"), ("u2", "c@x", None, None))
     merged = merge_insert_only(dim, second, t.DIM_USER, AS_OF)
     assert rows(merged, "user_sk", "user_id_nat", "email") == [(1, "u1", "b@x"), (2, "u2", "c@x")]
-    assert insert_rows(merged, second, t.DIM_USER, AS_OF).count() == 0
+    assert new_members(merged, second, t.DIM_USER).count() == 0
     assert dict(merged.dtypes) == t.DIM_USER.schema
 
 

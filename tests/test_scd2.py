@@ -141,6 +141,18 @@ def test_asof_lookup(spark):
     assert got == [(1, 3), (2, 4), (3, None), (4, None), (5, None)]
 
 
+def test_asof_lookup_equals_brute_force(spark):
+    """Many versions of one key, a reversed interval, gaps, and facts on every boundary."""
+    hot = [(i, "hot", f"n{i}", "x", f"2024-{i:02d}-0{1 + i % 3}", f"2024-{i + 1:02d}-01", i == 11) for i in range(1, 12)]
+    versions = dim(spark, *hot, (50, "hot", "late", "x", "2024-12-20", "2024-12-01", False),
+                   (51, "open", "o", "x", "2023-06-15", "9999-12-31", True))
+    days = spark.range(500).selectExpr("id as f", "date_add(date'2023-10-01', cast(id as int)) as day")
+    facts = days.selectExpr("f", "day", "'hot' as key").union(days.selectExpr("f + 1000", "day", "'open'"))
+    expected = facts.join(
+        versions, F.expr("key = route_id_nat and day between valid_from and valid_to"), "left").select("f", "route_sk")
+    assert rows(scd2.asof_lookup(facts, versions, "key", "day", ["f"])) == rows(expected)
+
+
 def test_unknown_default_fare_is_null(spark):
     fares = frame(spark, "fare_product_sk bigint, fare_product_id_nat string", (7, "F1"))
     df = frame(spark, "route_id string, default_fare_product_id string", ("a", "F1"), ("b", "F2"), ("c", None))
