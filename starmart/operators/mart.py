@@ -28,16 +28,18 @@ def route_hour_sums(
     """Mergeable sums and counts per route key and hour; rows without a valid hour drop out.
 
     Grouping by three integers before any join keeps the hash table narrow, and partial aggregation
-    folds a hot route inside the map tasks.
+    folds a hot route inside the map tasks. The hour is built from aggregates of the group keys: a
+    condition on the keys themselves would be pushed down and be checked per row instead of per group.
     """
     sums = [f"sum({c}) as {m}_sum, count({c}) as {m}_n" for m, c in MEASURES.items()]
     return fact_trip.sparkSession.sql(f"""
-        select * except (start_date_key, hour) from (
-            select *, {x.keys_to_hour('start_date_key', 'hour')} as start_hour from (
-                select route_sk, start_date_key, {x.key_hour('start_time_key')} as hour,
+        select * except (date, hour) from (
+            select *, {x.keys_to_hour('date', 'hour')} as start_hour from (
+                select route_sk, max(start_date_key) as date, max({x.key_hour('start_time_key')}) as hour,
                        count(*) as trips_total, {_status_count(completed)} as trips_completed,
                        {_status_count(canceled)} as trips_canceled, {', '.join(sums)}
-                from {{fact}} where {x.valid_time_key('start_time_key')} group by all))
+                from {{fact}} where {x.valid_time_key('start_time_key')}
+                group by route_sk, start_date_key, {x.key_hour('start_time_key')}))
         where start_hour is not null""", fact=fact_trip)
 
 
