@@ -27,17 +27,18 @@ def ranked_within(
     )
     sliced = spark.read.parquet(path)
     inside = Window.partitionBy("_slice", group).orderBy(order)
-    # Only the first group of a slice can have begun in a lower one.
-    tails = sliced.groupBy("_slice", group).agg(F.count("*").alias("_n"))
-    firsts = tails.groupBy("_slice").agg(F.min(group).alias(group))
+    # Only the first group of a slice can have begun in a lower one, so just those groups are counted,
+    # and at most one row per slice is broadcast.
+    firsts = sliced.groupBy("_slice").agg(F.min(group).alias(group)).select(group).distinct()
+    shared = sliced.join(F.broadcast(firsts), group, "left_semi")
+    sizes = shared.groupBy("_slice", group).agg(F.count("*").alias("_n"))
     below = Window.partitionBy(group).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    shared = tails.join(firsts.select(group).distinct(), group, "left_semi")
-    offsets = shared.select("_slice", group, (F.sum("_n").over(below) - F.col("_n")).alias("_below"))
+    offsets = sizes.select("_slice", group, (F.sum("_n").over(below) - F.col("_n")).alias("_below"))
     return (
         sliced.withColumn("_rank", F.row_number().over(inside))
-        .join(offsets.filter("_below > 0"), ["_slice", group], "left")
+        .join(F.broadcast(offsets.filter("_below > 0")), ["_slice", group], "left")
         .withColumn(out, (F.coalesce("_below", F.lit(0)) + F.col("_rank")).cast("int"))
         .select(*df.columns, out)
     )
