@@ -6,12 +6,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starmart.tables import StagingSpec
+
 
 def violations_per_column(df: DataFrame, broken: Mapping[str, Column]) -> DataFrame:
     """Number of rows per column for which its condition holds, from one pass over the rows."""
     counts = df.agg(*(F.count_if(cond).alias(c) for c, cond in broken.items()))
     pairs = F.array(
-        *(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("violations")) for c in broken)
+        *(F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("violations")) for c in broken)
     )
     return counts.select(F.inline(pairs))
 
@@ -25,6 +27,18 @@ def unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
 
 
+def duplicates(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Number of keys that occur more than once."""
+    return unique(df, keys).agg(F.lit(name).alias("check_name"), F.count("*").alias("violations"))
+
+
+def staging_checks(staged: DataFrame, spec: StagingSpec) -> DataFrame:
+    """NULLs in mandatory columns and over-long texts of a staging table, from one pass."""
+    broken = {f"{spec.name}.{c} missing": F.col(c).isNull() for c in spec.required}
+    broken |= {f"{spec.name}.{c} too long": F.length(c) > n for c, n in spec.lengths.items()}
+    return violations_per_column(staged, broken).withColumnRenamed("column_name", "check_name")
+
+
 def foreign_key(child: DataFrame, key: str, parent: DataFrame, parent_key: str, name: str) -> DataFrame:
     """Number of child rows whose non-NULL key has no parent.
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.functions.time import ntz
 from starmart.operators import calendar as cal
-from starmart.operators import scd2
+from starmart.operators import quality, scd2
 from starmart.operators.conform import batch_rows, conform
 from starmart.operators.dimensions import keyed_members, new_members
 from starmart.operators.facts import FactSpec, classified_rows, payment_spec, position_spec, trip_spec
 from starmart.operators.mart import build_mart
-from starmart.operators.quality import gate_counts
 from starmart.session import scratch_path
 from starmart.sources import tables as io
 from starmart.tables import (
@@ -19,6 +20,8 @@ from starmart.tables import (
     VEHICLE_POSITION, StagingSpec,
 )
 
+FACTS = ((trip_spec, TRIP), (payment_spec, PAYMENT), (position_spec, VEHICLE_POSITION))
+
 # Types of the columns a fact adds to those it takes over from staging.
 _KEY_TYPES = {"_sk": "bigint", "_key": "int", "_sec": "int"}
 
@@ -118,9 +121,8 @@ class Warehouse:
         dims = {spec.name: self.dim(spec) for spec in DIMENSIONS}
         dims["dim_route"] = scd2.current_only(self.routes(snapshot))
         counts = {}
-        for spec, source in (
-            (trip_spec(), TRIP), (payment_spec(), PAYMENT), (position_spec(), VEHICLE_POSITION),
-        ):
+        for make_spec, source in FACTS:
+            spec = make_spec()
             rows = classified_rows(self.staged(source, batch_id), dims, spec)
             counts[spec.name] = io.write_facts(
                 rows.withColumn("etl_loaded_at", ntz(as_of)),
@@ -137,8 +139,27 @@ class Warehouse:
         mart = build_mart(trips, self.routes(snapshot), as_of, **options)
         return io.write_mart(mart, self.path("mart", "trip_route_hourly"), reload_all=batch_id is None)
 
+    def constraints(self, batch_id: str, snapshot: str) -> DataFrame:
+        """Every declared constraint with its number of violations: mandatory columns and lengths of the
+        batch's staging, keys of the dimensions, and references from the facts."""
+        routes = self.routes(snapshot)
+        checks = [quality.staging_checks(self.staged(spec, batch_id), spec) for spec in STAGING]
+        checks += [quality.duplicates(self.dim(s), [s.nat], f"{s.name} key twice") for s in DIMENSIONS]
+        checks.append(quality.duplicates(routes, ["route_id_nat", "valid_from"], "dim_route key twice"))
+        parents = {s.name: self.dim(s) for s in DIMENSIONS} | {"dim_route": routes}
+        days = cal.calendar(self.spark)
+        for spec, source in FACTS:
+            rows = self.facts(spec(), source)
+            checks += [
+                quality.foreign_key(rows, look.out, parents[look.dim], look.sk, f"{spec().name}.{look.out} orphaned")
+                for look in spec().lookups
+            ]
+            key = spec().date_key
+            checks.append(quality.foreign_key(rows, key, days, "date_key", f"{spec().name}.{key} orphaned"))
+        return reduce(DataFrame.unionByName, checks)
+
     def gates(self, snapshot: str) -> DataFrame:
-        return gate_counts(self.trips(), self.routes(snapshot), self.mart())
+        return quality.gate_counts(self.trips(), self.routes(snapshot), self.mart())
 
 
 def load_batch(

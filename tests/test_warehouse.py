@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import dataclasses
+
 import pytest
 from helpers import frame, rows, texts
 from pyspark.sql import functions as F
 
 from starmart import tables as t
 from starmart.__main__ import main as cli
-from starmart.operators import facts
+from starmart.operators import facts, quality
 from starmart.plans import analytics
 from starmart.plans.warehouse import Warehouse, load_batch
 from starmart.sources import tables as io
@@ -85,6 +87,43 @@ def test_partitions_are_pruned(spark, loaded, capsys):
     assert "etl_batch_id" in capsys.readouterr().out.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_constraints(spark, loaded):
+    found = Warehouse(spark, loaded[1]).constraints("b1", "b1")
+    assert found.count() > 80 and rows(found.filter("violations > 0")) == []
+    short = dataclasses.replace(t.STOP, lengths={"stop_id": 1}, required=("city",))
+    checks = quality.staging_checks(Warehouse(spark, loaded[1]).staged(t.STOP), short)
+    assert rows(checks) == [("stg_stop.city missing", 2), ("stg_stop.stop_id too long", 2)]
+
+
+def test_hot_key_of_a_shuffle_lookup_is_split(spark, capsys):
+    """Beyond the broadcast threshold AQE splits the partition of a key that holds a third of the rows."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    staged = spark.range(0, 60000, 1, 8).select(F.col("id").alias("f"), hot.alias("user_id"))
+    others = spark.range(60000).select(F.col("id").cast("string").alias("user_id_nat"))
+    members = others.union(spark.range(1).select(F.lit("hot")))
+    dim = members.withColumn("user_sk", F.xxhash64("user_id_nat"))
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        look = facts.Lookup("dim_user", "user_id", "user_id_nat", "user_sk", "user_sk")
+        found = facts.resolve(staged, {"dim_user": dim}, [look])
+        wrong = found.filter("user_sk is null or user_sk <> xxhash64(user_id)")
+        assert found.count() == 60000 and wrong.count() == 0
+        found.collect()
+        found.explain()
+        assert "skew=true" in capsys.readouterr().out
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_comparison_report(spark, loaded, tmp_path):
     done = cli(["compare", "--root", loaded[1], "--snapshot", "b1", "--out", str(tmp_path), "--as-of", "2024-01-31"])
     assert done["star_rows"] == done["mart_rows"] == 2
