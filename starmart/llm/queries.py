@@ -4,16 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import secrets
+from starmart.llm import language, quality, secrets, toxicity
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def _labels(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/labels.parquet")
+
+
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.languages(_documents(spark, folder))
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_scores(_documents(spark, folder), _labels(spark, folder))
+
+
 def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_spans(spark, _documents(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (op6_secret_scan,)}
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(_documents(spark, folder), _labels(spark, folder))
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op5_toxicity, op6_secret_scan, op9_quality_classifier)}
 ORACLE: dict[str, str] = {}
