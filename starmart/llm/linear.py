@@ -83,7 +83,7 @@ def fit_temperature(scores: np.ndarray, labels: np.ndarray) -> float:
 
 def fit_paired_logistic(
     rows: Sequence[Row], swapped: Sequence[Row | None], labels: np.ndarray, size: int, penalty: float,
-    positive_weight: float = 1.0, epochs: int = 4, alpha: float = 0.1, beta: float = 1.0, l1: float = 0.5, l2: float = 0.1,
+    positive_weight: float = 1.0, epochs: int = 6, alpha: float = 0.3, beta: float = 1.0, l1: float = 1.5, l2: float = 0.1,
 ) -> np.ndarray:
     """Binary logistic regression whose loss adds ``penalty * (score(row) - score(swapped row)) ** 2``."""
     model, rng = Ftrl(size, 1, alpha, beta, l1, l2), np.random.default_rng(0)
