@@ -30,7 +30,7 @@ def sample_features(
     """Label and feature arrays (as bytes) of the chosen documents, on the driver, in an order that does not vary.
 
     ``chosen`` has at most ``rows`` narrow rows, so it may be broadcast. Documents that repeat an id could exceed the
-    bound, so the joined rows are limited to twice the bound as well.
+    bound, so what comes to the driver is limited to twice the bound as well.
     """
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("sample_id"))
 
@@ -44,7 +44,7 @@ def sample_features(
 
     kind = dict(chosen.dtypes)["sample_label"]
     schema = f"doc_id long, sample_label {kind}, " + ", ".join(f"{n} binary" for n in names)
-    found = joined.limit(2 * rows).mapInPandas(made, schema).toPandas()
+    found = joined.mapInPandas(made, schema).limit(2 * rows).toPandas()
     return found.sort_values(["doc_id", "sample_label", names[0]]).reset_index(drop=True)
 
 

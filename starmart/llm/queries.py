@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import language, quality, secrets, toxicity
+from starmart.llm import fingerprints, language, packing, quality, secrets, toxicity
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.languages(_documents(spark, folder))
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(_documents(spark, folder))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_scores(_documents(spark, folder), _labels(spark, folder))
 
@@ -27,9 +31,14 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_spans(spark, _documents(spark, folder))
 
 
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(_documents(spark, folder))
+
+
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(_documents(spark, folder), _labels(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op5_toxicity, op6_secret_scan, op9_quality_classifier)}
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op3_packing, op5_toxicity, op6_secret_scan, op8_fingerprints, op9_quality_classifier)}
 ORACLE: dict[str, str] = {}
