@@ -24,7 +24,7 @@ from starmart.llm.text import char_grams, is_held_out
 
 BITS, SIZES = 15, (1, 2, 3, 4)
 #: At most so many labelled rows fit the model; document frequencies are counted over all of them.
-SAMPLE_ROWS = 6_000
+SAMPLE_ROWS = 4_000
 PIECE = 1 << 20
 
 
