@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import fingerprints, language, packing, quality, secrets, toxicity
+from starmart.llm import (
+    decontamination, fingerprints, language, packing, quality, secrets, substrings, toxicity)
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,6 +20,11 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.languages(_documents(spark, folder))
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return decontamination.contaminated(_documents(spark, folder), benchmark)
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_documents(spark, folder))
 
@@ -39,6 +45,11 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(_documents(spark, folder), _labels(spark, folder))
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.deduplicated(_documents(spark, folder))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op3_packing, op5_toxicity, op6_secret_scan, op8_fingerprints, op9_quality_classifier)}
+    op1_language_id, op2_decontamination, op3_packing, op5_toxicity, op6_secret_scan, op8_fingerprints, op9_quality_classifier,
+    op10_substring_dedup)}
 ORACLE: dict[str, str] = {}
