@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm import (
-    decontamination, fingerprints, language, packing, quality, secrets, substrings, toxicity)
+    decontamination, fingerprints, jaccard, language, packing, quality, secrets, substrings, toxicity,
+)
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,6 +30,10 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_documents(spark, folder))
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.linked(_documents(spark, folder))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_scores(_documents(spark, folder), _labels(spark, folder))
 
@@ -50,6 +55,6 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_decontamination, op3_packing, op5_toxicity, op6_secret_scan, op8_fingerprints, op9_quality_classifier,
+    op1_language_id, op2_decontamination, op3_packing, op4_jaccard_join, op5_toxicity, op6_secret_scan, op8_fingerprints, op9_quality_classifier,
     op10_substring_dedup)}
 ORACLE: dict[str, str] = {}
