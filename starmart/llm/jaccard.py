@@ -5,12 +5,14 @@ into position blocks, more of them than two linked sets of the size class can di
 least one whole block. A list holds the sets that agree in one block; all other blocks, and with them all other lists,
 are skipped. Blocks hold several shingles, so a shingle shared by many unlike documents makes no long list.
 
-Within a list not all pairs are compared. Every set is compared with one leader. Sets linked with it have their answer
-(the leader's component) and are not compared with each other. What is left are pairs of a list in different components:
-while they are many, further leaders are drawn and the leader comparison repeats; then the rest is compared. As the
-Jaccard distance is a metric, a pair whose distances to their common leader differ by more than the threshold allows is
-skipped: its answer follows from the leader's. So no link between different components is ever missed. Equal sets are
-told by a digest and linked without comparing.
+Every set of a list is compared with one leader, the smallest id of the list. Sets linked with it have their answer
+(the leader's component) and are not compared with each other. Lists that still hold several components are compared
+pair by pair if they are short. In long ones answers are derived from those of the leader B: with the differences Dx and
+Dy of x and y to B, x and y differ in ``|Dx| + |Dy| - 2 |Dx and Dy|`` shingles. If not both are linked with B, a link
+needs a known number of shared elements of Dx and Dy, so a prefix of each difference is indexed under (B, element), rare
+elements first. These lists are treated like the first ones; their leaders rise in every step, so
+it ends. No link between different components is missed, and the pairs compared are linear in the rows of the lists.
+Equal sets are told by a digest.
 
 Lists with a third of all rows split over tasks: they are folded before the shuffle, and joined by keys that Spark can
 split. Everything passes through tables in the shared folder, nothing through the driver.
@@ -35,8 +37,8 @@ from starmart.llm.text import WordHashes, lower_words, mix, window_hashes
 RATIO = 1.5
 #: More blocks than needed, so that the empty ones can be left out.
 SLACK = 1.17
-#: Pairs of a list in different components per row of the lists, beyond which another leader is drawn.
-DENSE = 2
+#: Lists of at most so many different sets are compared pair by pair, longer ones through their leaders.
+SHORT = 24
 _HASHES = WordHashes(5)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -134,125 +136,134 @@ def _blobs(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(task, "doc long, blob binary")
 
 
-def _compared(pairs: DataFrame, blobs: DataFrame) -> DataFrame:
-    """(a, b, common, sum of sizes) of pairs (a, b)."""
+def difference(s: np.ndarray, leader: np.ndarray, percent: int) -> tuple[int, np.ndarray, int, int]:
+    """(common shingles, differing shingles, length of their prefix against sets not linked with the leader, and
+    against any set) of a set and its leader."""
+    at = np.minimum(np.searchsorted(leader, s), len(leader) - 1)
+    inside = leader[at] == s
+    common, n = int(inside.sum()), len(s)
+    differ = np.concatenate([s[~inside], np.setdiff1d(leader, s[inside], assume_unique=True)])
+    d, more, less = len(differ), 100 + percent, 100 - percent  # linked means: more * difference <= less * (sum of sizes)
+    # Shared elements needed if the other set is not linked with the leader, and if it is anything.
+    strong = max(1, (more * d - less * n + less * len(leader)) // (2 * more) + 1)
+    weak = max(1, -(-(more * d - less * n - less * len(leader)) // (2 * more)))
+    return common, differ, max(0, d - strong + 1), max(0, d - weak + 1)
+
+
+ANSWER = "leader long, doc long, long boolean, common long, sizes long, differ array<long>, strong int, weak int"
+
+
+def _compared(pairs: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
+    """For pairs (leader, doc): common shingles, sum of sizes, and the keys of the lists under the leader."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            common, sizes = [], []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                s, t = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                at = np.minimum(np.searchsorted(t, s), len(t) - 1)
-                common.append(int((t[at] == s).sum()))
-                sizes.append(len(s) + len(t))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(common, pa.int64()), pa.array(sizes, pa.int64())],
-                names=["a", "b", "common", "sizes"])
-
-    left = blobs.select(F.col("doc").alias("b"), F.col("blob").alias("y"))
-    right = blobs.select(F.col("doc").alias("a"), F.col("blob").alias("x"))
-    return pairs.select("a", "b").join(left, "b").join(right, "a").select("a", "b", "x", "y").mapInArrow(
-        task, "a long, b long, common long, sizes long")
+            out = []
+            for a, b, long, x, y in zip(*(batch.column(c) for c in ("leader", "doc", "long", "x", "y"))):
+                s, t = np.frombuffer(y.as_py(), np.uint64), np.frombuffer(x.as_py(), np.uint64)
+                common, differ, strong, weak = difference(s, t, percent)
+                kept = differ.view(np.int64) if long.as_py() else []
+                out.append((a.as_py(), b.as_py(), long.as_py(), common, len(s) + len(t), kept, strong, weak))
+            if out:
+                kinds = [pa.int64()] * 2 + [pa.bool_()] + [pa.int64()] * 2 + [pa.list_(pa.int64())] + [pa.int32()] * 2
+                names = [c.split()[0] for c in ANSWER.split(", ")]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+
+    left = blobs.select("doc", F.col("blob").alias("y"))
+    right = blobs.select(F.col("doc").alias("leader"), F.col("blob").alias("x"))
+    both = pairs.select("leader", "doc", "long").join(left, "doc").join(right, "leader")
+    return both.select("leader", "doc", "long", "x", "y").mapInArrow(task, ANSWER)
 
 
 def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """One row per input row: doc_id, n_shingles, and the smallest id reachable by links of at least ``percent``."""
-    spark = docs.sparkSession
-    stored = Stored(spark, "jaccard")
+    stored = Stored(docs.sparkSession, "jaccard")
     docs = _documents(docs)
     sets = stored.keep(_sets(docs, width), "sets")
     known = sets.where("doc_id is not null and size > 0").select(F.col("doc_id").alias("doc"), "size", "digest")
-    links_if = F.col("common") * 100 >= percent * (F.col("sizes") - F.col("common"))
-
-    keys = _keys(docs, width, percent)
-    lists = keys.groupBy("key").agg(F.min("doc").alias("leader"), F.max("doc").alias("last")).where("leader < last")
-    members = stored.keep(keys.join(lists.select("key", "leader"), "key").distinct(), "members")
 
-    # Equal sets are linked by their digest, through the smallest id that has it.
+    # Equal sets are linked with the smallest id that has the digest, and only that one is compared.
     first = known.groupBy("size", "digest").agg(F.min("doc").alias("first"))
     twins = stored.keep(
         known.join(first, ["size", "digest"]).select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct(), "twins")
-    # From here on only one of equal sets is compared; leaders are replaced by their first twin too.
-    members = _replaced(stored, members, twins)
+    keys = _keys(docs, width, percent)
+    shared = keys.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
+    members = stored.keep(keys.join(shared.select("key"), "key"), "members")
+    alone = members.join(twins.select(F.col("b").alias("doc"), "a"), "doc").where("a = doc")
+    blocks = alone.select("key", "doc", F.lit(0).alias("role")).distinct()
+    lists = blocks
 
-    blobs = None
-    tested: list[DataFrame] = []
-    links = [twins.where("a < b")]
-    turn = 0
+    links, answers, blobs = [twins.where("a < b")], [], None
     while True:
         label = components(stored, _union(links))
-        listed = members.join(label.withColumnRenamed("node", "doc"), "doc", "left").select(
-            "key", "leader", "doc", F.coalesce("component", "doc").alias("component"))
-        mixed = listed.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"),
-            F.min(F.struct(F.xxhash64("doc", F.lit(turn)), "doc", "component")).alias("drawn"),
-        ).where("low < high").select("key", "n", F.col("drawn.doc").alias("drawn"), F.col("drawn.component").alias("drawn_in"))
-        listed = stored.keep(listed.join(mixed, "key"), "mixed")
-        size = listed.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("squares")).first()
-        if not size["rows"]:
-            stored.drop(listed)
+        pairs = stored.keep(_untested(lists, label, answers), "pairs")
+        if not pairs.limit(1).count():
             break
-        last = turn > 0 and size["squares"] <= 2 * DENSE * size["rows"]
-        if last:
-            one, other = listed.alias("one"), listed.alias("other")
-            pairs = one.join(other, "key").where("one.doc < other.doc and one.component <> other.component").select(
-                F.col("one.doc").alias("a"), F.col("other.doc").alias("b")).distinct()
-        else:
-            center = F.col("leader") if turn == 0 else F.col("drawn")
-            pairs = listed.where((F.lit(turn == 0) | (F.col("component") != F.col("drawn_in"))) & (center != F.col("doc"))).select(
-                F.least(center, "doc").alias("a"), F.greatest(center, "doc").alias("b")).distinct()
-        if tested:
-            pairs = pairs.join(_union(tested), ["a", "b"], "left_anti")
         if blobs is None:
-            needed = listed.select(F.col("doc").alias("need")).distinct()
-            blobs = stored.keep(
-                _blobs(docs.join(needed, F.col("doc_id") == F.col("need"), "left_semi"), width), "blobs")
-        if last and tested:
-            pairs = _not_excluded(stored, pairs, listed, _union(tested), percent)
-        answers = stored.keep(_compared(pairs, blobs), "answers")
-        tested.append(answers)
-        links.append(answers.where(links_if))
-        stored.drop(listed, label)
-        turn += 1
-        if last:
-            label = components(stored, _union(links))
-            break
+            needed = pairs.select(F.explode(F.array("leader", "doc")).alias("need")).distinct()
+            blobs = stored.keep(_blobs(docs.join(needed, F.col("doc_id") == F.col("need"), "left_semi"), width), "blobs")
+        found = stored.keep(_compared(pairs, blobs, percent), "answers")
+        answers.append(found)
+        is_linked = F.col("common") * 100 >= percent * (F.col("sizes") - F.col("common"))
+        links.append(found.where(is_linked).select(F.col("leader").alias("a"), F.col("doc").alias("b")))
+        lists = _derived(_union(answers).where("long").withColumn("near", is_linked))
+        if len(answers) == 1:
+            brief = blocks.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= SHORT)
+            lists = lists.unionByName(blocks.join(brief.select("key"), "key"))
+        stored.drop(label, pairs)
     out = sets.join(label, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
-    stored.drop(members, *tested, *([blobs] if blobs is not None else []))
+    stored.drop(members, pairs, *answers, *([] if blobs is None else [blobs]))
     return out
 
 
-def _union(tables: list[DataFrame]) -> DataFrame:
-    out = tables[0].select("a", "b") if "common" not in tables[0].columns else tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t.select(*out.columns))
-    return out
+def _derived(answers: DataFrame) -> DataFrame:
+    """Lists under the leaders: a prefix of each difference, rare elements first, so that lists stay short."""
+    each = answers.select("leader", "doc", "near", "strong", "weak", F.explode("differ").alias("element"))
+    often = each.groupBy("leader", "element").agg(F.count(F.lit(1)).alias("often"))
+    order = Window.partitionBy("leader", "doc").orderBy("often", "element")
+    ranked = each.join(often, ["leader", "element"]).withColumn("rank", F.row_number().over(order))
+    apart = ranked.where("not near and rank <= strong").select(
+        F.xxhash64("leader", "element", F.lit(0)).alias("key"), "doc", F.lit(0).alias("role"))
+    between = ranked.where("rank <= if(near, strong, weak)").select(
+        F.xxhash64("leader", "element", F.lit(1)).alias("key"), "doc", F.expr("if(near, 2, 1)").alias("role"))
+    return apart.unionByName(between)
 
 
-def _replaced(stored: Stored, members: DataFrame, twins: DataFrame) -> DataFrame:
-    """Members with documents replaced by the first of their equal sets, and one leader per list."""
-    short = members.join(twins.select(F.col("b").alias("doc"), F.col("a").alias("first")), "doc").select("key", F.col("first").alias("doc")).distinct()
-    lead = short.groupBy("key").agg(F.min("doc").alias("leader"), F.max("doc").alias("last")).where("leader < last")
-    out = stored.keep(short.join(lead.select("key", "leader"), "key"), "members")
-    stored.drop(members)
-    return out
+def _untested(lists: DataFrame, label: DataFrame, answers: list[DataFrame]) -> DataFrame:
+    """Pairs (leader, doc) to compare of lists that hold more than one component, without those compared before.
 
+    A pair of a long list is one of its leader and a member, and is marked; at first all lists give such pairs. Roles 1
+    and 2 are sets apart from and linked with the leader above; such a list matters if it has both.
+    """
+    listed = lists.join(label.withColumnRenamed("node", "doc"), "doc", "left").select(
+        "key", "doc", "role", F.coalesce("component", "doc").alias("component"))
+    mixed = listed.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("doc").alias("leader"),
+        F.min("role").alias("role_low"), F.max("role").alias("role_high"), F.count(F.lit(1)).alias("n"),
+    ).where("low < high and (role_low < role_high or role_low = 0)").select(
+        "key", "leader", (F.col("n") > SHORT).alias("long"))
+    rows = listed.join(mixed, "key")
+    led = rows.where("leader < doc").select("leader", "doc", "long")
+    if not answers:
+        return led.groupBy("leader", "doc").agg(F.max("long").alias("long"))
+    short = rows.where("not long").select("key", "doc", "role", "component")
+    one, other = short.alias("one"), short.alias("other")
+    direct = one.join(other, "key").where(
+        "one.doc < other.doc and one.component <> other.component and (one.role = 0 or one.role <> other.role)")
+    pairs = led.where("long").unionByName(direct.select(
+        F.col("one.doc").alias("leader"), F.col("other.doc").alias("doc"), F.lit(False).alias("long")))
+    pairs = pairs.groupBy("leader", "doc").agg(F.max("long").alias("long"))
+    done = _union(answers).select("leader", "doc", F.col("long").alias("done_long"))
+    done = done.groupBy("leader", "doc").agg(F.max("done_long").alias("done_long"))
+    return pairs.join(done, ["leader", "doc"], "left").where("done_long is null or (long and not done_long)").drop("done_long")
 
-def _not_excluded(stored: Stored, pairs: DataFrame, listed: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Pairs without those that their distances to a common leader exclude (triangle inequality).
 
-    Distances are taken per mille and rounded so that nothing that could be linked is excluded.
-    """
-    union = F.col("sizes") - F.col("common")
-    distance = 1000.0 * (union - F.col("common")) / union
-    far = tested.select(F.col("a").alias("leader"), F.col("b").alias("doc"), distance.alias("far"))
-    leaders = listed.select("doc", "leader").distinct().join(far, ["leader", "doc"]).select("doc", "leader", "far")
-    one = leaders.select(F.col("doc").alias("a"), "leader", F.col("far").alias("far_a"))
-    other = leaders.select(F.col("doc").alias("b"), "leader", F.col("far").alias("far_b"))
-    ruled = pairs.join(one, "a").join(other, ["b", "leader"]).where(
-        F.abs(F.col("far_a") - F.col("far_b")) > 10 * (100 - percent) + 1e-6).select("a", "b").distinct()
-    return pairs.join(ruled, ["a", "b"], "left_anti")
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out
 
 
 def first_of_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
