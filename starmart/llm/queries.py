@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm import (
-    decontamination, fingerprints, jaccard, language, packing, quality, secrets, substrings, toxicity,
+    decontamination, fingerprints, jaccard, language, packing, quality, scoring, secrets, substrings, toxicity,
 )
 
 
@@ -42,6 +42,10 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_spans(spark, _documents(spark, folder))
 
 
+def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.scores(_documents(spark, folder))
+
+
 def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(_documents(spark, folder))
 
@@ -55,6 +59,6 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_decontamination, op3_packing, op4_jaccard_join, op5_toxicity, op6_secret_scan, op8_fingerprints, op9_quality_classifier,
-    op10_substring_dedup)}
+    op1_language_id, op2_decontamination, op3_packing, op4_jaccard_join, op5_toxicity, op6_secret_scan, op7_lm_score, op8_fingerprints,
+    op9_quality_classifier, op10_substring_dedup)}
 ORACLE: dict[str, str] = {}
