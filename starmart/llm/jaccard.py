@@ -5,14 +5,13 @@ into position blocks, more of them than two linked sets of the size class can di
 least one whole block. A list holds the sets that agree in one block; all other blocks, and with them all other lists,
 are skipped. Blocks hold several shingles, so a shingle shared by many unlike documents makes no long list.
 
-Every set of a list is compared with one leader, the smallest id of the list. Sets linked with it have their answer
-(the leader's component) and are not compared with each other. Lists that still hold several components are compared
-pair by pair if they are short. In long ones answers are derived from those of the leader B: with the differences Dx and
-Dy of x and y to B, x and y differ in ``|Dx| + |Dy| - 2 |Dx and Dy|`` shingles. If not both are linked with B, a link
-needs a known number of shared elements of Dx and Dy, so a prefix of each difference is indexed under (B, element), rare
-elements first. These lists are treated like the first ones; their leaders rise in every step, so
-it ends. No link between different components is missed, and the pairs compared are linear in the rows of the lists.
-Equal sets are told by a digest.
+Every set is compared with the leader of each of its lists, the smallest id. Sets linked with it have their answer (the
+leader's component), so a family of copies has one component after as many comparisons as it has sets. Only families
+(the sets under one leader) that still hold several components go on: their sets are dealt into tiles of bounded size,
+every two tiles of a family meet in one task, and there only sets of different components are looked at. A task returns
+no pairs but the few links that join components. So no link between different components is missed. The number of
+tiles that meet grows with the square of a family that leaders could not join, their size does not. Equal sets are told
+by a digest.
 
 Lists with a third of all rows split over tasks: they are folded before the shuffle, and joined by keys that Spark can
 split. Everything passes through tables in the shared folder, nothing through the driver.
@@ -37,8 +36,8 @@ from starmart.llm.text import WordHashes, lower_words, mix, window_hashes
 RATIO = 1.5
 #: More blocks than needed, so that the empty ones can be left out.
 SLACK = 1.17
-#: Lists of at most so many different sets are compared pair by pair, longer ones through their leaders.
-SHORT = 24
+#: Sets of one family that meet those of another tile in a task, and columns of the matrix they are compared with.
+TILE, COLUMNS = 400, 8192
 _HASHES = WordHashes(5)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -136,43 +135,85 @@ def _blobs(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(task, "doc long, blob binary")
 
 
-def difference(s: np.ndarray, leader: np.ndarray, percent: int) -> tuple[int, np.ndarray, int, int]:
-    """(common shingles, differing shingles, length of their prefix against sets not linked with the leader, and
-    against any set) of a set and its leader."""
-    at = np.minimum(np.searchsorted(leader, s), len(leader) - 1)
-    inside = leader[at] == s
-    common, n = int(inside.sum()), len(s)
-    differ = np.concatenate([s[~inside], np.setdiff1d(leader, s[inside], assume_unique=True)])
-    d, more, less = len(differ), 100 + percent, 100 - percent  # linked means: more * difference <= less * (sum of sizes)
-    # Shared elements needed if the other set is not linked with the leader, and if it is anything.
-    strong = max(1, (more * d - less * n + less * len(leader)) // (2 * more) + 1)
-    weak = max(1, -(-(more * d - less * n - less * len(leader)) // (2 * more)))
-    return common, differ, max(0, d - strong + 1), max(0, d - weak + 1)
-
-
-ANSWER = "leader long, doc long, long boolean, common long, sizes long, differ array<long>, strong int, weak int"
-
-
 def _compared(pairs: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
-    """For pairs (leader, doc): common shingles, sum of sizes, and the keys of the lists under the leader."""
+    """Whether the sets of the pairs (leader, doc) are linked."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for a, b, long, x, y in zip(*(batch.column(c) for c in ("leader", "doc", "long", "x", "y"))):
-                s, t = np.frombuffer(y.as_py(), np.uint64), np.frombuffer(x.as_py(), np.uint64)
-                common, differ, strong, weak = difference(s, t, percent)
-                kept = differ.view(np.int64) if long.as_py() else []
-                out.append((a.as_py(), b.as_py(), long.as_py(), common, len(s) + len(t), kept, strong, weak))
-            if out:
-                kinds = [pa.int64()] * 2 + [pa.bool_()] + [pa.int64()] * 2 + [pa.list_(pa.int64())] + [pa.int32()] * 2
-                names = [c.split()[0] for c in ANSWER.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+            linked = []
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                s, t = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                common = int((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum())
+                linked.append(100 * common >= percent * (len(s) + len(t) - common))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("leader"), batch.column("doc"), pa.array(linked, pa.bool_())], names=["leader", "doc", "linked"])
 
     left = blobs.select("doc", F.col("blob").alias("y"))
     right = blobs.select(F.col("doc").alias("leader"), F.col("blob").alias("x"))
-    both = pairs.select("leader", "doc", "long").join(left, "doc").join(right, "leader")
-    return both.select("leader", "doc", "long", "x", "y").mapInArrow(task, ANSWER)
+    both = pairs.select("leader", "doc").join(left, "doc").join(right, "leader")
+    return both.select("leader", "doc", "x", "y").mapInArrow(task, "leader long, doc long, linked boolean")
+
+
+def joining_links(
+    ids: list[int], sets: list[np.ndarray], component: list[int], side: list[int], percent: int
+) -> list[tuple[int, int]]:
+    """Links that join the components of sets of two tiles (sides 0 and 1; side 2 is a tile that meets itself)."""
+    n = len(ids)
+    rows = [i for i in range(n) if side[i] != 1]
+    columns = [i for i in range(n) if side[i] != 0]
+    sizes = np.array([len(s) for s in sets], np.int64)
+    value, owner = np.concatenate(sets), np.repeat(np.arange(n), sizes)
+    _, token, often = np.unique(value, return_inverse=True, return_counts=True)
+    shared = often[token] > 1
+    token, owner = np.unique(token[shared], return_inverse=True)[1], owner[shared]
+    order = np.argsort(token, kind="stable")
+    token, owner = token[order], owner[order]
+    common = np.zeros((len(rows), len(columns)), np.float32)
+    for low in range(0, int(token[-1]) + 1 if len(token) else 0, COLUMNS):
+        lo, hi = np.searchsorted(token, [low, low + COLUMNS])
+        slab = np.zeros((n, COLUMNS), np.float32)
+        slab[owner[lo:hi], token[lo:hi] - low] = 1.0
+        common += slab[rows] @ slab[columns].T
+    union = sizes[rows][:, None] + sizes[columns][None, :] - common
+    of = np.array(component)
+    hit = (100 * common >= percent * union) & (of[rows][:, None] != of[columns][None, :])
+    parent = {c: c for c in component}
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    found = []
+    for r, c in np.argwhere(hit).tolist():
+        i, j = rows[r], columns[c]
+        x, y = root(component[i]), root(component[j])
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+    return found
+
+
+def _family_links(families: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join components within the families (leader, doc, component, n)."""
+    tiles = F.ceil(F.col("n") / TILE).cast("int")
+    dealt = (
+        families.join(blobs, "doc").withColumn("tile", F.pmod(F.xxhash64("doc"), tiles).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+        .withColumn("low", F.least("tile", "other")).withColumn("high", F.greatest("tile", "other"))
+        .withColumn("side", F.expr("if(low = high, 2, if(tile = low, 0, 1))"))
+    )
+
+    def task(table: pa.Table) -> pa.Table:
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("blob").to_pylist()]
+        found = joining_links(*(c for c in (
+            table.column("doc").to_pylist(), sets, table.column("component").to_pylist(), table.column("side").to_pylist())), percent)
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    columns = dealt.select("leader", "low", "high", "doc", "component", "side", "blob")
+    return columns.groupBy("leader", "low", "high").applyInArrow(task, "a long, b long")
 
 
 def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
@@ -188,82 +229,27 @@ def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
         known.join(first, ["size", "digest"]).select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct(), "twins")
     keys = _keys(docs, width, percent)
     shared = keys.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
-    members = stored.keep(keys.join(shared.select("key"), "key"), "members")
-    alone = members.join(twins.select(F.col("b").alias("doc"), "a"), "doc").where("a = doc")
-    blocks = alone.select("key", "doc", F.lit(0).alias("role")).distinct()
-    lists = blocks
-
-    links, answers, blobs = [twins.where("a < b")], [], None
-    while True:
-        label = components(stored, _union(links))
-        pairs = stored.keep(_untested(lists, label, answers), "pairs")
-        if not pairs.limit(1).count():
-            break
-        if blobs is None:
-            needed = pairs.select(F.explode(F.array("leader", "doc")).alias("need")).distinct()
-            blobs = stored.keep(_blobs(docs.join(needed, F.col("doc_id") == F.col("need"), "left_semi"), width), "blobs")
-        found = stored.keep(_compared(pairs, blobs, percent), "answers")
-        answers.append(found)
-        is_linked = F.col("common") * 100 >= percent * (F.col("sizes") - F.col("common"))
-        links.append(found.where(is_linked).select(F.col("leader").alias("a"), F.col("doc").alias("b")))
-        lists = _derived(_union(answers).where("long").withColumn("near", is_linked))
-        if len(answers) == 1:
-            brief = blocks.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= SHORT)
-            lists = lists.unionByName(blocks.join(brief.select("key"), "key"))
-        stored.drop(label, pairs)
-    out = sets.join(label, F.col("doc_id") == F.col("node"), "left").select(
+    members = keys.join(shared.select("key"), "key").join(twins.select(F.col("b").alias("doc"), "a"), "doc")
+    blocks = stored.keep(members.where("a = doc").select("key", "doc").distinct(), "blocks")
+    leaders = blocks.groupBy("key").agg(F.min("doc").alias("leader"), F.max("doc").alias("last")).where("leader < last")
+    pairs = stored.keep(
+        blocks.join(leaders.select("key", "leader"), "key").where("leader < doc").select("leader", "doc").distinct(), "pairs")
+    needed = pairs.select(F.explode(F.array("leader", "doc")).alias("need")).distinct()
+    blobs = stored.keep(_blobs(docs.join(needed, F.col("doc_id") == F.col("need"), "left_semi"), width), "blobs")
+    answers = stored.keep(_compared(pairs, blobs, percent), "answers")
+
+    same = twins.where("a < b").unionByName(
+        answers.where("linked").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
+    label = components(stored, same)
+    placed = pairs.join(label.withColumnRenamed("node", "doc"), "doc", "left").select(
+        "leader", "doc", F.coalesce("component", "doc").alias("component"))
+    open_ones = placed.groupBy("leader").agg(
+        F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    more = stored.keep(_family_links(placed.join(open_ones.select("leader", "n"), "leader"), blobs, percent), "more")
+    final = components(stored, same.unionByName(more))
+    stored.drop(blocks, pairs, blobs, answers, label, more, twins)
+    return sets.join(final, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
-    stored.drop(members, pairs, *answers, *([] if blobs is None else [blobs]))
-    return out
-
-
-def _derived(answers: DataFrame) -> DataFrame:
-    """Lists under the leaders: a prefix of each difference, rare elements first, so that lists stay short."""
-    each = answers.select("leader", "doc", "near", "strong", "weak", F.explode("differ").alias("element"))
-    often = each.groupBy("leader", "element").agg(F.count(F.lit(1)).alias("often"))
-    order = Window.partitionBy("leader", "doc").orderBy("often", "element")
-    ranked = each.join(often, ["leader", "element"]).withColumn("rank", F.row_number().over(order))
-    apart = ranked.where("not near and rank <= strong").select(
-        F.xxhash64("leader", "element", F.lit(0)).alias("key"), "doc", F.lit(0).alias("role"))
-    between = ranked.where("rank <= if(near, strong, weak)").select(
-        F.xxhash64("leader", "element", F.lit(1)).alias("key"), "doc", F.expr("if(near, 2, 1)").alias("role"))
-    return apart.unionByName(between)
-
-
-def _untested(lists: DataFrame, label: DataFrame, answers: list[DataFrame]) -> DataFrame:
-    """Pairs (leader, doc) to compare of lists that hold more than one component, without those compared before.
-
-    A pair of a long list is one of its leader and a member, and is marked; at first all lists give such pairs. Roles 1
-    and 2 are sets apart from and linked with the leader above; such a list matters if it has both.
-    """
-    listed = lists.join(label.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "key", "doc", "role", F.coalesce("component", "doc").alias("component"))
-    mixed = listed.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.min("doc").alias("leader"),
-        F.min("role").alias("role_low"), F.max("role").alias("role_high"), F.count(F.lit(1)).alias("n"),
-    ).where("low < high and (role_low < role_high or role_low = 0)").select(
-        "key", "leader", (F.col("n") > SHORT).alias("long"))
-    rows = listed.join(mixed, "key")
-    led = rows.where("leader < doc").select("leader", "doc", "long")
-    if not answers:
-        return led.groupBy("leader", "doc").agg(F.max("long").alias("long"))
-    short = rows.where("not long").select("key", "doc", "role", "component")
-    one, other = short.alias("one"), short.alias("other")
-    direct = one.join(other, "key").where(
-        "one.doc < other.doc and one.component <> other.component and (one.role = 0 or one.role <> other.role)")
-    pairs = led.where("long").unionByName(direct.select(
-        F.col("one.doc").alias("leader"), F.col("other.doc").alias("doc"), F.lit(False).alias("long")))
-    pairs = pairs.groupBy("leader", "doc").agg(F.max("long").alias("long"))
-    done = _union(answers).select("leader", "doc", F.col("long").alias("done_long"))
-    done = done.groupBy("leader", "doc").agg(F.max("done_long").alias("done_long"))
-    return pairs.join(done, ["leader", "doc"], "left").where("done_long is null or (long and not done_long)").drop("done_long")
-
-
-def _union(tables: list[DataFrame]) -> DataFrame:
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out
 
 
 def first_of_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
