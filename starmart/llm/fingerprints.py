@@ -94,7 +94,7 @@ def fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     n = ranges or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    cuts = [float("-inf"), *_ranges(docs, n), float("inf")]
+    cuts = [float("-inf"), *(_ranges(docs, n) or [0.0]), float("inf")]
     keyed = docs.withColumn("at", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))))
     keyed = Bucketizer(splits=cuts, inputCol="at", outputCol="part").transform(keyed)
     keyed = keyed.select("doc_id", "text", F.col("part").cast("int").alias("part"))
