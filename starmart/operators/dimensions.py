@@ -26,7 +26,7 @@ def new_members(dim: DataFrame, staged: DataFrame, spec: DimSpec) -> DataFrame:
 
 def keyed_members(dim: DataFrame, members: DataFrame, spec: DimSpec, as_of) -> DataFrame:
     """Dimension rows of new members, with keys above the highest key in use."""
-    audited = members.withColumns({"src_system": F.lit("oltp"), "etl_loaded_at": ntz(as_of)})
+    audited = members.withColumns({"src_system": F.lit(spec.source.src_system), "etl_loaded_at": ntz(as_of)})
     keyed = assign_surrogate_keys(audited, spec.nat, spec.sk, highest_key(dim, spec.sk))
     return keyed.select(*spec.schema)
 

@@ -29,16 +29,19 @@ def ranked_within(
     inside = Window.partitionBy("_slice", group).orderBy(order)
     # Only the first group of a slice can have begun in a lower one, so just those groups are counted,
     # and at most one row per slice is broadcast.
-    firsts = sliced.groupBy("_slice").agg(F.min(group).alias(group)).select(group).distinct()
-    shared = sliced.join(F.broadcast(firsts), group, "left_semi")
+    firsts = sliced.groupBy("_slice").agg(F.min(F.struct(group)).getField(group).alias(group)).select(group).distinct()
+    first = firsts.withColumnRenamed(group, "_first")
+    shared = sliced.join(F.broadcast(first), F.col(group).eqNullSafe(F.col("_first")), "left_semi")
     sizes = shared.groupBy("_slice", group).agg(F.count("*").alias("_n"))
     below = Window.partitionBy(group).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    offsets = sizes.select("_slice", group, (F.sum("_n").over(below) - F.col("_n")).alias("_below"))
+    offsets = sizes.select(
+        F.col("_slice").alias("_of"), F.col(group).alias("_in"), (F.sum("_n").over(below) - F.col("_n")).alias("_below"))
+    lower = (F.col("_slice") == F.col("_of")) & F.col(group).eqNullSafe(F.col("_in"))
     return (
         sliced.withColumn("_rank", F.row_number().over(inside))
-        .join(F.broadcast(offsets.filter("_below > 0")), ["_slice", group], "left")
+        .join(F.broadcast(offsets.filter("_below > 0")), lower, "left")
         .withColumn(out, (F.coalesce("_below", F.lit(0)) + F.col("_rank")).cast("int"))
         .select(*df.columns, out)
     )

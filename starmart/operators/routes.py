@@ -51,7 +51,7 @@ def _running_sha1(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         done = []
         for next_route, text in zip(batch["route_id"], batch["_text"]):
-            if next_route == route:
+            if state is not None and next_route == route:
                 state.update(b",")
             else:
                 if state is not None:

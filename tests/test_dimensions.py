@@ -103,3 +103,9 @@ def test_insert_if_absent(spark):
     stored = cal.calendar(spark, "2024-01-01", "2024-01-03")
     wanted = cal.calendar(spark, "2024-01-02", "2024-01-05")
     assert rows(cal.insert_if_absent(stored, wanted, "date_key"), "date_key") == [(20240104,), (20240105,)]
+
+
+def test_source_system_is_that_of_the_staged_table(spark):
+    staged = conform(frame(spark, "vehicle_id string", ("V1",)), t.VEHICLE, "b", AS_OF)
+    merged = merge_insert_only(empty_dim(spark, t.DIM_VEHICLE), staged, t.DIM_VEHICLE, AS_OF)
+    assert rows(merged, "src_system") == [("oltp_or_stream",)]

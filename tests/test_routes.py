@@ -80,3 +80,17 @@ def test_payments(spark):
         ("apple_pay",), ("card",), ("cash",), ("google_pay",)]
     assert payments_from_trips(trips, share=1.0).count() == 2000
     assert set(t.PAYMENT.columns) | {"src_system"} == set(paid.columns)
+
+
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_null_group_is_one_group(spark, partitions):
+    df = spark.createDataFrame([(None, i) for i in range(900)] + [("a", i) for i in range(30)], "g string, o int")
+    got = rows(ranked_within(df, "g", "o", "n", partitions))
+    assert got == sorted([(None, i, i + 1) for i in range(900)] + [("a", i, i + 1) for i in range(30)], key=repr)
+
+
+def test_running_digest_starts_at_a_null_route():
+    import pandas as pd
+
+    batches = iter([pd.DataFrame({"route_id": [None, "a"], "_text": ["x", "y"]})])
+    assert sum(len(b) for b in routes._running_sha1(batches)) == 2
