@@ -3,7 +3,9 @@
 A set is the sorted 64-bit hashes of its shingles. The index lists do not hold single shingles: the hash range is cut
 into position blocks, more of them than two linked sets of the size class can differ in, so two linked sets agree in at
 least one whole block. A list holds the sets that agree in one block; all other blocks, and with them all other lists,
-are skipped. Blocks hold several shingles, so a shingle shared by many unlike documents makes no long list.
+are skipped. Blocks hold several shingles, so a shingle shared by many unlike documents makes no long list. A set enters
+only the lists of its fullest blocks, one more than it and a partner can differ in: in an order that both share, the
+first common block stands among them, so the rest is skipped too.
 
 Every set is compared with the leader of each of its lists, the smallest id. Sets linked with it have their answer (the
 leader's component), so a family of copies has one component after as many comparisons as it has sets. Only families
@@ -33,7 +35,7 @@ from starmart.llm.tables import Stored, components
 from starmart.llm.text import WordHashes, lower_words, mix, window_hashes
 
 #: Sizes of a class grow by this ratio.
-RATIO = 1.5
+RATIO = 2
 #: More blocks than needed, so that the empty ones can be left out.
 SLACK = 1.17
 #: Sets of one family that meet those of another tile in a task, and columns of the matrix they are compared with.
@@ -69,15 +71,16 @@ def _block_keys(s: np.ndarray, k: int, percent: int) -> np.ndarray:
     block = ((s >> np.uint64(32)) * np.uint64(p)) >> np.uint64(32)
     edge = np.searchsorted(block, np.arange(p + 1, dtype=np.uint64))
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(s))])
-    sums = total[edge[1:]] - total[edge[:-1]]
-    filled = edge[1:] > edge[:-1]
+    sums, held = total[edge[1:]] - total[edge[:-1]], edge[1:] - edge[:-1]
     keys = mix(sums + np.arange(p, dtype=np.uint64) * _A + np.uint64((k + 1) * int(_B) % 2**64))
-    # How many shingles this set and any partner in the class can differ in; if more blocks than that are filled, one of
-    # them agrees, and the empty ones are not needed.
+    # How many shingles, and so blocks, this set and any partner in the class can differ in. If more blocks than that are
+    # filled, the first ones by size and key are enough: at most that many differ, so the first common one is among them
+    # on both sides. Else the empty blocks count too, and there are more blocks than differences.
     n = len(s)
-    partner = min(largest, n * 100 // percent)
-    if int(filled.sum()) > (100 - percent) * (n + partner) // (100 + percent):
-        keys = keys[filled]
+    enough = (100 - percent) * (n + min(largest, n * 100 // percent)) // (100 + percent) + 1
+    filled = np.flatnonzero(held)
+    if len(filled) >= enough:
+        keys = keys[filled[np.lexsort((keys[filled], -held[filled]))[:enough]]]
     return keys
 
 
@@ -126,30 +129,30 @@ def _keys(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return docs.where("doc_id is not null").mapInArrow(task, "key long, doc long")
 
 
-def _blobs(docs: DataFrame, width: int) -> DataFrame:
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            blobs = [shingles(t.as_py(), width).tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(blobs, pa.binary())], names=["doc", "blob"])
-
-    return docs.mapInArrow(task, "doc long, blob binary")
+def _linked(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    if not len(s) or not len(t):
+        return False
+    common = int((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum())
+    return 100 * common >= percent * (len(s) + len(t) - common)
 
 
-def _compared(pairs: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
-    """Whether the sets of the pairs (leader, doc) are linked."""
+def _compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Whether the sets of the pairs (leader, doc) are linked. Texts travel, being smaller than their sets of hashes."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, s = None, np.empty(0, np.uint64)
         for batch in batches:
             linked = []
             for x, y in zip(batch.column("x"), batch.column("y")):
-                s, t = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                common = int((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum())
-                linked.append(100 * common >= percent * (len(s) + len(t) - common))
+                x = x.as_py()
+                if x != last:  # the pairs of a leader mostly follow each other
+                    last, s = x, shingles(x, width)
+                linked.append(_linked(s, shingles(y.as_py(), width), percent))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("leader"), batch.column("doc"), pa.array(linked, pa.bool_())], names=["leader", "doc", "linked"])
 
-    left = blobs.select("doc", F.col("blob").alias("y"))
-    right = blobs.select(F.col("doc").alias("leader"), F.col("blob").alias("x"))
+    left = texts.where("follows").select(F.col("need").alias("doc"), F.col("text").alias("y"))
+    right = texts.where("leads").select(F.col("need").alias("leader"), F.col("text").alias("x"))
     both = pairs.select("leader", "doc").join(left, "doc").join(right, "leader")
     return both.select("leader", "doc", "x", "y").mapInArrow(task, "leader long, doc long, linked boolean")
 
@@ -176,7 +179,7 @@ def joining_links(
         common += slab[rows] @ slab[columns].T
     union = sizes[rows][:, None] + sizes[columns][None, :] - common
     of = np.array(component)
-    hit = (100 * common >= percent * union) & (of[rows][:, None] != of[columns][None, :])
+    hit = (common > 0) & (100 * common >= percent * union) & (of[rows][:, None] != of[columns][None, :])
     parent = {c: c for c in component}
 
     def root(c: int) -> int:
@@ -195,24 +198,24 @@ def joining_links(
     return found
 
 
-def _family_links(families: DataFrame, blobs: DataFrame, percent: int) -> DataFrame:
+def _family_links(families: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) that join components within the families (leader, doc, component, n)."""
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     dealt = (
-        families.join(blobs, "doc").withColumn("tile", F.pmod(F.xxhash64("doc"), tiles).cast("int"))
+        families.join(texts.where("follows").select(F.col("need").alias("doc"), "text"), "doc").withColumn("tile", F.pmod(F.xxhash64("doc"), tiles).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
         .withColumn("low", F.least("tile", "other")).withColumn("high", F.greatest("tile", "other"))
         .withColumn("side", F.expr("if(low = high, 2, if(tile = low, 0, 1))"))
     )
 
     def task(table: pa.Table) -> pa.Table:
-        sets = [np.frombuffer(x, np.uint64) for x in table.column("blob").to_pylist()]
+        sets = [shingles(x, width) for x in table.column("text").to_pylist()]
         found = joining_links(*(c for c in (
             table.column("doc").to_pylist(), sets, table.column("component").to_pylist(), table.column("side").to_pylist())), percent)
         a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    columns = dealt.select("leader", "low", "high", "doc", "component", "side", "blob")
+    columns = dealt.select("leader", "low", "high", "doc", "component", "side", "text")
     return columns.groupBy("leader", "low", "high").applyInArrow(task, "a long, b long")
 
 
@@ -234,9 +237,12 @@ def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     leaders = blocks.groupBy("key").agg(F.min("doc").alias("leader"), F.max("doc").alias("last")).where("leader < last")
     pairs = stored.keep(
         blocks.join(leaders.select("key", "leader"), "key").where("leader < doc").select("leader", "doc").distinct(), "pairs")
-    needed = pairs.select(F.explode(F.array("leader", "doc")).alias("need")).distinct()
-    blobs = stored.keep(_blobs(docs.join(needed, F.col("doc_id") == F.col("need"), "left_semi"), width), "blobs")
-    answers = stored.keep(_compared(pairs, blobs, percent), "answers")
+    roles = F.expr("stack(2, leader, true, doc, false) as (need, leads)")
+    needed = pairs.select(roles).groupBy("need").agg(
+        F.max("leads").alias("leads"), F.max(~F.col("leads")).alias("follows"))
+    texts = stored.keep(
+        docs.join(needed, F.col("doc_id") == F.col("need")).select("need", "leads", "follows", "text"), "texts")
+    answers = stored.keep(_compared(pairs, texts, width, percent), "answers")
 
     same = twins.where("a < b").unionByName(
         answers.where("linked").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
@@ -245,9 +251,9 @@ def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
         "leader", "doc", F.coalesce("component", "doc").alias("component"))
     open_ones = placed.groupBy("leader").agg(
         F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    more = stored.keep(_family_links(placed.join(open_ones.select("leader", "n"), "leader"), blobs, percent), "more")
+    more = stored.keep(_family_links(placed.join(open_ones.select("leader", "n"), "leader"), texts, width, percent), "more")
     final = components(stored, same.unionByName(more))
-    stored.drop(blocks, pairs, blobs, answers, label, more, twins)
+    stored.drop(blocks, pairs, texts, answers, label, more, twins)
     return sets.join(final, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 

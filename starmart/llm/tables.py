@@ -16,7 +16,7 @@ class Stored:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """The rows, written once in the shared folder and read back, so that their lineage ends there."""
         path = scratch_path(self.spark, f"{self.label}-{name}")
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.stored_path = path
         return out

@@ -173,6 +173,33 @@ def test_jaccard_is_brute_force(spark, width, percent):
     assert all(found[i].n_shingles == len(sets[i]) for i in docs)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_a_list(percent):
+    """Pairs at the threshold, of all sizes and class borders, with skewed hashes too."""
+    rng = np.random.default_rng(percent)
+    for n in [*range(1, 40), *rng.integers(40, 3000, 400).tolist()]:
+        low = 0 if n % 2 else 3 * 2**62
+        pool = np.unique(rng.integers(low, 2**64, 2 * n + 8, dtype=np.uint64, endpoint=False))
+        pool = rng.permutation(pool)
+        for lost in {0, int(rng.integers(0, n))}:
+            kept = n - lost
+            more = max(int(kept * 100 / percent) - n, -1)
+            if more < 0:
+                continue
+            a, b = np.sort(pool[:n]), np.sort(np.concatenate([pool[lost:n], pool[n:n + more]]))
+            assert 100 * kept >= percent * (n + more)
+            assert np.intersect1d(jaccard.block_keys(a, percent), jaccard.block_keys(b, percent)).size
+
+
+def test_jaccard_of_repeated_ids(spark):
+    """Rows of one id are one document with the links of both; an empty one adds none."""
+    text, near = prose(1, 60), prose(1, 60) + " end"
+    rows = [(1, text), (1, None), (2, near), (2, ""), (3, near), (3, prose(9, 50)), (4, prose(9, 50)), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard.linked(docs).groupBy("doc_id").agg(F.min("component_id"), F.max("component_id"), F.count("*")).collect()
+    assert sorted(map(tuple, found)) == [(1, 1, 1, 2), (2, 1, 1, 2), (3, 1, 1, 2), (4, 1, 1, 1), (5, 5, 5, 1)]
+
+
 def test_large_family_of_near_copies(spark, monkeypatch):
     """Copies that their leader does not join, in tiles smaller than the family."""
     monkeypatch.setattr(jaccard, "TILE", 7)
