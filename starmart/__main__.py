@@ -1,6 +1,7 @@
 """Command line: ``spark-submit``-able load and comparison.
 
     python -m starmart load    --raw s3a://raw --root s3a://house --batch-id b2 --as-of 2024-02-01 --previous b1
+    python -m starmart check   --root s3a://house --batch-id b2
     python -m starmart compare --root s3a://house --snapshot b2 --out s3a://reports --as-of 2024-02-01
 """
 
@@ -19,20 +20,31 @@ def main(argv: list[str] | None = None) -> dict:
     load = jobs.add_parser("load", help="raw files to staging, dimensions, facts and mart")
     load.add_argument("--raw", required=True)
     load.add_argument("--batch-id", required=True)
-    load.add_argument("--previous", help="batch whose route snapshot this one builds on")
+    load.add_argument("--previous", help="batch whose route snapshot this one builds on (the latest)")
+    load.add_argument("--first", action="store_true", help="start an empty warehouse")
     load.add_argument("--reload-mart", action="store_true", help="rebuild the whole mart")
     report = jobs.add_parser("compare", help="star against mart, as CSV and JSON")
     report.add_argument("--snapshot", required=True)
     report.add_argument("--out", required=True)
     report.add_argument("--days", type=int, default=7)
-    for job in (load, report):
+    check = jobs.add_parser("check", help="constraints of a batch; fails if one is violated")
+    check.add_argument("--batch-id", required=True)
+    for job in (load, report, check):
         job.add_argument("--root", required=True)
+    for job in (load, report):
         job.add_argument("--as-of", required=True, help="the moment that counts as now")
     args = parser.parse_args(argv)
+    if args.job == "check":
+        house = Warehouse(build_session(), args.root)
+        broken = house.constraints(args.batch_id, args.batch_id).filter("violations > 0")
+        found = {r.check_name: r.violations for r in broken.collect()}  # one row per declared constraint
+        if found:
+            raise SystemExit(f"violated: {found}")
+        return {"violated": 0}
     as_of = args.as_of if " " in args.as_of else f"{args.as_of} 00:00:00"
     spark = build_session()
     if args.job == "load":
-        done = load_batch(spark, args.raw, args.root, args.batch_id, as_of, args.previous, args.reload_mart)
+        done = load_batch(spark, args.raw, args.root, args.batch_id, as_of, args.previous, args.reload_mart, args.first)
     else:
         done = write_comparison(Warehouse(spark, args.root), args.snapshot, args.out, as_of, args.days)
     print(done)

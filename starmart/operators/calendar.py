@@ -35,6 +35,13 @@ def calendar(spark: SparkSession, first: str = CALENDAR_FIRST, last: str = CALEN
     return describe_days(span.select(F.explode("days").alias("full_date")))
 
 
+def calendar_with(spark: SparkSession, days: DataFrame) -> DataFrame:
+    """The standard calendar and the dates in ``days`` (one column), each day once."""
+    named = days.toDF("full_date").filter("full_date is not null").distinct()
+    standard = calendar(spark)
+    return standard.unionByName(insert_if_absent(standard, describe_days(named), "date_key"))
+
+
 def calendar_for(df: DataFrame, day: Column) -> DataFrame:
     """One row per day from the first to the last date found in ``df``."""
     span = df.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))

@@ -17,6 +17,10 @@ def conform(raw: DataFrame, spec: StagingSpec, batch_id: str, as_of) -> DataFram
     its declared type becomes NULL; ``cast_failures`` finds the rows. Because it is one ``select``,
     column pruning reaches the scan.
     """
+    return raw.select(*_columns(raw, spec, batch_id, as_of))
+
+
+def _columns(raw: DataFrame, spec: StagingSpec, batch_id: str, as_of) -> list[Column]:
     fixed = {"etl_batch_id": F.lit(batch_id), "etl_loaded_at": ntz(as_of)}
     absent = {"src_system": F.lit(spec.src_system)}
 
@@ -27,7 +31,28 @@ def conform(raw: DataFrame, spec: StagingSpec, batch_id: str, as_of) -> DataFram
             return _as(raw, name, kind)
         return absent.get(name, F.lit(None)).cast(kind)
 
-    return raw.select(*(column(n, k).alias(n) for n, k in spec.schema.items()))
+    return [column(n, k).alias(n) for n, k in spec.schema.items()]
+
+
+def checked(raw: DataFrame, spec: StagingSpec, batch_id: str, as_of) -> DataFrame:
+    """The rows of ``conform`` with ``reject_reason`` and, for rejected ones, the raw row as JSON.
+
+    A row is rejected if a value does not fit its type or a mandatory value is missing.
+    """
+    rows = raw.select(
+        F.struct(*_columns(raw, spec, batch_id, as_of)).alias("row"),
+        F.struct(*raw.columns).alias("raw"), _unfit(raw, spec).alias("unfit"),
+    )
+    absent = (F.when(F.col(f"row.{n}").isNull(), F.lit(n)) for n in spec.required)
+    reasons = F.concat(
+        F.transform("unfit", lambda c: F.concat(c, F.lit(" does not fit"))),
+        F.transform(F.array_compact(F.array(*absent)), lambda c: F.concat(c, F.lit(" missing"))),
+    )
+    bad = F.size(reasons) > 0
+    return rows.select(
+        "row.*", F.when(bad, F.array_join(reasons, ", ")).alias("reject_reason"),
+        F.when(bad, F.to_json("raw")).alias("raw_row"),
+    )
 
 
 def _as(raw: DataFrame, name: str, kind: str) -> Column:
@@ -39,18 +64,21 @@ def _as(raw: DataFrame, name: str, kind: str) -> Column:
     return F.col(name).cast(kind) if kind == "string" else F.col(name).try_cast(kind)
 
 
-def cast_failures(raw: DataFrame, spec: StagingSpec) -> DataFrame:
-    """Rows with a value that ``conform`` had to null, with the names of the columns."""
-    names = [n for n in spec.columns if n in raw.columns]
-    failed = F.array_compact(
+def _unfit(raw: DataFrame, spec: StagingSpec) -> Column:
+    names = [n for n in spec.schema if n in raw.columns and n not in ("etl_batch_id", "etl_loaded_at")]
+    return F.array_compact(
         F.array(
             *(
-                F.when(F.col(n).isNotNull() & _as(raw, n, spec.columns[n]).isNull(), F.lit(n))
+                F.when(F.col(n).isNotNull() & _as(raw, n, spec.schema[n]).isNull(), F.lit(n))
                 for n in names
             )
         )
     )
-    return raw.withColumn("failed_columns", failed).filter(F.size("failed_columns") > 0)
+
+
+def cast_failures(raw: DataFrame, spec: StagingSpec) -> DataFrame:
+    """Rows with a value that ``conform`` had to null, with the names of the columns."""
+    return raw.withColumn("failed_columns", _unfit(raw, spec)).filter(F.size("failed_columns") > 0)
 
 
 def batch_rows(staged: DataFrame, batch_id: str | None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -53,6 +54,26 @@ def foreign_key(child: DataFrame, key: str, parent: DataFrame, parent_key: str,
     )
 
 
+def references(
+    child: DataFrame, parents: Mapping[str, tuple[str, DataFrame, str]]
+) -> DataFrame:
+    """Number of orphaned keys per check (name: key, parent, parent's key), from one scan of the child.
+
+    Rows are folded per check and key before they meet the parents.
+    """
+    pairs = F.array(*(
+        F.struct(F.lit(name).alias("check_name"), F.col(key).cast("bigint").alias("key"))
+        for name, (key, _, _) in parents.items()
+    ))
+    counted = child.select(F.inline(pairs)).groupBy("check_name", "key").agg(F.count("*").alias("_n"))
+    known = reduce(DataFrame.unionByName, (
+        parent.select(F.lit(name).alias("check_name"), F.col(key).cast("bigint").alias("key"))
+        for name, (_, parent, key) in parents.items()
+    ))
+    orphans = counted.filter("key is not null").join(known, ["check_name", "key"], "left_anti")
+    return orphans.groupBy("check_name").agg(F.sum("_n").cast("bigint").alias("violations"))
+
+
 def too_long(df: DataFrame, column: str, limit: int, keep: Sequence[str]) -> DataFrame:
     """Rows whose text exceeds ``limit`` characters."""
     length = F.length(column).cast("int")

@@ -162,21 +162,22 @@ def asof_lookup(
 ) -> DataFrame:
     """Surrogate key of the version valid on the fact's day; NULL if there is none.
 
-    Both sides carry the month, clipped to the days the facts cover. The join is then on key and month,
+    Both sides carry the month; versions are laid out over the months that occur in the facts, so one
+    fact with an outlying day adds one month to a version and no more. The join is on key and month,
     which spreads a key with many versions or facts over its months, and a fact is held against the
     versions of one month (at most 31, as versions do not overlap) instead of all of its key.
     """
-    first, last = facts.agg(F.min(day)).scalar(), facts.agg(F.max(day)).scalar()
-    lower, upper = F.greatest("_from", first), F.least("_to", last)
+    months = facts.agg(F.sort_array(F.collect_set(F.trunc(day, "month")))).scalar()
+    inside = "filter(_months, m -> m between trunc(_from, 'month') and _to)"
     versions = (
         dim.filter("valid_from <= valid_to")
         .select(
             F.col(spec.nat).alias("_nat"), spec.sk, F.col("valid_from").alias("_from"),
             F.col("valid_to").alias("_to"),
         )
-        .withColumns({"_lower": F.trunc(lower, "month"), "_upper": F.trunc(upper, "month")})
-        .filter("_lower <= _upper")
-        .withColumn("_month", F.explode(F.expr("sequence(_lower, _upper, interval 1 month)")))
+        .withColumn("_months", months)
+        .withColumn("_month", F.explode(F.expr(inside)))
+        .drop("_months")
     )
     matches = (
         (F.col(key) == F.col("_nat"))

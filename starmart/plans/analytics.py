@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from starmart.functions import sqltext as x
-from starmart.tables import CALENDAR_FIRST, CALENDAR_LAST, STATUS_CANCELED, STATUS_COMPLETED
+from starmart.tables import STATUS_CANCELED, STATUS_COMPLETED
 
 ROUTE_HOUR_COLUMNS = (
     "route_code", "route_name", "route_type", "start_hour", "trips_total", "trips_completed",
@@ -100,8 +100,8 @@ def _recent_trips(as_of, days: int, joined: bool) -> str:
 
     The date-key range prunes fact partitions and row groups before any join. Calendar and clock have
     a fixed number of rows (one per day, one per second of the day), so they may be broadcast. As the
-    clock holds every second and the standard calendar every day of its range, the same rows come
-    from checking the keys, which costs no join.
+    clock holds every second and the stored calendar every day of the loaded facts, the same rows come
+    from checking that the keys are a date and a time, which costs no join.
     """
     start = since(as_of, days)
     first_key = x.date_key(start)
@@ -118,7 +118,7 @@ def _recent_trips(as_of, days: int, joined: bool) -> str:
         select *, {x.key_hour('start_time_key')} as hour, {x.key_to_date('start_date_key')} as full_date
         from {{fact}}
         where {recent} and {x.valid_time_key('start_time_key')}
-          and {x.key_to_date('start_date_key')} between date'{CALENDAR_FIRST}' and date'{CALENDAR_LAST}'"""
+          and {x.key_to_date('start_date_key')} is not null"""
 
 
 def _star(

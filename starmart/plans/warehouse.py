@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmart.functions.time import ntz
 from starmart.operators import calendar as cal
 from starmart.operators import quality, scd2
-from starmart.operators.conform import batch_rows, conform
+from starmart.operators.conform import batch_rows, checked
 from starmart.operators.dimensions import keyed_members, new_members
 from starmart.operators.facts import FactSpec, classified_rows, payment_spec, position_spec, trip_spec
 from starmart.operators.mart import build_mart
@@ -45,22 +45,55 @@ class Warehouse:
     def path(self, *parts: str) -> str:
         return "/".join((self.root, *parts))
 
-    def staged(self, spec: StagingSpec, batch_id: str | None = None) -> DataFrame:
-        table = io.read_table(self.spark, self.path("staging", spec.name), spec.schema)
+    def staged(self, spec: StagingSpec, batch_id: str | None = None, state: str = io.ACCEPTED) -> DataFrame:
+        """Staging rows of a batch, or of all; rejected ones have their reason and raw row."""
+        table = io.read_staged(self.spark, self.path("staging", spec.name), spec.schema, state)
         return batch_rows(table, batch_id)
 
-    def dim(self, spec) -> DataFrame:
-        return io.read_table(self.spark, self.path("dim", spec.name), spec.schema)
+    def dim(self, spec, or_empty: bool = False) -> DataFrame:
+        return io.read_table(self.spark, self.path("dim", spec.name), spec.schema, or_empty)
 
     def routes(self, snapshot: str | None) -> DataFrame:
-        """A snapshot of the versioned route dimension; empty before the first load."""
+        """A snapshot of the versioned route dimension; with None that before the first load, which is empty."""
         if snapshot is None:
             return self.spark.createDataFrame([], io.ddl(DIM_ROUTE_SCHEMA))
         path = io.batch_folder(self.path("dim", "dim_route"), snapshot)
         return io.read_table(self.spark, path, DIM_ROUTE_SCHEMA)
 
-    def facts(self, spec: FactSpec, source: StagingSpec, state: str = io.ACCEPTED) -> DataFrame:
-        return io.read_facts(self.spark, self.path("fact", spec.name), fact_schema(spec, source), state)
+    def snapshots(self) -> dict[str, str | None]:
+        """Stored route snapshots, each with the one it builds on."""
+        lineage = io.read_table(
+            self.spark, self.path("dim", "dim_route_lineage"), {"previous": "string", "etl_batch_id": "string"}, or_empty=True)
+        known = {r.etl_batch_id: r.previous for r in lineage.collect()}  # one row per batch
+        return {b: known.get(b) for b in io.stored_batches(self.spark, self.path("dim", "dim_route"))}
+
+    def previous_snapshot(self, batch_id: str, previous: str | None = None, first: bool = False) -> str | None:
+        """The snapshot a batch builds on: the named one, for a repeated batch that of its former run, else the latest.
+
+        Only a ``first`` load starts from nothing, and only while no other batch has a snapshot.
+        """
+        known = self.snapshots()
+        others = sorted(set(known) - {batch_id})
+        if first:
+            if others or previous is not None:
+                raise ValueError(f"not a first load: there are route snapshots of {others or previous}")
+            return None
+        if previous is not None:
+            if previous not in others:
+                raise ValueError(f"no route snapshot {previous!r} other than the batch's own; stored: {others}")
+            return previous
+        if batch_id in known:
+            return known[batch_id]
+        latest = sorted(set(known) - set(known.values()))
+        if len(latest) != 1:
+            raise ValueError(f"name the previous snapshot, or load as first; latest ones stored: {latest}")
+        return latest[0]
+
+    def facts(
+        self, spec: FactSpec, source: StagingSpec, state: str = io.ACCEPTED, or_empty: bool = False
+    ) -> DataFrame:
+        return io.read_facts(
+            self.spark, self.path("fact", spec.name), fact_schema(spec, source), state, or_empty)
 
     def trips(self) -> DataFrame:
         return self.facts(trip_spec(), TRIP)
@@ -69,32 +102,42 @@ class Warehouse:
         return io.read_table(self.spark, self.path("mart", "trip_route_hourly"),
                              MART_SCHEMA | {"start_date": "date"})
 
-    def load_staging(self, raw: str, batch_id: str, as_of) -> dict[str, int]:
+    def stage(self, raw: DataFrame, spec: StagingSpec, batch_id: str, as_of) -> dict[str, int]:
+        """Store the rows of one entity; those with unfit or missing values apart, with the reasons."""
+        return io.write_staged(checked(raw, spec, batch_id, as_of), self.path("staging", spec.name), batch_id)
+
+    def load_staging(self, raw: str, batch_id: str, as_of) -> dict[str, dict[str, int]]:
         return {
-            spec.name: io.write_batch(
-                conform(io.read_raw(self.spark, raw, spec.entity), spec, batch_id, as_of),
-                self.path("staging", spec.name), batch_id,
-            )
+            spec.name: self.stage(io.read_raw(self.spark, raw, spec.entity), spec, batch_id, as_of)
             for spec in STAGING
         }
 
-    def load_generated(self) -> dict[str, int]:
-        """Calendar and clock; rows that exist already are left alone."""
+    def load_generated(self, batch_id: str | None = None) -> dict[str, int]:
+        """Clock and calendar, with the days of the staged batch that lie outside the standard years; rows
+        that exist already are left alone."""
+        moments = ((TRIP, ("start_ts", "end_ts")), (PAYMENT, ("created_at",)), (VEHICLE_POSITION, ("event_ts",)))
+        days = (
+            self.staged(spec, batch_id).select(F.explode(F.array(*(F.col(c).cast("date") for c in columns))))
+            for spec, columns in moments
+        )
         counts = {}
         for name, rows, key in (
-            ("dim_date", cal.calendar(self.spark), "date_key"),
+            ("dim_date", cal.calendar_with(self.spark, reduce(DataFrame.union, days)), "date_key"),
             ("dim_time", cal.clock(self.spark), "time_key"),
         ):
             path = self.path("dim", name)
-            stored = io.read_table(self.spark, path, dict(rows.dtypes))
+            stored = io.read_table(self.spark, path, dict(rows.dtypes), or_empty=True)
             counts[name] = io.append_rows(cal.insert_if_absent(stored, rows, key), path)
         return counts
 
-    def load_dimensions(self, batch_id: str | None, as_of) -> dict[str, int]:
+    def calendar(self) -> DataFrame:
+        return io.read_table(self.spark, self.path("dim", "dim_date"), {"date_key": "int", "full_date": "date"})
+
+    def load_dimensions(self, batch_id: str | None, as_of, first: bool = False) -> dict[str, int]:
         """Append new members. They are written first, because numbering them reads them twice."""
         counts = {}
         for spec in DIMENSIONS:
-            dim = self.dim(spec)
+            dim = self.dim(spec, or_empty=first)
             pending = self._written(new_members(dim, self.staged(spec.source, batch_id), spec), spec.name)
             counts[spec.name] = io.append_rows(
                 keyed_members(dim, pending, spec, as_of), self.path("dim", spec.name)
@@ -113,13 +156,16 @@ class Warehouse:
         staged = scd2.resolve_default_fare(self.staged(ROUTE, batch_id), self.dim(DIM_FARE_PRODUCT))
         latest = scd2.latest_versions(staged, as_of)
         versions = self._written(scd2.new_versions(dim, latest, as_of, **policy), "route-versions")
-        folder = self.path("dim", "dim_route")
-        total = io.write_batch(scd2.snapshot(dim, versions), folder, batch_id)
+        total = io.write_batch(scd2.snapshot(dim, versions), self.path("dim", "dim_route"), batch_id)
+        built_on = self.spark.range(1).select(F.lit(previous).cast("string").alias("previous"))
+        io.write_batch(built_on, self.path("dim", "dim_route_lineage"), batch_id)
         return {"dim_route_inserted": versions.count(), "dim_route": total}
 
     def load_facts(self, batch_id: str, snapshot: str, as_of) -> dict[str, dict[str, int]]:
         dims = {spec.name: self.dim(spec) for spec in DIMENSIONS}
         dims["dim_route"] = scd2.current_only(self.routes(snapshot))
+        former = batch_rows(self.facts(trip_spec(), TRIP, or_empty=True), batch_id).select("start_date_key").distinct()
+        former.write.mode("append").parquet(self._left(batch_id))
         counts = {}
         for make_spec, source in FACTS:
             spec = make_spec()
@@ -130,56 +176,89 @@ class Warehouse:
             )
         return counts
 
+    def _left(self, batch_id: str) -> str:
+        """Where the dates of a batch's former facts wait until the mart has been rewritten for them."""
+        return io.batch_folder(self.path("mart_pending"), batch_id)
+
+    def _touched(self, trips: DataFrame, batch_id: str, snapshot: str) -> DataFrame:
+        """Dates of the mart that a batch changes: of its facts, of those of its former run, and of all
+        facts of route versions that are no longer current."""
+        own = batch_rows(trips, batch_id).select("start_date_key")
+        former = io.read_table(self.spark, self._left(batch_id), {"start_date_key": "int"}, or_empty=True)
+        before, now = (
+            scd2.current_only(self.routes(s)).select("route_sk") for s in (self.snapshots().get(snapshot), snapshot))
+        closed = trips.join(before.join(now, "route_sk", "left_anti"), "route_sk", "left_semi").select("start_date_key")
+        return own.union(former).union(closed).distinct()
+
     def load_mart(self, batch_id: str | None, snapshot: str, as_of, **options) -> int:
-        """Rebuild the mart: all of it without a batch id, else the dates the batch touches."""
-        trips = self.trips()
-        if batch_id is not None:
-            touched = batch_rows(trips, batch_id).select("start_date_key").distinct()
-            trips = trips.join(touched, "start_date_key", "left_semi")
-        mart = build_mart(trips, self.routes(snapshot), as_of, **options)
-        return io.write_mart(mart, self.path("mart", "trip_route_hourly"), reload_all=batch_id is None)
+        """Rebuild the mart: all of it without a batch id, else the dates the batch touches, which gives
+        the same rows. Dates that no longer have any are emptied."""
+        trips, path = self.trips(), self.path("mart", "trip_route_hourly")
+        if batch_id is None:
+            return io.write_mart(build_mart(trips, self.routes(snapshot), as_of, **options), path, reload_all=True)
+        touched = self._written(self._touched(trips, batch_id, snapshot), "touched")
+        kept = trips.join(touched, "start_date_key", "left_semi")
+        mart = self._written(build_mart(kept, self.routes(snapshot), as_of, **options), "mart")
+        count = io.write_mart(mart, path)
+        filled = mart.select(F.date_format("start_hour", "yyyyMMdd").cast("int").alias("start_date_key")).distinct()
+        emptied = touched.join(filled, "start_date_key", "left_anti").select(
+            F.to_date(F.col("start_date_key").cast("string"), "yyyyMMdd").cast("string"))
+        for (day,) in emptied.collect():  # at most one row per day
+            io.remove(self.spark, f"{path}/start_date={day}")
+        io.remove(self.spark, self._left(batch_id))
+        return count
 
     def constraints(self, batch_id: str, snapshot: str) -> DataFrame:
         """Every declared constraint with its number of violations: mandatory columns and lengths of the
-        batch's staging, keys of the dimensions, and references from the facts."""
+        batch's staging, keys of the dimensions, and references from routes and the batch's facts. Each fact is
+        read once."""
         routes = self.routes(snapshot)
         checks = [quality.staging_checks(self.staged(spec, batch_id), spec) for spec in STAGING]
         checks += [quality.duplicates(self.dim(s), [s.nat], f"{s.name} key twice") for s in DIMENSIONS]
         checks.append(quality.duplicates(routes, ["route_id_nat", "valid_from"], "dim_route key twice"))
         parents = {s.name: self.dim(s) for s in DIMENSIONS} | {"dim_route": routes}
-        days = cal.calendar(self.spark)
-        for spec, source in FACTS:
-            rows = self.facts(spec(), source)
-            checks += [
-                quality.foreign_key(rows, look.out, parents[look.dim], look.sk, f"{spec().name}.{look.out} orphaned")
-                for look in spec().lookups
-            ]
-            key = spec().date_key
-            checks.append(quality.foreign_key(rows, key, days, "date_key", f"{spec().name}.{key} orphaned"))
+        fare = DIM_FARE_PRODUCT
+        checks.append(quality.foreign_key(
+            routes, "default_fare_product_sk", parents[fare.name], fare.sk, "dim_route.default_fare_product_sk orphaned"))
+        for make_spec, source in FACTS:
+            spec = make_spec()
+            rows = batch_rows(self.facts(spec, source), batch_id)
+            known = {f"{spec.name}.{k.out} orphaned": (k.out, parents[k.dim], k.sk) for k in spec.lookups}
+            known[f"{spec.name}.{spec.date_key} orphaned"] = (spec.date_key, self.calendar(), "date_key")
+            checks.append(quality.references(rows, known))
         return reduce(DataFrame.unionByName, checks)
 
     def gates(self, snapshot: str) -> DataFrame:
         return quality.gate_counts(self.trips(), self.routes(snapshot), self.mart())
 
 
+class GateFailed(RuntimeError):
+    """A load that left no facts or no mart."""
+
+
 def load_batch(
     spark: SparkSession, raw: str, root: str, batch_id: str, as_of, previous: str | None = None,
-    reload_mart: bool = False,
+    reload_mart: bool = False, first: bool = False,
 ) -> dict:
     """Load one batch end to end and return the row counts of every step.
 
-    ``previous`` names the batch whose route snapshot this one builds on. Running a batch again
-    changes nothing: staging, facts and snapshot replace the batch's own folders, the insert-only
-    dimensions add only unknown members, and the mart replaces the dates it recomputes.
+    The batch builds on the ``previous`` route snapshot, by default on the latest; ``first`` starts an
+    empty warehouse. Running a batch again changes nothing: staging, facts and snapshot replace the
+    batch's own folders, the insert-only dimensions add only unknown members, and the mart replaces the
+    dates of this and of the former run. Raises ``GateFailed`` if facts or mart are empty in the end.
     """
     house = Warehouse(spark, root)
+    base = house.previous_snapshot(batch_id, previous, first)
     counts: dict = {"staging": house.load_staging(raw, batch_id, as_of)}
-    counts |= house.load_generated()
-    counts |= house.load_dimensions(batch_id, as_of)
-    counts |= house.load_routes(batch_id, previous, as_of)
+    counts |= house.load_generated(batch_id)
+    counts |= house.load_dimensions(batch_id, as_of, first)
+    counts |= house.load_routes(batch_id, base, as_of)
     counts |= house.load_facts(batch_id, batch_id, as_of)
     counts["mart"] = house.load_mart(None if reload_mart else batch_id, batch_id, as_of)
-    return counts
+    gates = house.gates(batch_id).first().asDict()
+    if not gates["passed"]:
+        raise GateFailed(f"facts or mart are empty: {gates}")
+    return counts | {"mart_stored": gates["mart_rows"]}
 
 
-__all__ = ["Warehouse", "load_batch", "fact_schema"]
+__all__ = ["GateFailed", "Warehouse", "load_batch", "fact_schema"]

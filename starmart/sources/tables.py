@@ -18,13 +18,16 @@ def read_raw(spark: SparkSession, base: str, entity: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{entity}")
 
 
-def read_table(spark: SparkSession, path: str, columns: Mapping[str, str]) -> DataFrame:
-    """A stored table with its declared columns; an empty frame of them if nothing is stored yet."""
+def read_table(
+    spark: SparkSession, path: str, columns: Mapping[str, str], or_empty: bool = False
+) -> DataFrame:
+    """A stored table with its declared columns. A missing one raises, so that a wrong path does not
+    read as no rows; with ``or_empty``, for a first load, it is an empty frame."""
     schema = ddl(dict(columns))
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
+        if not or_empty or missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
@@ -79,6 +82,43 @@ def append_rows(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
+def write_staged(checked: DataFrame, path: str, batch_id: str) -> dict[str, int]:
+    """Store accepted and rejected staging rows of a batch in one pass, without a shuffle."""
+    state = F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
+    rows, seen = counted(
+        checked.withColumn("row_state", state).drop("etl_batch_id"), rejected=F.count("reject_reason")
+    )
+    rows.write.mode("overwrite").partitionBy("row_state").parquet(batch_folder(path, batch_id))
+    counts = seen.get
+    return {ACCEPTED: counts["rows"] - counts["rejected"], REJECTED: counts["rejected"]}
+
+
+def read_staged(spark: SparkSession, path: str, columns: Mapping[str, str], state: str = ACCEPTED) -> DataFrame:
+    stored = {**columns, "reject_reason": "string", "raw_row": "string", "row_state": "string"}
+    rows = read_table(spark, path, stored).filter(F.col("row_state") == state)
+    return rows.select(*columns) if state == ACCEPTED else rows.drop("row_state")
+
+
+def _folder(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def stored_batches(spark: SparkSession, path: str) -> list[str]:
+    """Ids of the batches that have a folder in a table."""
+    files, target = _folder(spark, path)
+    if not files.exists(target):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(target)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith("etl_batch_id="))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a table, if it is there."""
+    files, target = _folder(spark, path)
+    files.delete(target, True)
+
+
 def write_facts(classified: DataFrame, path: str, batch_id: str, date_key: str) -> dict[str, int]:
     """Store accepted and rejected rows of a batch in one pass, partitioned by state and date.
 
@@ -99,9 +139,11 @@ def write_facts(classified: DataFrame, path: str, batch_id: str, date_key: str)
     return {ACCEPTED: counts["rows"] - counts["rejected"], REJECTED: counts["rejected"]}
 
 
-def read_facts(spark: SparkSession, path: str, columns: Mapping[str, str], state: str = ACCEPTED) -> DataFrame:
+def read_facts(
+    spark: SparkSession, path: str, columns: Mapping[str, str], state: str = ACCEPTED, or_empty: bool = False
+) -> DataFrame:
     stored = {**columns, "reject_reason": "string", "etl_batch_id": "string", "row_state": "string"}
-    rows = read_table(spark, path, stored).filter(F.col("row_state") == state).drop("row_state")
+    rows = read_table(spark, path, stored, or_empty).filter(F.col("row_state") == state).drop("row_state")
     return rows.drop("reject_reason") if state == ACCEPTED else rows
 
 

@@ -11,10 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from starmart.functions.time import ntz
 from starmart.operators import scd2
-from starmart.operators.conform import conform
 from starmart.operators.facts import classified_rows, position_spec
 from starmart.plans.warehouse import Warehouse
-from starmart.session import shared_folder
 from starmart.sources import tables as io
 from starmart.tables import DIM_STOP, DIM_VEHICLE, VEHICLE_POSITION
 
@@ -29,14 +27,12 @@ def load_positions(
 ) -> StreamingQuery:
     """Start loading what is available; returns the running query.
 
-    Dimensions are read again for every micro-batch, so members added meanwhile are found.
+    Dimensions are read again for every micro-batch, so members added meanwhile are found. The stream's
+    progress is kept in the warehouse, beside the tables whose folders it numbers.
     """
-    spark = house.spark
-
     def load(batch: DataFrame, number: int) -> None:
         batch_id = f"{name}-{number:012d}"
-        staging = house.path("staging", VEHICLE_POSITION.name)
-        io.write_batch(conform(batch, VEHICLE_POSITION, batch_id, as_of), staging, batch_id)
+        house.stage(batch, VEHICLE_POSITION, batch_id, as_of)
         dims = {
             "dim_vehicle": house.dim(DIM_VEHICLE), "dim_stop": house.dim(DIM_STOP),
             "dim_route": scd2.current_only(house.routes(snapshot)),
@@ -49,7 +45,7 @@ def load_positions(
 
     return (
         feed.writeStream.foreachBatch(load)
-        .option("checkpointLocation", f"{shared_folder(spark).rstrip('/')}/stream/{house.root.strip('/')}/{name}")
+        .option("checkpointLocation", house.path("stream", name))
         .queryName(name)
         .trigger(availableNow=True)
         .start()
