@@ -103,30 +103,24 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
-def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """(id, size, digest) of every row."""
+def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(id, size, digest, keys of its lists) of every row, so that texts are cut into shingles once."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(t.as_py(), width) for t in batch.column("text")]
-            n = np.array([len(s) for s in found], np.int64)
-            digest = np.array([mix(s * _A).sum(dtype=np.uint64) for s in found], np.uint64)
+            size, digest, keys = [], [], []
+            for text in batch.column("text"):
+                s = shingles(text.as_py(), width)
+                size.append(len(s))
+                digest.append(mix(s * _A).sum(dtype=np.uint64))
+                keys.append(block_keys(s, percent))
+            edges = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(edges, np.concatenate(keys) if keys else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(digest.view(np.int64))], names=["doc_id", "size", "digest"])
+                [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(np.array(digest, np.uint64).view(np.int64)), lists],
+                names=["doc_id", "size", "digest", "keys"])
 
-    return docs.mapInArrow(task, "doc_id long, size long, digest long")
-
-
-def _keys(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            keys = [block_keys(shingles(t.as_py(), width), percent) for t in batch.column("text")]
-            owner = np.repeat(ids.astype(np.int64), [len(k) for k in keys])
-            if len(owner):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(owner)], names=["key", "doc"])
-
-    return docs.where("doc_id is not null").mapInArrow(task, "key long, doc long")
+    return docs.mapInArrow(task, "doc_id long, size long, digest long, keys array<long>")
 
 
 def _linked(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
@@ -223,14 +217,14 @@ def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """One row per input row: doc_id, n_shingles, and the smallest id reachable by links of at least ``percent``."""
     stored = Stored(docs.sparkSession, "jaccard")
     docs = _documents(docs)
-    sets = stored.keep(_sets(docs, width), "sets")
+    sets = stored.keep(_sets(docs, width, percent), "sets")
     known = sets.where("doc_id is not null and size > 0").select(F.col("doc_id").alias("doc"), "size", "digest")
 
     # Equal sets are linked with the smallest id that has the digest, and only that one is compared.
     first = known.groupBy("size", "digest").agg(F.min("doc").alias("first"))
     twins = stored.keep(
         known.join(first, ["size", "digest"]).select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct(), "twins")
-    keys = _keys(docs, width, percent)
+    keys = sets.where("doc_id is not null").select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"))
     shared = keys.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
     members = keys.join(shared.select("key"), "key").join(twins.select(F.col("b").alias("doc"), "a"), "doc")
     blocks = stored.keep(members.where("a = doc").select("key", "doc").distinct(), "blocks")
