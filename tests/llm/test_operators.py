@@ -260,6 +260,17 @@ def test_scores_baseline_and_proper_bits(spark):
     assert (10 ** mixer.log10(every)).sum() == pytest.approx(1.0)
 
 
+def test_scores_learn_from_full_counts():
+    """Two n-grams that differ in their last bit only: its refined probability follows the counts, 6,400 to 64."""
+    size = (scoring.ORDER + 1) << scoring.BITS
+    mixer = scoring.Mixer(np.full(size, 1e6), np.full(size, 1e6))
+    gram, count = np.array([0x6162636460, 0x6162636461], np.uint64), np.array([6400.0, 64.0])
+    for _ in range(30):
+        mixer.learn(gram, count)
+    _, gate, _ = mixer.inputs(gram, 7, held_back=True)
+    assert mixer.refined[gate, (scoring.STEPS - 1) // 2] == pytest.approx([64 / 6464] * 2, abs=5e-3)
+
+
 def test_fingerprints(spark):
     texts = {10 * i: prose(i, 20 + 7 * i) + "é" * (i % 3) for i in range(50)}
     found = {r.doc_id: r for r in fingerprints.fingerprints(table(spark, texts), ranges=9).collect()}
