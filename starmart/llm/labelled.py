@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from starmart.llm.text import is_held_out
 
@@ -23,6 +23,27 @@ def sample_labels(labels: DataFrame, label: str, rows: int = SAMPLE_ROWS) -> Dat
     )
 
 
+def sample_of_each(labels: DataFrame, label: str, rows: int, least: int) -> tuple[DataFrame, int]:
+    """((id, label), number of rows at most) of labelled documents, chosen by hash of the id within each label.
+
+    The labels are counted over all documents. Each has its share of ``rows``, but ``least`` rows, or all it has, in any
+    case; so there are at most ``rows`` and ``least + 1`` more for each label.
+    """
+    usable = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out()).select(
+        F.col("doc_id").alias("sample_id"), F.col(label).alias("sample_label"))
+    counted = {r["sample_label"]: r["n"] for r in usable.groupBy("sample_label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(counted.values())
+    parts = [(c, max(min(n, least), -(-rows * n // total) if total > rows else n), n) for c, n in counted.items()]
+    # Twice the rows wanted pass by their hash, so that few rows of a label meet to be ranked.
+    cut = [(c, wanted, min(2 * wanted / n, 1.0)) for c, wanted, n in parts]
+    bounds = labels.sparkSession.createDataFrame(cut, f"of_label {dict(usable.dtypes)['sample_label']}, wanted long, share double")
+    near = usable.join(F.broadcast(bounds), F.col("sample_label") == F.col("of_label")).where(
+        F.pmod(F.xxhash64("sample_id"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    order = Window.partitionBy("sample_label").orderBy(F.xxhash64("sample_id", F.lit(1)), "sample_id")
+    chosen = near.withColumn("rank_in_label", F.row_number().over(order)).where("rank_in_label <= wanted")
+    return chosen.select("sample_id", "sample_label"), sum(wanted for _, wanted, _ in parts)
+
+
 def sample_features(
     docs: DataFrame, chosen: DataFrame, features: Callable[[str | None], tuple[bytes, ...]], names: tuple[str, ...],
     rows: int = SAMPLE_ROWS,

@@ -1,8 +1,9 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Character n-grams of one to four letters are hashed into buckets. Document frequencies of the buckets are counted over
-all training documents; the model is fitted on a bounded sample of them by follow-the-regularised-leader steps with an
-elastic net, and a temperature fitted on sample rows kept apart turns its scores into calibrated probabilities.
+all training documents, and so are the languages; the model is fitted on a bounded sample that holds rows of each of them,
+by follow-the-regularised-leader steps with an elastic net. A temperature fitted on every fifth sample row of a language,
+kept apart, turns its scores into calibrated probabilities.
 
 Defined cases: a null text, or one without any letter, is ``und`` with score 0; repeated rows get equal predictions;
 without labelled training documents every text is ``und`` with score 0; with one label only it is that label; other
@@ -19,12 +20,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from starmart.llm import linear
-from starmart.llm.labelled import sample_features, sample_labels
+from starmart.llm.labelled import sample_features, sample_of_each
 from starmart.llm.text import char_grams, is_held_out
 
 BITS, SIZES = 15, (1, 2, 3, 4)
-#: At most so many labelled rows fit the model; document frequencies are counted over all of them.
+#: So many labelled rows fit the model, in proportion to the languages; document frequencies are counted over all of them.
 SAMPLE_ROWS = 4_000
+#: A language has at least so many rows in the sample, or all its rows if it has fewer.
+LEAST_ROWS = 40
 PIECE = 1 << 20
 
 
@@ -103,7 +106,8 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
         index = np.flatnonzero(c)
         return index.astype(np.int32).tobytes(), c[index].astype(np.int32).tobytes()
 
-    sample = sample_features(training, sample_labels(training, "lang", rows), blobs, ("buckets", "counts"), rows)
+    chosen, most = sample_of_each(training.where(F.col("text").rlike(r"\p{L}")), "lang", rows, LEAST_ROWS)
+    sample = sample_features(training, chosen, blobs, ("buckets", "counts"), most)
     sample = sample[sample["buckets"].str.len() > 0]
     languages = sorted(set(sample["sample_label"]))
     model = Model(languages, idf, np.zeros((2**BITS, len(languages))), np.zeros(len(languages)), 1.0)
@@ -115,7 +119,7 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
         index = np.frombuffer(b, np.int32)
         x = (1.0 + np.log(np.frombuffer(c, np.int32))) * idf[index]
         data.append((np.append(index, 2**BITS), np.append(x / np.sqrt(x @ x), 0.2)))
-    held = np.arange(len(y)) % 5 == 4
+    held = sample.groupby("sample_label").cumcount().to_numpy() % 5 == 4
     fitted = np.flatnonzero(~held)
     w = linear.fit_multinomial([data[i] for i in fitted], y[fitted], 2**BITS + 1, len(languages))
     model.weights, model.bias = w[:-1].astype(np.float32), w[-1] * 0.2

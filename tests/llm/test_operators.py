@@ -72,6 +72,17 @@ def test_language(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in found.values())
 
 
+def test_rare_language_is_in_the_sample(spark):
+    """A language with 8 of 3,000 rows is learnt from a sample of 100 rows, and no row of a tiny one is kept apart."""
+    letters = {"x": "abcdefg", "y": "nopqrst", "z": "αβγδεζη", "t": "абвгдеж"}
+    of = {i: "z" if i % 375 == 0 else "t" if i in (1, 5) else "xy"[i % 2] for i in range(3000)}
+    docs = spark.createDataFrame([(i, prose(i, 20, letters[c]), c, "s", 1) for i, c in of.items()], SCHEMA)
+    model = language.fit(docs, rows=100)
+    assert model.languages == ["t", "x", "y", "z"]
+    for c in "xyz":
+        assert model.predict(prose(9999, 20, letters[c]))[0] == c
+
+
 def test_quality_and_toxicity_learn(spark):
     good = {i: prose(i, 60) for i in range(150)}
     bad = {i: " ".join([prose(i, 1)] * 40) + " !! ##" for i in range(150, 300)}
