@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm import (
-    decontamination, fingerprints, jaccard, language, packing, quality, scoring, secrets, substrings, toxicity,
+    decontamination, fingerprints, jaccard, language, minhash, packing, quality, scoring, secrets, spelling, substrings, toxicity,
+    whitening,
 )
 
 
@@ -58,7 +59,19 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.deduplicated(_documents(spark, folder))
 
 
+def op11_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, folder), width=4, percent=80)
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(_documents(spark, folder))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_decontamination, op3_packing, op4_jaccard_join, op5_toxicity, op6_secret_scan, op7_lm_score, op8_fingerprints,
-    op9_quality_classifier, op10_substring_dedup)}
+    op9_quality_classifier, op10_substring_dedup, op11_minhash_dedup, op12_embedding_whitening, op13_spelling_variants)}
 ORACLE: dict[str, str] = {}
