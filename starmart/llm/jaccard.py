@@ -7,16 +7,15 @@ are skipped. Blocks hold several shingles, so a shingle shared by many unlike do
 only the lists of its fullest blocks, one more than it and a partner can differ in: in an order that both share, the
 first common block stands among them, so the rest is skipped too.
 
-Every set is compared with the leader of each of its lists, the smallest id. Sets linked with it have their answer (the
-leader's component), so a family of copies has one component after as many comparisons as it has sets. Only families
-(the sets under one leader) that still hold several components go on: their sets are dealt into tiles of bounded size,
-every two tiles of a family meet in one task, and there only sets of different components are looked at. A task returns
-no pairs but the few links that join components. So no link between different components is missed. The number of
-tiles that meet grows with the square of a family that leaders could not join, their size does not. Equal sets are told
-by a digest.
+All lists are read in one pass, sorted by key and id. Every set is compared with the leader of each of its lists, the set
+of the smallest id. Sets linked with it have their answer (the leader's component), so a family of copies has one
+component after as many comparisons as it has sets. Only the sets that are then outside their leader's component are
+compared with all sets of its family, in tiles of bounded size, where only sets of different components are looked at (see
+``families``). A task returns no pairs but the links that join components. So no link between different components is
+missed; the work grows with the family times its outstanding sets. Equal sets are one node, told by a digest.
 
-Lists with a third of all rows split over tasks: they are folded before the shuffle, and joined by keys that Spark can
-split. Everything passes through tables in the shared folder, nothing through the driver.
+A list holds one entry of each of its sets' many, so that no key has a large share of the rows. Everything passes
+through tables in the shared folder, nothing through the driver.
 
 Defined cases: null and empty texts have empty sets and stand alone; texts shorter than the shingle are one shingle;
 rows that repeat an id are one document that has the links of both; rows without an id stand alone, with a null
@@ -31,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from starmart.llm.families import family_links, named_components, narrowed, with_component
 from starmart.llm.tables import Stored, components
 from starmart.llm.text import WordHashes, lower_words, mix, window_hashes
 
@@ -38,8 +38,8 @@ from starmart.llm.text import WordHashes, lower_words, mix, window_hashes
 RATIO = 2
 #: More blocks than needed, so that the empty ones can be left out.
 SLACK = 1.17
-#: Sets of one family that meet those of another tile in a task, and columns of the matrix they are compared with.
-TILE, COLUMNS = 400, 8192
+#: Columns of the matrix by which the sets of a tile are compared.
+COLUMNS = 8192
 _HASHES = WordHashes(5)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -99,12 +99,8 @@ def block_keys(s: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(keys).view(np.int64) >> np.int64(16)  # false matches of 48 bits are compared away
 
 
-def _documents(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-
-
 def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(id, size, digest, keys of its lists) of every row, so that texts are cut into shingles once."""
+    """(row, doc_id, size, digest, keys of its lists) of every row, so that texts are cut into shingles once."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,10 +113,10 @@ def _sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
             edges = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(edges, np.concatenate(keys) if keys else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(np.array(digest, np.uint64).view(np.int64)), lists],
-                names=["doc_id", "size", "digest", "keys"])
+                [batch.column("row"), batch.column("doc_id"), pa.array(size, pa.int64()),
+                 pa.array(np.array(digest, np.uint64).view(np.int64)), lists], names=["row", "doc_id", "size", "digest", "keys"])
 
-    return docs.mapInArrow(task, "doc_id long, size long, digest long, keys array<long>")
+    return docs.mapInArrow(task, "row long, doc_id long, size long, digest long, keys array<long>")
 
 
 def _linked(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
@@ -130,27 +126,6 @@ def _linked(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(s) + len(t) - common)
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Whether the sets of the pairs (leader, doc) are linked. Texts travel, being smaller than their sets of hashes."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, s = None, np.empty(0, np.uint64)
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x = x.as_py()
-                if x != last:  # the pairs of a leader mostly follow each other
-                    last, s = x, shingles(x, width)
-                linked.append(_linked(s, shingles(y.as_py(), width), percent))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("leader"), batch.column("doc"), pa.array(linked, pa.bool_())], names=["leader", "doc", "linked"])
-
-    left = texts.where("follows").select(F.col("need").alias("doc"), F.col("text").alias("y"))
-    right = texts.where("leads").select(F.col("need").alias("leader"), F.col("text").alias("x"))
-    both = pairs.select("leader", "doc").join(left, "doc").join(right, "leader")
-    return both.select("leader", "doc", "x", "y").mapInArrow(task, "leader long, doc long, linked boolean")
-
-
 def joining_links(
     ids: list[int], sets: list[np.ndarray], component: list[int], side: list[int], percent: int
 ) -> list[tuple[int, int]]:
@@ -192,76 +167,89 @@ def joining_links(
     return found
 
 
-def _family_links(families: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) that join components within the families (leader, doc, component, n)."""
-    tiles = F.ceil(F.col("n") / TILE).cast("int")
-    dealt = (
-        families.join(texts.where("follows").select(F.col("need").alias("doc"), "text"), "doc").withColumn("tile", F.pmod(F.xxhash64("doc"), tiles).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-        .withColumn("low", F.least("tile", "other")).withColumn("high", F.greatest("tile", "other"))
-        .withColumn("side", F.expr("if(low = high, 2, if(tile = low, 0, 1))"))
-    )
+def _set_links(stored: Stored, docs: DataFrame, known: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) that make the components of the sets, named by their digests.
+
+    The lists are read in one pass, sorted by key and id: the first set of a list is its leader, and every other one
+    meets it.
+    """
+    lists = known.select(F.explode("keys").alias("key"), "doc_id", "digest")
+    order = Window.partitionBy("key").orderBy(F.asc_nulls_last("doc_id"), "digest").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    met = stored.keep(lists.select(F.first("digest").over(order).alias("leader"), F.col("digest").alias("node")).where(
+        "leader != node").distinct(), "met")
+    needed = stored.keep(met.select(F.explode(F.array("leader", "node")).alias("node")).distinct().join(
+        nodes.select("node", "row").hint("merge"), "node"), "needed")
+    texts = stored.keep(narrowed(docs, "row", needed).join(needed.hint("merge"), "row").dropDuplicates(["row"]).select(
+        "node", "text"), "texts")
+    links = family_links(
+        stored, met, met, texts, lambda text: shingles(text, width), lambda s, t: _linked(s, t, percent),
+        lambda *tile: joining_links(*tile, percent))
+    stored.drop(met, needed, texts)
+    return links
+
+
+def _prepared(docs: DataFrame) -> DataFrame:
+    return docs.select(F.xxhash64("doc_id", "text").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    def task(table: pa.Table) -> pa.Table:
-        sets = [shingles(x, width) for x in table.column("text").to_pylist()]
-        found = joining_links(*(c for c in (
-            table.column("doc").to_pylist(), sets, table.column("component").to_pylist(), table.column("side").to_pylist())), percent)
-        a, b = zip(*found) if found else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    columns = dealt.select("leader", "low", "high", "doc", "component", "side", "text")
-    return columns.groupBy("leader", "low", "high").applyInArrow(task, "a long, b long")
+def _nodes(known: DataFrame) -> DataFrame:
+    """One node per set, which is its digest: the smallest id that has it (no id last) and one row with its text."""
+    head = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("head")
+    return known.groupBy("digest").agg(head).select(
+        F.col("digest").alias("node"), F.col("head.doc_id").alias("name"), F.col("head.row").alias("row"), "head")
 
 
 def linked(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """One row per input row: doc_id, n_shingles, and the smallest id reachable by links of at least ``percent``."""
     stored = Stored(docs.sparkSession, "jaccard")
-    docs = _documents(docs)
+    docs = _prepared(docs)
     sets = stored.keep(_sets(docs, width, percent), "sets")
-    known = sets.where("doc_id is not null and size > 0").select(F.col("doc_id").alias("doc"), "size", "digest")
-
-    # Equal sets are linked with the smallest id that has the digest, and only that one is compared.
-    first = known.groupBy("size", "digest").agg(F.min("doc").alias("first"))
-    twins = stored.keep(
-        known.join(first, ["size", "digest"]).select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct(), "twins")
-    keys = sets.where("doc_id is not null").select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"))
-    shared = keys.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
-    members = keys.join(shared.select("key"), "key").join(twins.select(F.col("b").alias("doc"), "a"), "doc")
-    blocks = stored.keep(members.where("a = doc").select("key", "doc").distinct(), "blocks")
-    leaders = blocks.groupBy("key").agg(F.min("doc").alias("leader"), F.max("doc").alias("last")).where("leader < last")
-    pairs = stored.keep(
-        blocks.join(leaders.select("key", "leader"), "key").where("leader < doc").select("leader", "doc").distinct(), "pairs")
-    roles = F.expr("stack(2, leader, true, doc, false) as (need, leads)")
-    needed = pairs.select(roles).groupBy("need").agg(
-        F.max("leads").alias("leads"), F.max(~F.col("leads")).alias("follows"))
-    texts = stored.keep(
-        docs.join(needed, F.col("doc_id") == F.col("need")).select("need", "leads", "follows", "text"), "texts")
-    answers = stored.keep(_compared(pairs, texts, width, percent), "answers")
-
-    same = twins.where("a < b").unionByName(
-        answers.where("linked").select(F.col("leader").alias("a"), F.col("doc").alias("b")))
-    label = components(stored, same)
-    placed = pairs.join(label.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "leader", "doc", F.coalesce("component", "doc").alias("component"))
-    open_ones = placed.groupBy("leader").agg(
-        F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    more = stored.keep(_family_links(placed.join(open_ones.select("leader", "n"), "leader"), texts, width, percent), "more")
-    final = components(stored, same.unionByName(more))
-    stored.drop(blocks, pairs, texts, answers, label, more, twins)
-    return sets.join(final, F.col("doc_id") == F.col("node"), "left").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    known = sets.where("doc_id is not null and size > 0")
+    nodes = stored.keep(_nodes(known).drop("head"), "nodes")
+    links = _set_links(stored, docs, known, nodes, width, percent)
+    placed = named_components(stored, known, nodes, links)
+    stored.drop(nodes, links)
+    return with_component(sets, placed).drop("row")
 
 
 def first_of_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents, all columns, with one kept of each linked group: that with the group's smallest id.
+    """The documents, all columns, with one kept of each linked group.
 
-    Rows without an id are kept. Of rows that repeat a kept id the one with the greatest text stays.
+    Every distinct (id, text) is judged for itself: of a group the one with the smallest id stays (those without an id
+    come last; among unlike texts under one id that with the smallest hash), and of rows that repeat its id and text one
+    stays. Texts without words stay, one of each repeated row. Unlike texts stay, whatever their ids.
     """
-    found = linked(docs, width, percent).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    rank = "rank_in_id"
-    while rank in docs.columns:
-        rank += "_"
-    named = docs.where("doc_id is not null").join(found, F.col("doc_id") == F.col("kept_id"), "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.desc_nulls_last("text"))
-    one = named.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
-    return one.unionByName(docs.where("doc_id is null"))
+    stored = Stored(docs.sparkSession, "first-of-groups")
+    keyed = _prepared(docs)
+    sets = stored.keep(_sets(keyed, width, percent), "sets")
+    known = sets.where("size > 0")
+    nodes = stored.keep(_nodes(known), "nodes")
+    links = _set_links(stored, keyed, known, nodes, width, percent)
+    label = components(stored, links)
+    grouped = nodes.join(label.hint("merge"), "node", "left").select(F.coalesce("component", "node").alias("component"), "head", "node")
+    heads = stored.keep(grouped.groupBy("component").agg(F.min("head").alias("first")).select("component", "first.row"), "heads")
+    # Rows that go are those of other sets of the group, or of the same set under another id or text; rows that repeat a
+    # kept one are told apart by their number. All others stay without being moved.
+    staying = grouped.join(heads.hint("merge"), "component").select(F.col("node").alias("digest"), F.col("row").alias("stays"))
+    rows = known.join(staying.hint("merge"), "digest").groupBy("row").agg(
+        F.max(F.col("row") == F.col("stays")).alias("stays"), F.count(F.lit(1)).alias("n"))
+    blank = sets.where("size = 0").groupBy("row").agg(F.lit(True).alias("stays"), F.count(F.lit(1)).alias("n"))
+    judged = stored.keep(rows.unionByName(blank).where("n > 1 or not stays").select(F.col("row").alias("judged_row"), "stays"), "judged")
+    columns = docs.columns
+    key = _unused(columns, "row_key")
+    with_key = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    wanted = judged.select(F.col("judged_row").alias(key))
+    moved = narrowed(with_key, key, wanted).join(judged.hint("merge"), F.col(key) == F.col("judged_row"), "left")
+    others = [F.col(c) for c in columns if c not in ("doc_id", "text")]
+    one = F.min_by(F.struct(*columns), F.xxhash64(*others) if others else F.lit(0)).alias("one")
+    once = moved.where("stays").groupBy(key).agg(one).select("one.*")
+    stored.drop(nodes, links, label, heads)
+    return narrowed(with_key, key, wanted, other=True).select(*columns).unionByName(
+        moved.where("judged_row is null").select(*columns)).unionByName(once)
+
+
+def _unused(columns: list[str], name: str) -> str:
+    while name in columns:
+        name += "_"
+    return name

@@ -15,8 +15,7 @@ bounded size, where collisions are counted by a matrix product and only sets of
 the work grows with the family times its outstanding documents, and no link between different components is missed.
 
 Equal sets are one node, named by its smallest id. A posting list holds at most the share 1 / ``COORDINATES`` of all
-postings. Texts travel once per leader they meet; a leader's own text once for 256 of them. Everything passes through
-tables in the shared folder, nothing through the driver.
+postings. Everything passes through tables in the shared folder, nothing through the driver.
 
 Defined cases: null and empty texts have empty sets, stand alone and are kept; texts shorter than the shingle are one
 shingle; rows that repeat an id are one document that has the links of all; rows without an id stand alone, with a null
@@ -31,13 +30,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from starmart.llm.tables import Stored, components
+from starmart.llm.families import family_links, named_components, narrowed, with_component
+from starmart.llm.tables import Stored
 from starmart.llm.text import WordHashes, lower_words, mix, window_hashes
 
 #: Coordinates of a signature, and how many of them two documents must share to be confirmed.
 COORDINATES, MATCHES = 64, 28
-#: Documents that meet one copy of their leader's text, sets of a tile, shingles hashed at once.
-MEET, TILE, CHUNK = 256, 400, 512
+#: Shingles hashed at once.
+CHUNK = 512
 _HASHES = WordHashes(11)
 _DIGEST = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
@@ -68,7 +68,7 @@ def linked(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, body, size, digest, sig) of every row; body tells its text from others of the same id."""
+    """(row, doc_id, size, digest, sig) of every row; ``row`` tells it from others of the same id."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,11 +81,11 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
             edges = np.concatenate([[0], np.cumsum([len(x) for x in sigs])]).astype(np.int32)
             flat = np.concatenate(sigs) if sigs else np.empty(0, np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("body"), pa.array(size, pa.int64()),
+                [batch.column("row"), batch.column("doc_id"), pa.array(size, pa.int64()),
                  pa.array(np.array(digest, np.uint64).view(np.int64)), pa.ListArray.from_arrays(edges, flat)],
-                names=["doc_id", "body", "size", "digest", "sig"])
+                names=["row", "doc_id", "size", "digest", "sig"])
 
-    return docs.mapInArrow(task, "doc_id long, body long, size long, digest long, sig array<int>")
+    return docs.mapInArrow(task, "row long, doc_id long, size long, digest long, sig array<int>")
 
 
 def _postings(stored: Stored, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -113,29 +113,6 @@ def _meetings(stored: Stored, posted: DataFrame) -> DataFrame:
     return met
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(leader, node) of the pairs whose full sets are linked. A leader's text comes once for each of its dealt parts."""
-    dealt = pairs.withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / MEET)).cast("int"))
-    follows = dealt.join(texts.hint("merge"), "node").select("leader", "part", F.lit(1).alias("side"), "node", "text")
-    leads = dealt.select("leader", "part").distinct().join(
-        texts.select(F.col("node").alias("leader"), "text").hint("merge"), "leader").select(
-        "leader", "part", F.lit(0).alias("side"), F.col("leader").alias("node"), "text")
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead = np.empty(0, np.uint64)
-        for batch in batches:
-            keep = []
-            for side, text in zip(batch.column("side").to_pylist(), batch.column("text")):
-                if side == 0:
-                    lead = shingles(text.as_py(), width)
-                keep.append(side == 1 and linked(lead, shingles(text.as_py(), width), percent))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("leader"), batch.column("node")], names=["leader", "node"]).filter(pa.array(keep, pa.bool_()))
-
-    together = leads.unionByName(follows).repartition("leader", "part").sortWithinPartitions("leader", "part", "side", "node")
-    return together.mapInArrow(task, "leader long, node long")
-
-
 def joining_links(
     nodes: list[int], sets: list[np.ndarray], component: list[int], side: list[int], percent: int
 ) -> list[tuple[int, int]]:
@@ -169,70 +146,31 @@ def joining_links(
     return found
 
 
-def _outstanding_links(family: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) between the outstanding documents of (leader, node, component, out, n, n_out) and all of their family."""
-    rows, columns = (F.greatest(F.ceil(F.col(c) / TILE), F.lit(1)).cast("int") for c in ("n_out", "n"))
-    own = F.pmod(F.xxhash64("node"), columns).cast("int")
-    row = F.pmod(F.xxhash64("node", F.lit(1)), rows).cast("int")
-    cells = family.select("leader", "node", "component", "out", columns.alias("columns"), rows.alias("rows"), own.alias("column"), row.alias("row"))
-    as_column = cells.select("leader", "node", "component", "column", F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row"))
-    as_row = cells.where("out").select("leader", "node", "component", "row", F.lit(0).alias("side"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("column"))
-    dealt = as_column.unionByName(as_row).join(texts.hint("merge"), "node")
-
-    def task(table: pa.Table) -> pa.Table:
-        sets = [shingles(x, width) for x in table.column("text").to_pylist()]
-        found = joining_links(
-            table.column("node").to_pylist(), sets, table.column("component").to_pylist(), table.column("side").to_pylist(), percent)
-        a, b = zip(*found) if found else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    columns = dealt.select("leader", "row", "column", "node", "component", "side", "text")
-    return columns.groupBy("leader", "row", "column").applyInArrow(task, "a long, b long")
-
-
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id reachable by links), kept."""
     stored = Stored(docs.sparkSession, "minhash")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("body"))
+    docs = docs.select(F.xxhash64("doc_id", "text").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = stored.keep(_sets(docs, width), "sets")
     known = sets.where("doc_id is not null and size > 0")
-    # One node per set, named by the smallest id that has it; its text is that of one row.
-    nodes = stored.keep(known.groupBy("size", "digest").agg(
-        F.min(F.struct("doc_id", "body")).alias("row"), F.first("sig").alias("sig")).select(
-        "size", "digest", F.col("row.doc_id").alias("node"), F.col("row.body").alias("body"), "sig"), "nodes")
-    # Ids with several sets link those sets; of sets that share their smallest id one stands for all in the lists.
-    spread = known.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low < high")
-    repeated = known.join(spread.select("doc_id"), "doc_id").select("doc_id", "size", "digest").distinct().join(
-        nodes.select("size", "digest", "node"), ["size", "digest"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-
-    # In the lists a node is its digest, so that sets under one id stay apart.
-    posted, able = _postings(stored, nodes.select(F.col("digest").alias("node"), "sig"))
+    # One node per set, which is its digest; its name is the smallest id that has it, and its text that of one row.
+    nodes = stored.keep(known.groupBy("digest").agg(
+        F.min(F.struct("doc_id", "row")).alias("head"), F.first("sig").alias("sig")).select(
+        F.col("digest").alias("node"), F.col("head.doc_id").alias("name"), F.col("head.row").alias("row"), "sig"), "nodes")
+
+    posted, able = _postings(stored, nodes.select("node", "sig"))
     met = _meetings(stored, posted)
     a, b = able.withColumnsRenamed({"node": "leader", "tokens": "x"}), able.withColumnRenamed("tokens", "y")
     agree = F.size(F.array_intersect("x", "y")) >= MATCHES
-    pairs = met.join(b.hint("merge"), "node").join(a.hint("merge"), "leader").where(agree).select("leader", "node")
-    pairs = stored.keep(pairs, "pairs")
-    sizes = met.groupBy("leader").agg(F.count(F.lit(1)).alias("n"))
-    needed = met.select(F.explode(F.array("leader", "node")).alias("node")).distinct().join(
-        nodes.select(F.col("digest").alias("node"), F.col("node").alias("doc_id"), "body"), "node")
-    texts = stored.keep(docs.join(needed.hint("merge"), ["doc_id", "body"]).dropDuplicates(["doc_id", "body"]).select("node", "text"), "texts")
-    answers = stored.keep(_confirmed(pairs.join(sizes, "leader"), texts, width, percent), "answers")
-
-    links = answers.select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    label = components(stored, links)
-    family = met.unionByName(met.select("leader", F.col("leader").alias("node")).distinct()).join(
-        label, "node", "left").select("leader", "node", F.coalesce("component", "node").alias("component"))
-    leads = family.where("leader = node").select("leader", F.col("component").alias("lead"))
-    marked = stored.keep(family.join(leads, "leader").withColumn("out", F.col("component") != F.col("lead")), "marked")
-    counts = marked.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.count_if("out").alias("n_out")).where("n_out > 0")
-    more = stored.keep(_outstanding_links(marked.join(counts, "leader"), texts, width, percent), "more")
-    names = nodes.select(F.col("digest").alias("a"), F.col("node").alias("x"))
-    by_id = links.unionByName(more).join(names, "a").join(names.withColumnsRenamed({"a": "b", "x": "y"}), "b").select(
-        F.col("x").alias("a"), F.col("y").alias("b")).unionByName(repeated)
-    final = components(stored, by_id)
-    placed = stored.keep(nodes.join(final, "node", "left").select("size", "digest", F.coalesce("component", "node").alias("placed")), "placed")
-    stored.drop(nodes, met, pairs, texts, answers, label, marked, more, final)
-    named = sets.select("doc_id", "size", "digest").join(placed, ["size", "digest"], "left")
-    component = F.when(F.col("size") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("placed"))
-    return named.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id")).withColumn(
+    pairs = stored.keep(met.join(b.hint("merge"), "node").join(a.hint("merge"), "leader").where(agree).select("leader", "node"), "pairs")
+    needed = stored.keep(met.select(F.explode(F.array("leader", "node")).alias("node")).distinct().join(
+        nodes.select("node", "row"), "node"), "needed")
+    texts = stored.keep(narrowed(docs, "row", needed).join(needed.hint("merge"), "row").dropDuplicates(["row"]).select(
+        "node", "text"), "texts")
+    links = family_links(
+        stored, met, pairs, texts, lambda text: shingles(text, width), lambda s, t: linked(s, t, percent),
+        lambda *tile: joining_links(*tile, percent))
+    stored.drop(met, pairs, needed, texts)
+    placed = named_components(stored, known, nodes, links)
+    stored.drop(nodes, links)
+    return with_component(sets, placed).select("doc_id", "n_shingles", "component_id").withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart.llm import (
-    decontamination, fingerprints, jaccard, language, packing, quality, scoring, secrets, substrings, text, toxicity,
+    decontamination, families, fingerprints, jaccard, language, packing, quality, scoring, secrets, substrings, text, toxicity,
 )
 from conftest_llm import SCHEMA, prose, table
 
@@ -213,7 +213,7 @@ def test_jaccard_of_repeated_ids(spark):
 
 def test_large_family_of_near_copies(spark, monkeypatch):
     """Copies that their leader does not join, in tiles smaller than the family."""
-    monkeypatch.setattr(jaccard, "TILE", 7)
+    monkeypatch.setattr(families, "TILE", 7)
     base, docs = prose(7, 100).split(), {}
     for k in range(40):
         words = list(base)

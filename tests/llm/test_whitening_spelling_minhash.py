@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.llm import minhash, spelling, whitening
+from starmart.llm import families, minhash, spelling, whitening
 from conftest_llm import prose, table
 
 VECTORS = "vec_id long, embedding array<float>, label int"
@@ -222,14 +222,14 @@ def test_near_duplicates_equal_brute_force(spark):
 def test_near_duplicates_with_repeated_ids_and_short_texts(spark):
     a, b = prose(11, 60), prose(12, 60)
     near_a = a.rsplit(" ", 1)[0] + " end"
-    rows = [(9, a), (4, near_a), (4, b), (7, b + " end"), (2, "a b"), (5, "A  b"), (6, None), (1, ""), (None, a), (None, None),
+    rows = [(9, a), (4, near_a), (4, b), (7, b + " end"), (7, ""), (2, "a b"), (5, "A  b"), (6, None), (1, ""), (None, a), (None, None),
             (8, "a b"), (8, "a b"), (3, prose(13, 30_000)), (10, prose(13, 30_000) + " more")]
     check(spark, rows)
 
 
 def test_outstanding_documents_meet_their_whole_family(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "TILE", 7)
-    monkeypatch.setattr(minhash, "MEET", 5)
+    monkeypatch.setattr(families, "TILE", 7)
+    monkeypatch.setattr(families, "MEET", 5)
     chain = []  # each text a few words further from the first, so leaders reach only their neighbours
     words = prose(21, 120).split()
     for k in range(40):
