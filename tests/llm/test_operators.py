@@ -263,57 +263,10 @@ def test_scores_baseline_and_proper_bits(spark):
         base = sum(math.log10((learnt.count(w) + 1) / (n + v + 1)) for w in ts)
         assert found[i].base_score == pytest.approx(base) and found[i].train_tokens == n
         assert (found[i].n_tokens, found[i].n_known) == (len(ts), sum(w in learnt for w in ts))
-        assert found[i].score < 0
+        size = sum(len(w) + 1 for w in ts[:-1]) + 1
+        assert found[i].score < 0 and found[i].bits_per_byte == pytest.approx(-found[i].score * math.log2(10) / size)
     seen, noise = found[1].score / len(docs[1]), -math.log10(256)
     assert seen > 0.5 * noise
-    mixer = scoring.Mixer(*(np.random.default_rng(0).integers(0, 5, (scoring.ORDER + 1) << scoring.BITS) for _ in range(2)))
-    every = np.arange(256, dtype=np.uint64) + np.uint64(0x61626300)
-    assert (10 ** mixer.log10(every)).sum() == pytest.approx(1.0)
-
-
-def test_scores_learn_from_full_counts():
-    """Two n-grams that differ in their last bit only: its refined probability follows the counts, 6,400 to 64."""
-    size = (scoring.ORDER + 1) << scoring.BITS
-    mixer = scoring.Mixer(np.full(size, 1e6), np.full(size, 1e6))
-    gram, count = np.array([0x6162636460, 0x6162636461], np.uint64), np.array([6400.0, 64.0])
-    for _ in range(30):
-        mixer.learn(gram, count)
-    _, gate, _ = mixer.inputs(gram, 7, held_back=True)
-    assert mixer.refined[gate, (scoring.STEPS - 1) // 2] == pytest.approx([64 / 6464] * 2, abs=5e-3)
-
-
-def test_scores_count_long_contexts_exactly(spark):
-    """Counts in contexts of 2 to 6 bytes are those of all training texts, and scores follow from them alone."""
-    texts = [prose(i, 300, "abc") for i in range(12)]
-    keyed = spark.createDataFrame([(i, t, i % 4 == 0, i) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean, key long")
-    rows = scoring._chunk_grams(scoring._chunks(keyed.repartition(3)), 6).groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    gram, n = np.array([r.gram for r in rows], np.int64).view(np.uint64), np.array([r.n for r in rows])
-    seen, known = {}, {}
-    for i, t in enumerate(texts):
-        data = bytes(6) + t.encode() + b"\n"
-        for at in range(6, len(data)):
-            whole = int.from_bytes(data[at - 6:at + 1])
-            known[whole] = known.get(whole, 0) + (i % 4 != 0)
-            for k in range(2, 7):
-                for bits in range(9):
-                    path = (data[at - k:at], bits, data[at] >> 8 - bits)
-                    seen[path] = seen.get(path, 0) + (i % 4 != 0)
-    assert dict(zip(gram.tolist(), n.tolist())) == known
-    for k, paths in zip(range(2, 7), scoring.Paths(gram, n, 6).of(slice(None)), strict=True):
-        for at, g in enumerate(gram.tolist()):
-            data = g.to_bytes(7)
-            assert [seen[data[6 - k:6], bits, data[6] >> 8 - bits] for bits in range(9)] == paths[:, at].tolist()
-
-
-def test_scores_order_grows_with_training_texts(spark, monkeypatch):
-    """What the sixth byte back decides is learnt once there is enough text for contexts of that length."""
-    rng = random.Random(5)
-    docs = {i: " ".join(f"{c}zzzz{c}" for c in rng.choices("abcdefgh", k=400)) for i in range(30)}
-    short = {r.doc_id: r.score for r in scoring.scores(table(spark, docs)).collect()}
-    assert [scoring.order_of(n) for n in (0, 25 * 10**6, 7 * 10**8, 5 * 10**10, 10**13)] == [4, 4, 5, 6, 7]
-    monkeypatch.setattr(scoring, "SMALL", 1_000)
-    long = {r.doc_id: r.score for r in scoring.scores(table(spark, docs)).collect()}
-    assert all(long[i] > 0.7 * short[i] for i in docs)
 
 
 def test_fingerprints(spark):
