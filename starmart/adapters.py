@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starmart import tables as t
 from starmart.functions.time import NTZ, ntz
 from starmart.operators import facts as facts_op
-from starmart.operators import scd2
+from starmart.operators import scd2, timeline
 from starmart.operators.calendar import calendar, clock
 from starmart.operators.conform import conform
 from starmart.operators.keys import assign_surrogate_keys
@@ -245,6 +245,39 @@ class Domain:
         written = read_table(self.spark, path, dict(versions.dtypes))
         return scd2.snapshot(self.stored_routes(), written)
 
+    def late_routes(self) -> DataFrame:
+        """A second batch of route records: of half of the routes another start each, spread over two years."""
+        start = F.date_add(F.lit("2023-06-01").cast("date"), (F.col("c_custkey") % 400).cast("int"))
+        raw = self.table("customer").filter("c_nationkey < 12").select(
+            F.col("c_custkey").alias("route_id"), F.col("c_name").alias("route_code"),
+            F.concat("c_name", F.lit("-late")).alias("route_name"), F.col("c_nationkey").cast("string").alias("route_type"),
+            F.col("c_mktsegment").alias("description"), start.cast(NTZ).alias("valid_from_ts"))
+        return scd2.resolve_default_fare(conform(raw, t.ROUTE, "b2", AS_OF), self.dims["dim_fare_product"])
+
+    def route_timeline(self) -> DataFrame:
+        """The versioned dimension after both batches, with late versions in their places."""
+        first = scd2.resolve_default_fare(self.staged(t.ROUTE), self.dims["dim_fare_product"])
+        after = self._kept(timeline.merge(
+            self.stored_routes(), self._kept(timeline.fresh_starts(self.stored_routes(), first, AS_OF), "starts")), "timeline")
+        return timeline.merge(after, self._kept(timeline.fresh_starts(after, self.late_routes(), AS_OF), "starts"))
+
+    def _kept(self, df: DataFrame, label: str) -> DataFrame:
+        """A frame that is read more than once, written first."""
+        path = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        return read_table(self.spark, path, dict(df.dtypes))
+
+    def nation_versions(self) -> DataFrame:
+        """Nations as versioned routes: all from the fifth on, even ones anew from the sixteenth on, and those of one region
+        from an earlier day, which came late."""
+        base = self.dim_route().withColumns({
+            "description": F.lit(None).cast("string"), "route_pattern_hash": F.lit(None).cast("string"),
+            "default_fare_product_sk": F.lit(None).cast("bigint"), "valid_from": F.lit("2024-01-05").cast("date"),
+            "valid_to": F.lit(t.OPEN_END).cast("date"), "src_system": F.lit("oltp"), "etl_loaded_at": ntz(AS_OF)}).select(*t.DIM_ROUTE_SCHEMA)
+        even = base.filter("cast(route_id_nat as int) % 2 = 0").withColumn("valid_from", F.lit("2024-01-16").cast("date"))
+        early = base.filter("route_type = 'AMERICA'").withColumn("valid_from", F.lit("2023-12-01").cast("date"))
+        return timeline.merge(base, even.unionByName(early).drop("route_sk"))
+
     # Facts and mart ------------------------------------------------------------------------------
 
     def fact_trip(self) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starmart.functions.time import date_key, duration_sec, time_key
 from starmart.operators.conform import all_of
+from starmart.operators.scd2 import asof_lookup
 from starmart.tables import (
     DEFAULT_CURRENCY, FACT_PAYMENT_COLUMNS, FACT_POSITION_COLUMNS, FACT_TRIP_COLUMNS,
 )
@@ -37,6 +38,8 @@ class FactSpec:
     mandatory: tuple[str, ...]
     columns: tuple[str, ...]
     date_key: str
+    #: The moment whose day picks the version of a versioned dimension, with ``resolve_on_day``.
+    moment: str
 
 
 def trip_spec() -> FactSpec:
@@ -61,6 +64,7 @@ def trip_spec() -> FactSpec:
         ("user_sk", "route_sk", "start_date_key", "start_time_key"),
         FACT_TRIP_COLUMNS,
         "start_date_key",
+        start,
     )
 
 
@@ -80,6 +84,7 @@ def payment_spec() -> FactSpec:
         ("user_sk", "payment_date_key", "payment_time_key"),
         FACT_PAYMENT_COLUMNS,
         "payment_date_key",
+        at,
     )
 
 
@@ -96,6 +101,7 @@ def position_spec() -> FactSpec:
         ("vehicle_sk", "date_key", "time_key"),
         FACT_POSITION_COLUMNS,
         "date_key",
+        at,
     )
 
 
@@ -112,6 +118,19 @@ def resolve(staged: DataFrame, dims: Mapping[str, DataFrame], lookups: Iterable[
     return staged
 
 
+def resolve_on_day(staged: DataFrame, dims: Mapping[str, DataFrame], spec: FactSpec, versioned: str = "dim_route") -> DataFrame:
+    """``resolve``, but with the version of the versioned dimension that was valid on the day of the event.
+
+    Its key is NULL for a day before the first version, as for an unknown member.
+    """
+    rows = resolve(staged, dims, [look for look in spec.lookups if look.dim != versioned])
+    for look in (look for look in spec.lookups if look.dim == versioned):
+        day = f"_day_{look.out}"
+        dated = rows.withColumn(day, F.col(spec.moment).cast("date"))
+        rows = asof_lookup(dated, dims[versioned], look.key, day, rows.columns).withColumnRenamed(look.sk, look.out)
+    return rows
+
+
 def fact_rows(staged: DataFrame, dims: Mapping[str, DataFrame], spec: FactSpec) -> DataFrame:
     """Accepted fact rows: every mandatory key is known."""
     rows = resolve(staged.withColumns(spec.derived), dims, spec.lookups)
@@ -123,9 +142,14 @@ def reject_reason(mandatory: Iterable[str]) -> Column:
     return F.coalesce(*(F.when(F.col(c).isNull(), F.lit(c)) for c in mandatory))
 
 
-def classified_rows(staged: DataFrame, dims: Mapping[str, DataFrame], spec: FactSpec) -> DataFrame:
-    """All rows with ``reject_reason``, for one write that keeps good rows and rejects apart."""
-    rows = resolve(staged.withColumns(spec.derived), dims, spec.lookups)
+def classified_rows(staged: DataFrame, dims: Mapping[str, DataFrame], spec: FactSpec, version: str = "current") -> DataFrame:
+    """All rows with ``reject_reason``, for one write that keeps good rows and rejects apart.
+
+    With ``version='as_of_event'`` routes are those of the day of the event, out of all versions; else ``dims`` holds one
+    row per route.
+    """
+    derived = staged.withColumns(spec.derived)
+    rows = resolve_on_day(derived, dims, spec) if version == "as_of_event" else resolve(derived, dims, spec.lookups)
     return rows.select(*spec.columns, reject_reason(spec.mandatory).alias("reject_reason"))
 
 

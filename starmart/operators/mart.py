@@ -46,10 +46,16 @@ def route_hour_sums(
 def build_mart(
     fact_trip: DataFrame, dim_route: DataFrame, as_of, version: str = "current", **statuses
 ) -> DataFrame:
-    """Hourly measures per route.
+    """Hourly measures per route, of the facts; see ``mart_of_sums``."""
+    return mart_of_sums(route_hour_sums(fact_trip, **statuses), dim_route, as_of, version)
+
+
+def mart_of_sums(sums: DataFrame, dim_route: DataFrame, as_of, version: str = "current") -> DataFrame:
+    """Hourly measures per route, of sums per route key and hour; several rows of a key and hour add up.
 
     ``version='current'`` keeps only facts that point to a current route version, so facts of older
-    versions leave the mart. ``version='by_key'`` books them on the current version of their route.
+    versions leave the mart. ``version='by_key'`` books them on the current version of their route, and
+    ``version='as_booked'`` on the version they point to.
     """
     route = ", ".join(ROUTE_COLUMNS)
     if version == "current":
@@ -57,10 +63,12 @@ def build_mart(
     elif version == "by_key":
         keyed = f"""select route_sk, {route} from (select route_sk, route_id_nat from {{routes}})
                     join (select {route} from {{routes}} where is_current) using (route_id_nat)"""
+    elif version == "as_booked":
+        keyed = f"select route_sk, {route} from {{routes}}"
     else:
-        raise ValueError(f"version must be 'current' or 'by_key', not {version!r}")
+        raise ValueError(f"version must be 'current', 'by_key' or 'as_booked', not {version!r}")
     mean = {m: x.ratio(f"sum({m}_sum)", f"sum({m}_n)") for m in MEASURES}
-    return fact_trip.sparkSession.sql(f"""
+    return sums.sparkSession.sql(f"""
         select {route}, start_hour, sum(trips_total) as trips_total,
                sum(trips_completed) as trips_completed, sum(trips_canceled) as trips_canceled,
                {mean['duration']} as avg_trip_duration_sec,
@@ -70,7 +78,23 @@ def build_mart(
                {mean['fare']} as avg_fare_amount,
                {x.ntz(as_of)} as etl_loaded_at
         from {{sums}} join ({keyed}) using (route_sk)
-        group by {route}, start_hour""", sums=route_hour_sums(fact_trip, **statuses), routes=dim_route)
+        group by {route}, start_hour""", sums=sums, routes=dim_route)
+
+
+SUMS = ("trips_total", "trips_completed", "trips_canceled", *(f"{m}_{k}" for m in MEASURES for k in ("sum", "n")))
+
+
+def adjusted_sums(state: DataFrame, former: DataFrame, new: DataFrame) -> DataFrame:
+    """Sums per route key and hour after a batch replaces its ``former`` contribution by a ``new`` one.
+
+    All three hold the columns of ``route_hour_sums``; the former ones are taken back, and keys and hours without trips
+    drop out. Sums are exact, so the result equals sums of all facts.
+    """
+    back = former.withColumns({c: -F.col(c) for c in SUMS})
+    moved = state.unionByName(back).unionByName(new)
+    total = moved.groupBy("route_sk", "start_hour").agg(*(F.sum(c).alias(c) for c in SUMS)).where("trips_total <> 0")
+    # Without values left a sum is NULL, as if there had never been any.
+    return total.withColumns({f"{m}_sum": F.when(F.col(f"{m}_n") != 0, F.col(f"{m}_sum")) for m in MEASURES})
 
 
 def dropped_hours(fact_trip: DataFrame) -> DataFrame:

@@ -160,6 +160,34 @@ CTE = {
         SELECT (SELECT max(route_sk) FROM stored) + row_number() OVER (ORDER BY md5(route_id_nat), route_id_nat),
                route_id_nat, route_code, route_name, description, valid_from, valid_to, is_current
         FROM versions""",
+    # Starts of both batches that were not stored before; the keys of the first batch come below those of the second.
+    "starts": """
+        SELECT 1 AS batch, route_id, route_name, description, valid_from FROM latest
+        UNION ALL
+        SELECT 2, cast(c_custkey AS VARCHAR), concat(c_name, '-late'), c_mktsegment,
+               DATE '2023-06-01' + cast(c_custkey % 400 AS INTEGER)
+        FROM customer WHERE c_nationkey < 12""",
+    "arrived": """
+        SELECT NULL AS batch, route_sk, route_id_nat, route_name, description, valid_from FROM stored
+        UNION ALL
+        SELECT batch, (SELECT count(*) FROM stored) + row_number() OVER (
+                   ORDER BY batch, md5(concat_ws('|', route_id, valid_from)), concat_ws('|', route_id, valid_from)),
+               route_id, route_name, description, valid_from
+        FROM (SELECT * FROM starts s WHERE NOT EXISTS (
+                  SELECT 1 FROM stored o WHERE o.route_id_nat = s.route_id AND o.valid_from = s.valid_from)
+              QUALIFY row_number() OVER (PARTITION BY route_id, valid_from ORDER BY batch) = 1)""",
+    "nation_versions": """
+        SELECT row_number() OVER (PARTITION BY n ORDER BY d) AS version, n, d AS valid_from,
+               lead(d, 1, DATE '9999-12-31' + 1) OVER (PARTITION BY n ORDER BY d) - 1 AS valid_to, batch
+        FROM (SELECT route_id_nat AS n, DATE '2024-01-05' AS d, 1 AS batch FROM dim_route
+              UNION ALL SELECT route_id_nat, DATE '2024-01-16', 2 FROM dim_route WHERE cast(route_id_nat AS INTEGER) % 2 = 0
+              UNION ALL SELECT route_id_nat, DATE '2023-12-01', 2 FROM dim_route WHERE route_type = 'AMERICA')""",
+    "nation_keys": """
+        SELECT n, valid_from, valid_to, route_sk FROM nation_versions JOIN dim_route ON n = route_id_nat WHERE batch = 1
+        UNION ALL
+        SELECT n, valid_from, valid_to, (SELECT max(route_sk) FROM dim_route) + row_number() OVER (
+                   ORDER BY md5(concat_ws('|', n, valid_from)), concat_ws('|', n, valid_from))
+        FROM nation_versions WHERE batch = 2""",
     "bridge": """
         SELECT DISTINCT cast(l_orderkey AS VARCHAR) AS route_id, cast(l_partkey AS VARCHAR) AS stop_id
         FROM lineitem""",
@@ -179,7 +207,8 @@ NEEDS = {
     "fact": ["trip", "dim_user", "dim_route"], "mart": ["fact"], "star_7": ["fact"],
     "mart_7": ["mart"], "compared": ["star_7", "mart_7"], "latest": ["history"],
     "changes": ["latest", "stored"], "versions": ["changes", "stored"],
-    "snapshot": ["stored", "versions"], "sequenced": ["bridge"],
+    "snapshot": ["stored", "versions"], "starts": ["latest"], "arrived": ["stored", "starts"],
+    "nation_versions": ["dim_route"], "nation_keys": ["nation_versions"], "sequenced": ["bridge"],
 }
 
 
@@ -313,10 +342,27 @@ oracle("dim_route_current", "SELECT route_id_nat, route_code, route_name, valid_
 oracle("scd2_asof_lookup", """SELECT trip_id, route_sk FROM trip LEFT JOIN snapshot
        ON user_id = route_id_nat AND cast(start_ts AS DATE) BETWEEN valid_from AND valid_to""", "trip", "snapshot")
 
+oracle("scd2_late_versions", """SELECT route_sk, route_id_nat, route_name, description, valid_from,
+       lead(valid_from - 1, 1, DATE '9999-12-31') OVER (PARTITION BY route_id_nat ORDER BY valid_from) AS valid_to,
+       lead(valid_from) OVER (PARTITION BY route_id_nat ORDER BY valid_from) IS NULL AS is_current
+       FROM arrived""", "arrived")
+oracle("fact_trip_asof", f"""SELECT trip_id, user_sk, k.route_sk, {date_key('start_ts')} AS start_date_key, trip_status,
+       CASE WHEN user_sk IS NULL THEN 'user_sk' WHEN k.route_sk IS NULL THEN 'route_sk' END AS reject_reason
+       FROM trip t LEFT JOIN dim_user ON user_id = user_id_nat
+       LEFT JOIN nation_keys k ON t.route_id = k.n AND cast(start_ts AS DATE) BETWEEN k.valid_from AND k.valid_to""",
+       "trip", "dim_user", "nation_keys")
+
 oracle("mart_route_hour", f"""SELECT route_id_nat, route_code, route_name, route_type, start_hour, trips_total,
        trips_completed, trips_canceled, total_distance_m, total_fare_amount,
        {rnd('avg_trip_duration_sec', 4)} AS avg_trip_duration_sec, {rnd('avg_distance_m', 4)} AS avg_distance_m,
        {rnd('avg_fare_amount', 4)} AS avg_fare_amount FROM mart""", "mart")
+oracle("mart_incremental", f"""SELECT route_id_nat, route_code, route_name, route_type, start_hour, count(*) AS trips_total,
+       count(*) FILTER (trip_status = 'completed') AS trips_completed,
+       count(*) FILTER (trip_status = 'canceled') AS trips_canceled,
+       cast(sum(distance_meters) AS DOUBLE) AS total_distance_m, cast(sum(fare_amount) AS DOUBLE) AS total_fare_amount,
+       {rnd(avg('trip_duration_sec'), 4)} AS avg_trip_duration_sec, {rnd(avg('distance_meters'), 4)} AS avg_distance_m,
+       {rnd(avg('fare_amount'), 4)} AS avg_fare_amount
+       FROM fact WHERE start_ts >= TIMESTAMP '2024-01-16' OR trip_status <> 'canceled' GROUP BY ALL""", "fact")
 oracle("mart_replace_by_key", """SELECT route_id_nat, start_hour,
        trips_total + CASE WHEN route_type = 'AMERICA' THEN 1 ELSE 0 END AS trips_total FROM mart""", "mart")
 oracle("mart_latest", f"""SELECT route_code, start_hour, trips_total,

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starmart.functions.time import ntz
+from starmart.functions.time import date_key, ntz
 from starmart.operators import calendar as cal
-from starmart.operators import quality, scd2
+from starmart.operators import quality, scd2, timeline
 from starmart.operators.conform import batch_rows, checked
 from starmart.operators.dimensions import keyed_members, new_members
 from starmart.operators.facts import FactSpec, classified_rows, payment_spec, position_spec, trip_spec
-from starmart.operators.mart import build_mart
+from starmart.operators.mart import SUMS, mart_of_sums, route_hour_sums
 from starmart.session import scratch_path
 from starmart.sources import tables as io
 from starmart.tables import (
@@ -22,6 +23,10 @@ from starmart.tables import (
 
 FACTS = ((trip_spec, TRIP), (payment_spec, PAYMENT), (position_spec, VEHICLE_POSITION))
 
+#: Columns of the parts of the mart; sums are exact.
+MART_SUMS = {"route_sk": "bigint", "start_hour": "timestamp_ntz"} | {
+    c: "decimal(38,2)" if c == "fare_sum" else "bigint" for c in SUMS}
+
 # Types of the columns a fact adds to those it takes over from staging.
 _KEY_TYPES = {"_sk": "bigint", "_key": "int", "_sec": "int"}
 
@@ -150,62 +155,128 @@ class Warehouse:
         df.write.parquet(path)
         return io.read_table(self.spark, path, dict(df.dtypes))
 
-    def load_routes(self, batch_id: str, previous: str | None, as_of, **policy) -> dict[str, int]:
-        """Next snapshot of the route dimension, from the ``previous`` one, in its own folder."""
+    def load_routes(self, batch_id: str, previous: str | None, as_of, late_policy: str = "split", **policy) -> dict[str, int]:
+        """Next snapshot of the route dimension, from the ``previous`` one, in its own folder.
+
+        With ``late_policy='split'`` every start of the batch becomes a version, whenever it begins (see ``timeline``).
+        ``'reject'`` and ``'accept'`` look at the latest record of a route and its current version only.
+        """
         dim = self.routes(previous)
         staged = scd2.resolve_default_fare(self.staged(ROUTE, batch_id), self.dim(DIM_FARE_PRODUCT))
-        latest = scd2.latest_versions(staged, as_of)
-        versions = self._written(scd2.new_versions(dim, latest, as_of, **policy), "route-versions")
-        total = io.write_batch(scd2.snapshot(dim, versions), self.path("dim", "dim_route"), batch_id)
+        if late_policy == "split":
+            versions = self._written(timeline.fresh_starts(dim, staged, as_of), "route-versions")
+            after = timeline.merge(dim, versions)
+        else:
+            latest = scd2.latest_versions(staged, as_of)
+            versions = self._written(scd2.new_versions(dim, latest, as_of, late_policy=late_policy, **policy), "route-versions")
+            after = scd2.snapshot(dim, versions)
+        total = io.write_batch(after, self.path("dim", "dim_route"), batch_id)
         built_on = self.spark.range(1).select(F.lit(previous).cast("string").alias("previous"))
         io.write_batch(built_on, self.path("dim", "dim_route_lineage"), batch_id)
         return {"dim_route_inserted": versions.count(), "dim_route": total}
 
-    def load_facts(self, batch_id: str, snapshot: str, as_of) -> dict[str, dict[str, int]]:
-        dims = {spec.name: self.dim(spec) for spec in DIMENSIONS}
-        dims["dim_route"] = scd2.current_only(self.routes(snapshot))
-        former = batch_rows(self.facts(trip_spec(), TRIP, or_empty=True), batch_id).select("start_date_key").distinct()
-        former.write.mode("append").parquet(self._left(batch_id))
-        counts = {}
+    def _dims(self, snapshot: str, version: str) -> dict[str, DataFrame]:
+        routes = self.routes(snapshot)
+        return {s.name: self.dim(s) for s in DIMENSIONS} | {
+            "dim_route": routes if version == "as_of_event" else scd2.current_only(routes)}
+
+    def load_facts(self, batch_id: str | None, snapshot: str, as_of, version: str = "current") -> dict[str, dict[str, int]]:
+        """Facts of a batch, or of every staged batch one after the other, on the routes of a snapshot.
+
+        With ``version='as_of_event'`` a fact gets the route version of its day; ``rebook`` then follows changed history.
+        """
+        dims, counts = self._dims(snapshot, version), {}
         for make_spec, source in FACTS:
             spec = make_spec()
-            rows = classified_rows(self.staged(source, batch_id), dims, spec)
-            counts[spec.name] = io.write_facts(
-                rows.withColumn("etl_loaded_at", ntz(as_of)),
-                self.path("fact", spec.name), batch_id, spec.date_key,
-            )
+            batches = [batch_id] if batch_id else io.stored_batches(self.spark, self.path("staging", source.name))
+            done = {}
+            for batch in batches:
+                rows = classified_rows(self.staged(source, batch), dims, spec, version)
+                done[batch] = io.write_facts(
+                    rows.withColumn("etl_loaded_at", ntz(as_of)), self.path("fact", spec.name), batch, spec.date_key)
+            counts[spec.name] = {k: sum(n[k] for n in done.values()) for k in (io.ACCEPTED, io.REJECTED)}
         return counts
 
-    def _left(self, batch_id: str) -> str:
-        """Where the dates of a batch's former facts wait until the mart has been rewritten for them."""
-        return io.batch_folder(self.path("mart_pending"), batch_id)
+    def rebook(self, batch_id: str, snapshot: str, as_of) -> dict[str, int]:
+        """Bring the facts of other batches to the route versions of their days, after the snapshot changed the history.
 
-    def _touched(self, trips: DataFrame, batch_id: str, snapshot: str) -> DataFrame:
-        """Dates of the mart that a batch changes: of its facts, of those of its former run, and of all
-        facts of route versions that are no longer current."""
-        own = batch_rows(trips, batch_id).select("start_date_key")
-        former = io.read_table(self.spark, self._left(batch_id), {"start_date_key": "int"}, or_empty=True)
-        before, now = (
-            scd2.current_only(self.routes(s)).select("route_sk") for s in (self.snapshots().get(snapshot), snapshot))
-        closed = trips.join(before.join(now, "route_sk", "left_anti"), "route_sk", "left_semi").select("start_date_key")
-        return own.union(former).union(closed).distinct()
+        Only the partitions (batch, date) that hold a trip or position of a changed route on a changed day are read and
+        written again; the result equals loading all batches anew. Returns the number of partitions per fact.
+        """
+        before = self.routes(self.snapshots().get(snapshot))
+        days = self._written(timeline.changed_days(before, self.routes(snapshot)), "changed-days")
+        dims, counts = self._dims(snapshot, "as_of_event"), {}
+        for make_spec, source in FACTS:
+            spec = make_spec()
+            if not any(look.dim == "dim_route" for look in spec.lookups):
+                continue
+            day = F.col(spec.moment).cast("date")
+            others = self.staged(source).where(F.col("etl_batch_id") != batch_id)
+            on_day = (F.col("route_id") == F.col("key")) & day.between(F.col("first"), F.col("last"))
+            cells = self._written(
+                others.join(days, on_day, "left_semi").select("etl_batch_id", date_key(spec.moment).alias("cell")).distinct(), "cells")
+            own = others.withColumn("cell", date_key(spec.moment)).join(cells, ["etl_batch_id", "cell"], "left_semi").drop("cell")
+            batch = F.col("etl_batch_id")
+            rows = classified_rows(own, dims, replace(spec, columns=(*spec.columns, "etl_batch_id")), "as_of_event")
+            written = self._written(rows.withColumn("etl_loaded_at", ntz(as_of)), "rebooked")
+            counts[spec.name] = io.rewrite_facts(written, cells, self.path("fact", spec.name), spec.date_key)
+            if source is TRIP:
+                for name in sorted(r[0] for r in cells.select(batch).distinct().collect()):  # one row per batch
+                    self._write_parts(name)
+        return counts
+
+    # Mart ----------------------------------------------------------------------------------------------
+    # Each batch has its part: sums and counts of its trips per route key and hour. A batch that is loaded again replaces
+    # its part, and the mart of a date is the sum of the parts of that date, so trips of other batches are never read.
+
+    def _parts_path(self) -> str:
+        return self.path("mart_parts")
+
+    def parts(self) -> DataFrame:
+        columns = MART_SUMS | {"etl_batch_id": "string", "start_date": "date"}
+        return io.read_table(self.spark, self._parts_path(), columns, or_empty=True)
 
-    def load_mart(self, batch_id: str | None, snapshot: str, as_of, **options) -> int:
-        """Rebuild the mart: all of it without a batch id, else the dates the batch touches, which gives
-        the same rows. Dates that no longer have any are emptied."""
-        trips, path = self.trips(), self.path("mart", "trip_route_hourly")
+    def _pending(self) -> str:
+        """Where the dates of replaced parts wait until the mart has been written for them."""
+        return self.path("mart_pending")
+
+    def _write_parts(self, batch_id: str) -> None:
+        """Replace the part of a batch; the dates it had before are noted first, so that no run can forget them."""
+        batch_rows(self.parts(), batch_id).select("start_date").distinct().write.mode("append").parquet(self._pending())
+        own = batch_rows(self.trips(), batch_id)
+        sums = route_hour_sums(own).withColumn("start_date", F.col("start_hour").cast("date"))
+        typed = sums.select(*(F.col(c).cast(k).alias(c) for c, k in MART_SUMS.items()), "start_date")
+        typed.select("start_date").distinct().write.mode("append").parquet(self._pending())
+        typed.hint("rebalance", F.col("start_date")).write.mode("overwrite").partitionBy("start_date").parquet(
+            io.batch_folder(self._parts_path(), batch_id))
+
+    def load_mart(self, batch_id: str | None, snapshot: str, as_of, version: str = "current") -> int:
+        """Rewrite the mart: all of it without a batch id, else the dates that the batch changes, which gives the same rows.
+
+        Those are the dates of its trips, of those of its former run, of rebooked trips, and of route versions that are no
+        longer current. Dates that no longer have any rows are emptied.
+        """
+        path = self.path("mart", "trip_route_hourly")
+        loaded = io.stored_batches(self.spark, self.path("fact", trip_spec().name))
+        missing = set(loaded) - set(io.stored_batches(self.spark, self._parts_path()))
+        for name in sorted(set(loaded) if batch_id is None else missing | {batch_id}):
+            self._write_parts(name)
         if batch_id is None:
-            return io.write_mart(build_mart(trips, self.routes(snapshot), as_of, **options), path, reload_all=True)
-        touched = self._written(self._touched(trips, batch_id, snapshot), "touched")
-        kept = trips.join(touched, "start_date_key", "left_semi")
-        mart = self._written(build_mart(kept, self.routes(snapshot), as_of, **options), "mart")
+            count = io.write_mart(mart_of_sums(self.parts(), self.routes(snapshot), as_of, version), path, reload_all=True)
+            io.remove(self.spark, self._pending())
+            return count
+        before, now = (
+            scd2.current_only(self.routes(s)).select("route_sk") for s in (self.snapshots().get(snapshot), snapshot))
+        closed = self.parts().join(before.join(now, "route_sk", "left_anti"), "route_sk", "left_semi").select("start_date")
+        pending = io.read_table(self.spark, self._pending(), {"start_date": "date"}, or_empty=True)
+        touched = self._written(pending.union(closed).distinct(), "touched")
+        kept = self.parts().join(touched, "start_date", "left_semi")
+        mart = self._written(mart_of_sums(kept, self.routes(snapshot), as_of, version), "mart")
         count = io.write_mart(mart, path)
-        filled = mart.select(F.date_format("start_hour", "yyyyMMdd").cast("int").alias("start_date_key")).distinct()
-        emptied = touched.join(filled, "start_date_key", "left_anti").select(
-            F.to_date(F.col("start_date_key").cast("string"), "yyyyMMdd").cast("string"))
-        for (day,) in emptied.collect():  # at most one row per day
+        filled = mart.select(F.col("start_hour").cast("date").alias("start_date")).distinct()
+        for (day,) in touched.join(filled, "start_date", "left_anti").collect():  # at most one row per day
             io.remove(self.spark, f"{path}/start_date={day}")
-        io.remove(self.spark, self._left(batch_id))
+        io.remove(self.spark, self._pending())
         return count
 
     def constraints(self, batch_id: str, snapshot: str) -> DataFrame:
@@ -238,23 +309,27 @@ class GateFailed(RuntimeError):
 
 def load_batch(
     spark: SparkSession, raw: str, root: str, batch_id: str, as_of, previous: str | None = None,
-    reload_mart: bool = False, first: bool = False,
+    reload_mart: bool = False, first: bool = False, version: str = "current", late_policy: str = "split",
 ) -> dict:
     """Load one batch end to end and return the row counts of every step.
 
     The batch builds on the ``previous`` route snapshot, by default on the latest; ``first`` starts an
     empty warehouse. Running a batch again changes nothing: staging, facts and snapshot replace the
     batch's own folders, the insert-only dimensions add only unknown members, and the mart replaces the
-    dates of this and of the former run. Raises ``GateFailed`` if facts or mart are empty in the end.
+    dates of this and of the former run. With ``version='as_of_event'`` facts and mart follow the route
+    version of the day, also when a later batch changes it. Raises ``GateFailed`` if facts or mart are empty in the end.
     """
     house = Warehouse(spark, root)
     base = house.previous_snapshot(batch_id, previous, first)
     counts: dict = {"staging": house.load_staging(raw, batch_id, as_of)}
     counts |= house.load_generated(batch_id)
     counts |= house.load_dimensions(batch_id, as_of, first)
-    counts |= house.load_routes(batch_id, base, as_of)
-    counts |= house.load_facts(batch_id, batch_id, as_of)
-    counts["mart"] = house.load_mart(None if reload_mart else batch_id, batch_id, as_of)
+    counts |= house.load_routes(batch_id, base, as_of, late_policy)
+    counts |= house.load_facts(batch_id, batch_id, as_of, version)
+    if version == "as_of_event":
+        counts["rebooked"] = house.rebook(batch_id, batch_id, as_of)
+    booked = {"current": "current", "as_of_event": "as_booked"}[version]
+    counts["mart"] = house.load_mart(None if reload_mart else batch_id, batch_id, as_of, booked)
     gates = house.gates(batch_id).first().asDict()
     if not gates["passed"]:
         raise GateFailed(f"facts or mart are empty: {gates}")

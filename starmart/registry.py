@@ -14,7 +14,7 @@ from starmart.operators import calendar as cal
 from starmart.operators import dimensions, facts, quality, reconcile, routes, scd2
 from starmart.operators.conform import batch_rows, conform
 from starmart.operators.dedup import latest_by_key
-from starmart.operators.mart import replace_by_key
+from starmart.operators.mart import adjusted_sums, mart_of_sums, replace_by_key, route_hour_sums
 from starmart.operators.payments import payments_from_trips
 from starmart.operators.positions import deduplicate
 from starmart.plans import analytics
@@ -252,6 +252,20 @@ def scd2_asof_lookup(d: Domain) -> DataFrame:
     return scd2.asof_lookup(trips, d.route_snapshot(), "user_id", "_day", ["trip_id"])
 
 
+@query("scd2_late_versions")
+def scd2_late_versions(d: Domain) -> DataFrame:
+    """Two batches of starts in any order, merged into one timeline per route."""
+    return d.route_timeline().select("route_sk", *_VERSION)
+
+
+@query("fact_trip_asof")
+def fact_trip_asof(d: Domain) -> DataFrame:
+    """Trips on the route version of their day; those before the first version are rejects."""
+    dims = {**{k: d.dims[k] for k in ("dim_user", "dim_vehicle", "dim_stop", "dim_fare_product")}, "dim_route": d.nation_versions()}
+    rows = facts.classified_rows(d.staged(t.TRIP), dims, facts.trip_spec(), "as_of_event")
+    return rows.select("trip_id", "user_sk", "route_sk", "start_date_key", "trip_status", "reject_reason")
+
+
 # Mart and analytics --------------------------------------------------------------------------------
 
 _AVERAGES = ("avg_trip_duration_sec", "avg_distance_m", "avg_fare_amount")
@@ -274,6 +288,18 @@ def mart_replace_by_key(d: Domain) -> DataFrame:
     return replace_by_key(mart.unionByName(again)).select("route_id_nat", "start_hour", "trips_total")
 
 
+@query("mart_incremental")
+def mart_incremental(d: Domain) -> DataFrame:
+    """The mart after two batches of trips and a correction of the first, which lacks the trips of errors then."""
+    trips, early = d.mart_facts(), F.col("start_ts") < tm.ntz("2024-01-16 00:00:00")
+    first, second = route_hour_sums(trips.filter(early)), route_hour_sums(trips.filter(~early))
+    corrected = route_hour_sums(trips.filter(early & (F.col("trip_status") != "canceled")))
+    nothing = first.limit(0)
+    state = adjusted_sums(adjusted_sums(first, nothing, second), first, corrected)
+    mart = mart_of_sums(state, d.dims["dim_route"], AS_OF).drop("etl_loaded_at")
+    return mart.withColumns({c: rounded(c, 4) for c in _AVERAGES})
+
+
 @query("mart_latest")
 def mart_latest(d: Domain) -> DataFrame:
     top = analytics.latest_hours(d.mart())

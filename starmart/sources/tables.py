@@ -139,6 +139,28 @@ def write_facts(classified: DataFrame, path: str, batch_id: str, date_key: str)
     return {ACCEPTED: counts["rows"] - counts["rejected"], REJECTED: counts["rejected"]}
 
 
+def rewrite_facts(classified: DataFrame, cells: DataFrame, path: str, date_key: str) -> int:
+    """Replace the partitions of facts that ``cells`` (etl_batch_id, cell) names by the ``classified`` rows of those cells.
+
+    Both are stored tables. A state of a cell that has no rows any more is removed. Returns the number of cells.
+    """
+    spark, state = classified.sparkSession, F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
+    rows = classified.withColumn("row_state", state)
+    named = cells.collect()  # one row per batch and day
+    filled = {tuple(r) for r in rows.select("etl_batch_id", date_key, "row_state").distinct().collect()}
+    if filled:
+        (
+            rows.hint("rebalance", F.col("etl_batch_id"), F.col("row_state"), F.col(date_key))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("etl_batch_id", "row_state", date_key).parquet(path)
+        )
+    for batch, day in named:
+        for kind in (ACCEPTED, REJECTED):
+            if (batch, day, kind) not in filled:
+                remove(spark, f"{batch_folder(path, batch)}/row_state={kind}/{date_key}={day}")
+    return len(named)
+
+
 def read_facts(
     spark: SparkSession, path: str, columns: Mapping[str, str], state: str = ACCEPTED, or_empty: bool = False
 ) -> DataFrame:
