@@ -41,7 +41,7 @@ class _Shapes(dict):
         text = word.decode("utf-8", "replace")
         for pattern, sign in _SHAPES:
             text = pattern.sub(sign, text)
-        value = self[word] = _HASHES[_RUN.sub(r"\1\1", text)[:16].encode()]
+        value = self[word] = _HASHES[_RUN.sub(r"\1\1", text).encode()]
         return value
 
 
