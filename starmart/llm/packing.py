@@ -30,7 +30,7 @@ TOKENIZER = "word_bpe_49k.json"
 #: Rests that are packed together.
 BLOCK = 768
 #: Words whose ids a worker remembers.
-CACHED = 1_000_000
+CACHED = 400_000
 #: A rest is cut at multiples of this length, because small pieces even out where large ones do not.
 CUT = 1024
 SCHEMA = (

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 # Words end at the ASCII white space of these ranges: space and tab to carriage return, which is what bytes.split() uses.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 120_000
 
 
 def words(text: str | None) -> list[bytes]:
