@@ -91,3 +91,72 @@ def route_series(compared: DataFrame, digits: int = 4) -> DataFrame:
         )
         .withColumn("trips_diff", F.col("trips_left") - F.col("trips_right"))
     )
+
+
+# By digests -------------------------------------------------------------------------------------------
+
+#: Buckets per level. Two levels tell up to ``BUCKETS ** 2`` parts of the keys apart.
+BUCKETS = 1024
+
+
+def _numbered(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Rows with their bucket on both levels, from the hash of the keys."""
+    h = F.xxhash64(*keys)
+    return df.withColumns({
+        "_coarse": F.pmod(h, F.lit(buckets)).cast("int"),
+        "_fine": F.pmod(F.shiftrightunsigned(h, 32), F.lit(buckets)).cast("int")})
+
+
+def digests(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Number and checksum of the rows per bucket. The checksum does not depend on the order of the rows, and counts
+    repeated ones: the sum of their hashes. Rows are folded before the shuffle."""
+    whole = F.sum(F.xxhash64(*columns).cast("decimal(20,0)")).alias("digest")
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), whole)
+
+
+def unequal_buckets(left: DataFrame, right: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Buckets whose digests differ, also those that one side lacks."""
+    a, b = (digests(x, by, columns).withColumnsRenamed({"n": f"n_{s}", "digest": f"digest_{s}"}) for x, s in ((left, "a"), (right, "b")))
+    same = F.col("n_a").eqNullSafe(F.col("n_b")) & F.col("digest_a").eqNullSafe(F.col("digest_b"))
+    return a.join(b, list(by), "full_outer").where(~same).select(*by)
+
+
+def drift(
+    left: DataFrame, right: DataFrame, keys: Sequence[str] = KEYS, measures: Sequence[str] = tuple(DIFFERENCES.values()),
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """Keys on which two large results differ, with ``status``, the number of rows and the measures of both sides.
+
+    Checksums are compared bucket by bucket, and within unequal buckets once more; only rows of buckets that are unequal
+    on both levels are joined, so equal inputs cost two scans and no join, and a few drifted rows little more. A key that
+    a side has more than once is one row with status ``duplicate``, without measures of that side. Other statuses are
+    ``left_only``, ``right_only`` and ``different``; equal keys are left out. Measures are compared NULL-safe.
+
+    At most ``buckets`` (then ``buckets ** 2`` of unequal ones) digests per side meet, whatever the number of rows.
+    """
+    columns = [*keys, *measures]
+    a, b = (_numbered(x.select(*columns), keys, buckets) for x in (left, right))
+    coarse = F.broadcast(unequal_buckets(a, b, ["_coarse"], columns))
+    a, b = (x.join(coarse, "_coarse", "left_semi") for x in (a, b))
+    fine = unequal_buckets(a, b, ["_coarse", "_fine"], columns)
+    a, b = (_once(x.join(fine, ["_coarse", "_fine"], "left_semi"), keys, measures, s) for x, s in ((a, "_left"), (b, "_right")))
+    # NULL keys meet too, which a join by name would not let them.
+    joined = a.withColumnsRenamed({k: f"{k}_a" for k in keys}).join(
+        b.withColumnsRenamed({k: f"{k}_b" for k in keys}), [F.col(f"{k}_a").eqNullSafe(F.col(f"{k}_b")) for k in keys], "full_outer")
+    n_left, n_right = (F.coalesce(c, F.lit(0)).alias(c) for c in ("n_left", "n_right"))
+    equal = F.lit(True)
+    for m in measures:
+        equal = equal & F.col(f"{m}_left").eqNullSafe(F.col(f"{m}_right"))
+    status = (
+        F.when((F.coalesce("n_left", F.lit(0)) > 1) | (F.coalesce("n_right", F.lit(0)) > 1), "duplicate")
+        .when(F.col("n_right").isNull(), "left_only").when(F.col("n_left").isNull(), "right_only").when(~equal, "different"))
+    return joined.withColumn("status", status).where(F.col("status").isNotNull()).select(
+        *(F.coalesce(f"{k}_a", f"{k}_b").alias(k) for k in keys), "status", n_left, n_right,
+        *(f"{m}{s}" for m in measures for s in ("_left", "_right")))
+
+
+def _once(df: DataFrame, keys: Sequence[str], measures: Sequence[str], suffix: str) -> DataFrame:
+    """One row per key with its number of rows, and its measures if that is one."""
+    folded = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"n{suffix}"), *(F.first(m).alias(m + suffix) for m in measures))
+    single = F.col(f"n{suffix}") == 1
+    return folded.withColumns({m + suffix: F.when(single, F.col(m + suffix)) for m in measures})

@@ -417,6 +417,12 @@ oracle("reconcile_full", """SELECT route_code, start_hour,
        CASE WHEN r.trips_total IS NULL THEN 'left_only' WHEN l.trips_total IS NULL THEN 'right_only'
             ELSE 'matched' END AS status, l.trips_total - r.trips_total AS trips_diff
        FROM star_7 l FULL JOIN mart_7 r USING (route_code, start_hour)""", "compared")
+oracle("reconcile_buckets", """SELECT route_code, start_hour,
+       CASE WHEN twice THEN 'duplicate' WHEN r.trips_total IS NULL THEN 'left_only' ELSE 'different' END AS status,
+       cast(1 AS BIGINT) AS n_left, cast(CASE WHEN r.trips_total IS NULL THEN 0 WHEN twice THEN 2 ELSE 1 END AS BIGINT) AS n_right,
+       l.trips_total AS trips_total_left, CASE WHEN NOT twice THEN r.trips_total END AS trips_total_right
+       FROM (SELECT *, route_type = 'MIDDLE EAST' AS twice FROM star_7) l LEFT JOIN mart_7 r USING (route_code, start_hour)
+       WHERE twice OR r.trips_total IS NULL OR l.trips_total <> r.trips_total""", "compared")
 oracle("hourly_compare", """SELECT start_hour, cast(sum(trips_left) AS BIGINT) AS trips_left,
        cast(sum(trips_right) AS BIGINT) AS trips_right
        FROM compared GROUP BY start_hour ORDER BY start_hour DESC LIMIT 48""", "compared")
