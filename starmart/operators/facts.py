@@ -40,6 +40,10 @@ class FactSpec:
     date_key: str
     #: The moment whose day picks the version of a versioned dimension, with ``resolve_on_day``.
     moment: str
+    #: Natural key of the event.
+    key: str
+    #: Whether an event may come again in another batch, where its last delivery counts.
+    redelivered: bool = False
 
 
 def trip_spec() -> FactSpec:
@@ -65,6 +69,8 @@ def trip_spec() -> FactSpec:
         FACT_TRIP_COLUMNS,
         "start_date_key",
         start,
+        "trip_id",
+        True,
     )
 
 
@@ -85,6 +91,8 @@ def payment_spec() -> FactSpec:
         FACT_PAYMENT_COLUMNS,
         "payment_date_key",
         at,
+        "payment_id",
+        True,
     )
 
 
@@ -102,6 +110,7 @@ def position_spec() -> FactSpec:
         FACT_POSITION_COLUMNS,
         "date_key",
         at,
+        "raw_event_id",
     )
 
 

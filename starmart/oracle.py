@@ -325,6 +325,12 @@ oracle("fact_vehicle_position", f"""SELECT raw_event_id, vehicle_sk, route_sk, {
 oracle("fact_rejects", """SELECT trip_id, CASE WHEN user_sk IS NULL THEN 'user_sk' ELSE 'route_sk' END AS reject_reason
        FROM resolved WHERE user_sk IS NULL OR route_sk IS NULL""", "resolved")
 
+oracle("fact_trip_redelivered", """SELECT trip_id, batch AS etl_batch_id,
+       cast(fare_amount + CASE WHEN batch = 'b2' THEN 1 ELSE 0 END AS DECIMAL(10,2)) AS fare_amount,
+       batch = 'b1' AND trip_status = 'completed' AS superseded
+       FROM resolved, (VALUES ('b1'), ('b2')) batches(batch)
+       WHERE user_sk IS NOT NULL AND route_sk IS NOT NULL AND (batch = 'b1' OR trip_status = 'completed')""", "resolved")
+
 oracle("scd2_latest", "SELECT route_id, route_name, description, valid_from FROM latest", "latest")
 oracle("scd2_change_set", "SELECT route_id AS route_id_nat, change_kind FROM changes", "changes")
 oracle("scd2_change_set_strict", """SELECT route_id AS route_id_nat,

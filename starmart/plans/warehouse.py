@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmart.functions.time import date_key, ntz
 from starmart.operators import calendar as cal
-from starmart.operators import quality, scd2, timeline
+from starmart.operators import delivery, quality, scd2, timeline
 from starmart.operators.conform import batch_rows, checked
 from starmart.operators.dimensions import keyed_members, new_members
 from starmart.operators.facts import FactSpec, classified_rows, payment_spec, position_spec, trip_spec
@@ -195,8 +195,55 @@ class Warehouse:
                 done[batch] = io.write_facts(
                     rows.withColumn("etl_loaded_at", ntz(as_of)), self.path("fact", spec.name), batch, spec.date_key)
             counts[spec.name] = {k: sum(n[k] for n in done.values()) for k in (io.ACCEPTED, io.REJECTED)}
+            if spec.redelivered:
+                for batch in batches:
+                    self._settle_deliveries(spec, source, batch)
         return counts
 
+    def order(self) -> dict[str, int]:
+        """Positions of the batches in the order of their loads, as their route snapshots build on each other."""
+        known, places = self.snapshots(), {}
+        for batch in sorted(known):
+            chain = [batch]
+            while (before := known.get(chain[-1])) in known and before not in places:
+                chain.append(before)
+            for name in reversed(chain):
+                places.setdefault(name, places.get(known.get(name), 0) + 1)
+        return places
+
+    def _settle_deliveries(self, spec: FactSpec, source: StagingSpec, batch_id: str) -> None:
+        """Mark the facts of a batch that a later one delivers again, and those of earlier ones that it delivers again;
+        bring back those that only its former run displaced. Their parts of the mart follow."""
+        path, facts = self.path("fact_index", spec.name), self.path("fact", spec.name)
+        index = io.read_table(self.spark, path, delivery.INDEX, or_empty=True)
+        former = self._written(batch_rows(index, batch_id), "former-keys")
+        stored = io.read_facts(self.spark, facts, fact_schema(spec, source), None)
+        kept = batch_rows(stored, batch_id).where(F.col("row_state") != io.REJECTED)
+        own = delivery.index_rows(kept, spec.key, spec.date_key, self.order()[batch_id])
+        new = self._written(own, "new-keys")
+        for bucket in range(delivery.BUCKETS):  # what is not overwritten is gone
+            io.remove(self.spark, f"{path}/bucket={bucket}/etl_batch_id={batch_id}")
+        new.hint("rebalance", F.col("bucket")).write.mode("append").partitionBy("bucket", "etl_batch_id").parquet(path)
+        index = io.read_table(self.spark, path, delivery.INDEX, or_empty=True)
+        keys = former.unionByName(new)
+        entries = self._written(delivery.touched_entries(index, keys), "entries")
+        # Facts elsewhere that share a key with this run or the former one, and own ones that are delivered later.
+        cells = self._written(
+            entries.where((F.col("etl_batch_id") != batch_id) | (F.col("position") < F.col("last")))
+            .select("etl_batch_id", "cell").distinct(), "cells")
+        there = stored.join(
+            cells.withColumnRenamed("cell", spec.date_key), ["etl_batch_id", spec.date_key], "left_semi")
+        # Keys that were not touched keep their state.
+        seen = delivery.marked(there, spec.key, entries).join(
+            entries.select(F.col("key_hash").alias("_touched")).distinct(), F.xxhash64(spec.key) == F.col("_touched"), "left")
+        state = F.when((F.col("row_state") == io.REJECTED) | F.col("_touched").isNull(), F.col("row_state")).when(
+            F.col("superseded"), io.SUPERSEDED).otherwise(io.ACCEPTED)
+        rows = self._written(seen.withColumn("row_state", state).drop("superseded", "_touched"), "marked")
+        if io.rewrite_facts(rows, cells, facts, spec.date_key) and source is TRIP:
+            for (name,) in cells.select("etl_batch_id").distinct().orderBy("etl_batch_id").collect():  # one row per batch
+                if name != batch_id:
+                    self._write_parts(name)
+
     def rebook(self, batch_id: str, snapshot: str, as_of) -> dict[str, int]:
         """Bring the facts of other batches to the route versions of their days, after the snapshot changed the history.
 
@@ -220,8 +267,11 @@ class Warehouse:
             rows = classified_rows(own, dims, replace(spec, columns=(*spec.columns, "etl_batch_id")), "as_of_event")
             written = self._written(rows.withColumn("etl_loaded_at", ntz(as_of)), "rebooked")
             counts[spec.name] = io.rewrite_facts(written, cells, self.path("fact", spec.name), spec.date_key)
-            if source is TRIP:
-                for name in sorted(r[0] for r in cells.select(batch).distinct().collect()):  # one row per batch
+            changed = {r[0] for r in cells.select(batch).distinct().collect()}  # one row per batch
+            for name in sorted(changed, key=self.order().get):
+                if spec.redelivered:
+                    self._settle_deliveries(spec, source, name)
+                if source is TRIP:
                     self._write_parts(name)
         return counts
 

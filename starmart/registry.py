@@ -11,7 +11,7 @@ from starmart.adapters import AS_OF, Domain
 from starmart.functions import time as tm
 from starmart.functions.numeric import coerce, rounded
 from starmart.operators import calendar as cal
-from starmart.operators import dimensions, facts, quality, reconcile, routes, scd2
+from starmart.operators import delivery, dimensions, facts, quality, reconcile, routes, scd2
 from starmart.operators.conform import batch_rows, conform
 from starmart.operators.dedup import latest_by_key
 from starmart.operators.mart import adjusted_sums, mart_of_sums, replace_by_key, route_hour_sums
@@ -203,6 +203,20 @@ def fact_rejects(d: Domain) -> DataFrame:
     return rejected.select("trip_id", "reject_reason")
 
 
+@query("fact_trip_redelivered")
+def fact_trip_redelivered(d: Domain) -> DataFrame:
+    """Trips of two batches, of which the second delivers the completed ones again at another fare: the last one counts."""
+    spec = facts.trip_spec()
+    first = d.fact_trip().withColumn("etl_batch_id", F.lit("b1"))
+    again = first.filter("trip_status = 'completed'").withColumns({
+        "fare_amount": (F.col("fare_amount") + 1).cast("decimal(10,2)"), "etl_batch_id": F.lit("b2")})
+    both = first.unionByName(again)
+    place = F.when(F.col("etl_batch_id") == "b1", 1).otherwise(2)
+    index = delivery.index_rows(both, spec.key, spec.date_key, place)
+    states = delivery.marked(both, spec.key, delivery.touched_entries(index, index))
+    return states.select("trip_id", "etl_batch_id", "fare_amount", "superseded")
+
+
 # Versioned dimension -------------------------------------------------------------------------------
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from starmart.tables import ddl
 
-ACCEPTED, REJECTED = "accepted", "rejected"
+#: States of stored rows; a superseded fact is one that a later batch delivers again.
+ACCEPTED, REJECTED, SUPERSEDED = "accepted", "rejected", "superseded"
 
 
 def read_raw(spark: SparkSession, base: str, entity: str) -> DataFrame:
@@ -142,11 +143,13 @@ def write_facts(classified: DataFrame, path: str, batch_id: str, date_key: str)
 def rewrite_facts(classified: DataFrame, cells: DataFrame, path: str, date_key: str) -> int:
     """Replace the partitions of facts that ``cells`` (etl_batch_id, cell) names by the ``classified`` rows of those cells.
 
-    Both are stored tables. A state of a cell that has no rows any more is removed. Returns the number of cells.
+    Both are stored tables; rows may bring their ``row_state``. A state of a cell that has no rows any more is removed.
+    Returns the number of cells.
     """
-    spark, state = classified.sparkSession, F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
-    rows = classified.withColumn("row_state", state)
-    named = cells.collect()  # one row per batch and day
+    spark, rows = classified.sparkSession, classified
+    if "row_state" not in rows.columns:
+        rows = rows.withColumn("row_state", F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED))
+    named = cells.select("etl_batch_id", "cell").collect()  # one row per batch and day
     filled = {tuple(r) for r in rows.select("etl_batch_id", date_key, "row_state").distinct().collect()}
     if filled:
         (
@@ -155,16 +158,19 @@ def rewrite_facts(classified: DataFrame, cells: DataFrame, path: str, date_key:
             .partitionBy("etl_batch_id", "row_state", date_key).parquet(path)
         )
     for batch, day in named:
-        for kind in (ACCEPTED, REJECTED):
+        for kind in (ACCEPTED, REJECTED, SUPERSEDED):
             if (batch, day, kind) not in filled:
                 remove(spark, f"{batch_folder(path, batch)}/row_state={kind}/{date_key}={day}")
     return len(named)
 
 
 def read_facts(
-    spark: SparkSession, path: str, columns: Mapping[str, str], state: str = ACCEPTED, or_empty: bool = False
+    spark: SparkSession, path: str, columns: Mapping[str, str], state: str | None = ACCEPTED, or_empty: bool = False
 ) -> DataFrame:
+    """Facts of one state, or of all with their ``row_state``."""
     stored = {**columns, "reject_reason": "string", "etl_batch_id": "string", "row_state": "string"}
+    if state is None:
+        return read_table(spark, path, stored, or_empty)
     rows = read_table(spark, path, stored, or_empty).filter(F.col("row_state") == state).drop("row_state")
     return rows.drop("reject_reason") if state == ACCEPTED else rows
 
