@@ -20,8 +20,3 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
         ordering.append(F.xxhash64(*rest).desc())
     window = Window.partitionBy(*keys).orderBy(*ordering)
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
-
-
-def lowest_by_key(df: DataFrame, keys: Sequence[str], pick: str) -> DataFrame:
-    """Distinct keys with the lowest ``pick``; duplicates are folded before the shuffle."""
-    return df.groupBy(*keys).agg(F.min(pick).alias(pick))

@@ -12,9 +12,6 @@ from starmart.functions.fingerprint import DNS_NAMESPACE, digest_to_uuid_hex, uu
 from starmart.functions.numeric import mean
 from starmart.operators.ranking import ranked_within
 
-# Centre of a route none of whose stops has a coordinate.
-FALLBACK_LATITUDE, FALLBACK_LONGITUDE = 55.75, 37.60
-
 
 def stop_sequence(bridge: DataFrame, partitions: int | None = None) -> DataFrame:
     """Number the stops of each route by stop id. Starts a job, see ``ranked_within``."""
@@ -64,18 +61,14 @@ def _running_sha1(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def geometry(sequenced: DataFrame, stops: DataFrame) -> DataFrame:
-    """Mean coordinate of the stops of a route, and its first and last stop."""
+    """Mean coordinate of the located stops of a route (NULL if there are none), and its first and last stop."""
     places = stops.select(F.col("stop_id").alias("_stop"), "latitude", "longitude").filter(
         F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     )
     located = sequenced.join(places, F.col("stop_id") == F.col("_stop"), "left")
 
-    def centre(column: str, fallback: float, name: str):
-        return F.coalesce(mean(column, 6), F.lit(fallback)).alias(name)
-
     return located.groupBy("route_id").agg(
-        centre("latitude", FALLBACK_LATITUDE, "center_lat"),
-        centre("longitude", FALLBACK_LONGITUDE, "center_lon"),
+        mean("latitude", 6).alias("center_lat"), mean("longitude", 6).alias("center_lon"),
         F.min_by("stop_id", "stop_sequence").alias("first_stop"),
         F.max_by("stop_id", "stop_sequence").alias("last_stop"),
     )

@@ -470,10 +470,12 @@ oracle("route_pattern_hash", r"""SELECT route_id, concat(substr(h, 1, 12), '5',
        FROM (SELECT route_id, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8')
                     || encode(string_agg(stop_id, ',' ORDER BY stop_id))) AS h
              FROM bridge GROUP BY route_id)""", "bridge")
-oracle("route_geometry", f"""SELECT route_id, coalesce({rnd(avg('latitude'), 6)}, 55.75) AS center_lat,
-       coalesce({rnd(avg('longitude'), 6)}, 37.6) AS center_lon, min(stop_id) AS first_stop, max(stop_id) AS last_stop
+oracle("route_geometry", f"""SELECT route_id, {rnd(avg('latitude'), 6)} AS center_lat,
+       {rnd(avg('longitude'), 6)} AS center_lon, min(stop_id) AS first_stop, max(stop_id) AS last_stop
        FROM bridge LEFT JOIN stop USING (stop_id) GROUP BY route_id""", "bridge", "stop")
-oracle("position_dedup", "SELECT raw_event_id, min(offset_in_partition) AS event_id FROM pos GROUP BY raw_event_id", "pos")
+oracle("position_dedup", """SELECT raw_event_id, offset_in_partition AS event_id, vehicle_id, route_id, event_ts, latitude,
+       longitude, speed_kmph, heading_deg, nearest_stop_id, partition_id
+       FROM pos QUALIFY row_number() OVER (PARTITION BY raw_event_id ORDER BY offset_in_partition) = 1""", "pos")
 
 
 def draw(purpose: str) -> str:

@@ -13,7 +13,8 @@ from starmart.operators import delivery, quality, scd2, timeline
 from starmart.operators.conform import batch_rows, checked
 from starmart.operators.dimensions import keyed_members, new_members
 from starmart.operators.facts import FactSpec, classified_rows, payment_spec, position_spec, trip_spec
-from starmart.operators.mart import SUMS, mart_of_sums, route_hour_sums
+from starmart.operators.mart import SUMS, dropped_hours, mart_of_sums, route_hour_sums
+from starmart.operators.positions import deduplicate
 from starmart.session import scratch_path
 from starmart.sources import tables as io
 from starmart.tables import (
@@ -125,15 +126,17 @@ class Warehouse:
             self.staged(spec, batch_id).select(F.explode(F.array(*(F.col(c).cast("date") for c in columns))))
             for spec, columns in moments
         )
-        counts = {}
-        for name, rows, key in (
-            ("dim_date", cal.calendar_with(self.spark, reduce(DataFrame.union, days)), "date_key"),
-            ("dim_time", cal.clock(self.spark), "time_key"),
-        ):
-            path = self.path("dim", name)
-            stored = io.read_table(self.spark, path, dict(rows.dtypes), or_empty=True)
-            counts[name] = io.append_rows(cal.insert_if_absent(stored, rows, key), path)
-        return counts
+        clock = self._append_absent("dim_time", cal.clock(self.spark), "time_key")
+        return {"dim_date": self.extend_calendar(reduce(DataFrame.union, days)), "dim_time": clock}
+
+    def extend_calendar(self, days: DataFrame) -> int:
+        """Append the standard years and the given days (one date column) as far as the calendar lacks them."""
+        return self._append_absent("dim_date", cal.calendar_with(self.spark, days), "date_key")
+
+    def _append_absent(self, name: str, rows: DataFrame, key: str) -> int:
+        path = self.path("dim", name)
+        stored = io.read_table(self.spark, path, dict(rows.dtypes), or_empty=True)
+        return io.append_rows(cal.insert_if_absent(stored, rows, key), path)
 
     def calendar(self) -> DataFrame:
         return io.read_table(self.spark, self.path("dim", "dim_date"), {"date_key": "int", "full_date": "date"})
@@ -191,7 +194,9 @@ class Warehouse:
             batches = [batch_id] if batch_id else io.stored_batches(self.spark, self.path("staging", source.name))
             done = {}
             for batch in batches:
-                rows = classified_rows(self.staged(source, batch), dims, spec, version)
+                staged = self.staged(source, batch)
+                events = deduplicate(staged) if source is VEHICLE_POSITION else staged  # positions come more than once
+                rows = classified_rows(events, dims, spec, version)
                 done[batch] = io.write_facts(
                     rows.withColumn("etl_loaded_at", ntz(as_of)), self.path("fact", spec.name), batch, spec.date_key)
             counts[spec.name] = {k: sum(n[k] for n in done.values()) for k in (io.ACCEPTED, io.REJECTED)}
@@ -264,6 +269,7 @@ class Warehouse:
                 others.join(days, on_day, "left_semi").select("etl_batch_id", date_key(spec.moment).alias("cell")).distinct(), "cells")
             own = others.withColumn("cell", date_key(spec.moment)).join(cells, ["etl_batch_id", "cell"], "left_semi").drop("cell")
             batch = F.col("etl_batch_id")
+            own = deduplicate(own) if source is VEHICLE_POSITION else own
             rows = classified_rows(own, dims, replace(spec, columns=(*spec.columns, "etl_batch_id")), "as_of_event")
             written = self._written(rows.withColumn("etl_loaded_at", ntz(as_of)), "rebooked")
             counts[spec.name] = io.rewrite_facts(written, cells, self.path("fact", spec.name), spec.date_key)
@@ -378,12 +384,42 @@ def load_batch(
     counts |= house.load_facts(batch_id, batch_id, as_of, version)
     if version == "as_of_event":
         counts["rebooked"] = house.rebook(batch_id, batch_id, as_of)
-    booked = {"current": "current", "as_of_event": "as_booked"}[version]
-    counts["mart"] = house.load_mart(None if reload_mart else batch_id, batch_id, as_of, booked)
+    counts["mart"] = house.load_mart(None if reload_mart else batch_id, batch_id, as_of, BOOKED[version])
+    counts["trips_without_hour"] = dropped_hours(batch_rows(house.trips(), batch_id)).first()["rows_without_hour"]
     gates = house.gates(batch_id).first().asDict()
     if not gates["passed"]:
         raise GateFailed(f"facts or mart are empty: {gates}")
     return counts | {"mart_stored": gates["mart_rows"]}
 
 
-__all__ = ["GateFailed", "Warehouse", "load_batch", "fact_schema"]
+#: Which mart follows facts that are booked on the current or on their day's version.
+BOOKED = {"current": "current", "as_of_event": "as_booked"}
+
+
+def run_stage(
+    house: Warehouse, name: str, batch_id: str | None, as_of, raw: str | None = None, snapshot: str | None = None,
+    previous: str | None = None, first: bool = False, version: str = "current",
+) -> dict:
+    """One stage of a load by itself, on a batch or, without one, on all that is staged.
+
+    Staging and routes work on one batch, as a batch is what they store. Facts and mart of all batches use the named
+    snapshot, by default the batch's own.
+    """
+    if batch_id is None and (name in ("staging", "routes") or snapshot is None and name in ("facts", "mart")):
+        raise ValueError(f"stage {name} needs a batch id" + ("" if name in ("staging", "routes") else " or a snapshot"))
+    if name == "staging":
+        return house.load_staging(raw, batch_id, as_of)
+    if name == "generated":
+        return house.load_generated(batch_id)
+    if name == "dimensions":
+        return house.load_dimensions(batch_id, as_of, first)
+    if name == "routes":
+        return house.load_routes(batch_id, house.previous_snapshot(batch_id, previous, first), as_of)
+    if name == "facts":
+        return house.load_facts(batch_id, snapshot or batch_id, as_of, version)
+    if name == "mart":
+        return {"mart": house.load_mart(batch_id, snapshot or batch_id, as_of, BOOKED[version])}
+    raise ValueError(f"no stage {name!r}")
+
+
+__all__ = ["GateFailed", "Warehouse", "load_batch", "run_stage", "fact_schema"]

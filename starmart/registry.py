@@ -468,7 +468,9 @@ def position_dedup(d: Domain) -> DataFrame:
     once = d.staged(t.VEHICLE_POSITION)
     twice = once.unionByName(once.filter("speed_kmph > 50"))
     kept = deduplicate(twice)
-    return kept.select("raw_event_id", F.col("offset_in_partition").alias("event_id"))
+    return kept.select(
+        "raw_event_id", F.col("offset_in_partition").alias("event_id"), "vehicle_id", "route_id", "event_ts", "latitude",
+        "longitude", "speed_kmph", "heading_deg", "nearest_stop_id", "partition_id")
 
 
 @query("payments_from_trips")

@@ -6,12 +6,13 @@ replaced when the micro-batch is repeated after a failure, so no position is sto
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from starmart.functions.time import ntz
 from starmart.operators import scd2
 from starmart.operators.facts import classified_rows, position_spec
+from starmart.operators.positions import deduplicate
 from starmart.plans.warehouse import Warehouse
 from starmart.sources import tables as io
 from starmart.tables import DIM_STOP, DIM_VEHICLE, VEHICLE_POSITION
@@ -23,14 +24,23 @@ def read_feed(spark: SparkSession, folder: str, schema: str, files_per_batch: in
 
 
 def load_positions(
-    feed: DataFrame, house: Warehouse, snapshot: str, as_of, name: str = "positions"
+    feed: DataFrame, house: Warehouse, snapshot: str, as_of, name: str = "positions", delay: str | None = None
 ) -> StreamingQuery:
     """Start loading what is available; returns the running query.
 
     Dimensions are read again for every micro-batch, so members added meanwhile are found. The stream's
-    progress is kept in the warehouse, beside the tables whose folders it numbers.
+    progress is kept in the warehouse, beside the tables whose folders it numbers. Events repeated within a
+    micro-batch are stored once; with a ``delay`` (such as "2 hours") also those repeated across micro-batches, as long as
+    they come within it: the stream then keeps the ids of that time as its state, and leaves out events that are later.
+    The calendar follows the days of the events.
     """
+    if delay:
+        timed = feed.withColumn("_at", F.col("event_ts").cast("timestamp"))  # watermarks need a moment with a time zone
+        feed = timed.withWatermark("_at", delay).dropDuplicatesWithinWatermark(["raw_event_id"]).drop("_at")
+
     def load(batch: DataFrame, number: int) -> None:
+        if batch.isEmpty():  # a micro-batch that only moves the watermark on
+            return
         batch_id = f"{name}-{number:012d}"
         house.stage(batch, VEHICLE_POSITION, batch_id, as_of)
         dims = {
@@ -38,7 +48,9 @@ def load_positions(
             "dim_route": scd2.current_only(house.routes(snapshot)),
         }
         spec = position_spec()
-        rows = classified_rows(house.staged(VEHICLE_POSITION, batch_id), dims, spec)
+        staged = house.staged(VEHICLE_POSITION, batch_id)
+        house.extend_calendar(staged.select(F.col("event_ts").cast("date")))
+        rows = classified_rows(deduplicate(staged), dims, spec)
         io.write_facts(
             rows.withColumn("etl_loaded_at", ntz(as_of)), house.path("fact", spec.name), batch_id, spec.date_key
         )

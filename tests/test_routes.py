@@ -54,14 +54,16 @@ def test_geometry(spark):
     stops = frame(spark, "stop_id string, latitude decimal(9,6), longitude decimal(9,6)",
                   ("s1", "55.1", "37.0"), ("s2", "55.2", "37.1"), ("s3", None, "38.0"))
     assert rows(routes.geometry(sequenced, stops)) == [
-        ("a", 55.15, 37.05, "s1", "s3"), ("b", 55.75, 37.6, "s3", "s3"), ("c", 55.75, 37.6, "zz", "zz")]
+        ("a", 55.15, 37.05, "s1", "s3"), ("b", None, None, "s3", "s3"), ("c", None, None, "zz", "zz")]
 
 
 def test_event_id_and_repeated_delivery(spark):
     df = frame(spark, "v string, ts timestamp_ntz", ("VEH-1", "2024-01-01 00:00:00.7"))
     assert rows(df.select(positions.raw_event_id(F.col("v"), F.col("ts")))) == [("VEH-1-1704067200",)]
-    feed = frame(spark, "raw_event_id string, offset_in_partition bigint", ("a", 5), ("a", 3), ("b", 9))
-    assert rows(positions.deduplicate(feed)) == [("a", 3), ("b", 9)]
+    feed = frame(
+        spark, "raw_event_id string, offset_in_partition bigint, speed double", ("a", 5, 1.0), ("a", 3, None), ("a", None, 3.0),
+        ("b", 9, 4.0), ("c", None, 5.0), (None, 1, 6.0), ("b", 9, 4.0))
+    assert rows(positions.deduplicate(feed)) == sorted([("a", 3, None), ("b", 9, 4.0), ("c", None, 5.0), (None, 1, 6.0)], key=repr)
 
 
 def test_payments(spark):
