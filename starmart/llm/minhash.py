@@ -5,7 +5,7 @@ pairs, rarest first: values that no other document has are no postings at all, a
 reach the match threshold and leaves. Two documents with ``MATCHES`` equal coordinates share a posting among all but the
 last ``MATCHES - 1`` of each in the common order, so only this prefix is posted and the longest lists are skipped. Pairs
 from the lists are kept if their signatures agree in ``MATCHES`` coordinates and are then confirmed on the full sets. Sets
-of 0.8 similarity fail the threshold with a probability of 3.5e-11, more similar ones with less.
+of 0.8 similarity fail the threshold with a probability of 3.4e-11, more similar ones with less.
 
 No list is expanded into pairs. Each list has a leader, the document whose values occur most often (in a family of edited
 copies that is the unedited one), and every other document of the list meets the leader only: as many pairs as postings
