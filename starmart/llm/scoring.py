@@ -3,20 +3,24 @@
 The model reads the lower-cased words of a text with one space between them and an end sign, byte by byte, each byte as
 eight binary decisions. Seven predictors know how often a 0 and a 1 followed (context, bits of the byte so far) in the
 training texts; their contexts are nothing, the last one to four bytes, the word so far, and the word so far with the kind
-of the text. The kind is which of the most frequent training words occurs most often in the text; it costs the
+of the text. The last bytes are those of the running text: at the beginning of a word they are the space and the end of
+the word before it. The kind is which of the most frequent training words occurs most often in the text; it costs the
 bits that its share of the training texts asks for, and mostly tells the language. The predictions are mixed in the
-logistic domain by weights that a gate chooses: the longest contexts that are known and how well they are. The weights,
-and a last table that refines each mixed probability, adapt online over all training words, each being held back from the
-counts that predict it and weighing with the root of its occurrences, so that neither few frequent words nor the many
-rare ones decide alone; every task does so on its share, and the results are averaged, later steps counting for more. A text's score is the sum of the log10 probabilities of its bits.
-
-No context reaches beyond its word, so a word of a kind costs the same wherever it stands, and is scored once. Words are
-counted by Spark over all texts, kept by kind, and dealt by their first three bytes; a task so sees all words that share a
-longer beginning, and counts in contexts of a word's beginning exactly (by 56-bit hashes). Counts in the other contexts
-are a table whose size has a bound of its own: those of up to two bytes are told apart, those of three and four bytes
-share ``2 ** PLACES`` places each, and a word's first bytes are as many as texts have. What is gathered grows with the
-texts; orders and predictors are the same at every size. Texts are kept in chunks of bounded size; the distinct words of
-a chunk are joined with their scores, and chunk and scores meet in one task.
+logistic domain by weights that a gate chooses: whether the byte is one of a word's first, the longest contexts that are
+known and how well they are. The weights, and a last table that refines each mixed probability, adapt online over all
+training bytes, each being held back from the counts that predict it. A word's first bytes weigh with their occurrences,
+later ones with the root of their word's, so that neither few frequent words nor the many rare ones decide alone. Every
+task adapts on its share, and the results are averaged, later steps counting for more. A text's score is the sum of the
+log10 probabilities of its bits.
+
+The last four bytes of a word's fourth byte and of all later ones lie in the word and the space ahead of it. So a word's
+first ``HEAD`` bytes are judged with the word before them, as they stand in the text, and its other bytes once per word
+and kind; bytes of one kind with the same beginning of a word are judged once. Words are counted by Spark and dealt by
+their first bytes; a task so sees all words that share a longer beginning, and counts in contexts of a word's beginning
+exactly (by 56-bit hashes). Counts in the other contexts are a table whose size has a bound of its own: those of up to two
+bytes are told apart, those of three and four bytes share ``2 ** PLACES`` places each, and a word's first bytes are as many
+as texts have. What is gathered grows with the texts; orders and predictors are the same at every size. Texts are cut once
+and kept as numbers of words in chunks of bounded size; scores of a chunk's words come back under those numbers.
 
 Defined cases: a null text is empty and has the end token only; repeated rows are scored and counted each; with no
 training texts all counts are zero and bits cost about one bit each; a null id is not held out; other columns are not read.
@@ -26,10 +30,11 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from starmart.llm.tables import Stored
 from starmart.llm.text import is_held_out, lower_words, mix
@@ -43,10 +48,10 @@ LEVELS = np.array([2.0, 8.0, 64.0])
 ORDER, PLACES = 4, 20
 PREDICTORS, GATES = ORDER + 3, (ORDER + 3) * (len(LEVELS) + 1)
 #: Distinct words held before they are passed on, words that a task adapts to, words that are dealt with together, bytes
-#: of one step, bytes scored at a time, and characters of a chunk.
-HELD, SHARE, GROUP, STEP, ROWS, CHUNK = 200_000, 50_000, 20_000, 2048, 200_000, 12_000_000
-#: First bytes of a word that the words of all tasks know about.
-HEAD = 3
+#: of one step, bytes scored at a time, characters of a chunk, and words of texts looked at together.
+HELD, SHARE, GROUP, STEP, ROWS, CHUNK, PIECE = 200_000, 400_000, 20_000, 512, 200_000, 40_000_000, 1_000_000
+#: First bytes of a word that the words of all tasks know about; the contexts of last bytes of later ones lie in the word.
+HEAD = ORDER - 1
 FOLDS, FOLD = 7, 2
 _END = b"\n"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -61,28 +66,37 @@ def _powers(n: int) -> np.ndarray:
 
 
 class Grams:
-    """The bytes of words, each with the space behind it (the end sign has none), and the contexts that they stand in."""
+    """The bytes of words, each with the space behind it (the end sign has none), and the contexts that they stand in.
 
-    def __init__(self, words: list[bytes], kinds: np.ndarray):
-        bodies = [w if w == _END else w + b" " for w in words]
+    ``tails`` are the last three bytes ahead of the space before a word, nothing if not given; words that are not ``whole``
+    are taken as they are.
+    """
+
+    def __init__(self, words: list[bytes], kinds: np.ndarray, tails: np.ndarray | None = None, whole: bool = True):
+        bodies = [w if w == _END else w + b" " for w in words] if whole else words
         self.sizes = np.array([len(b) for b in bodies], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.data = np.frombuffer(b"".join(bodies), np.uint8).astype(np.uint64)
         self.word = np.repeat(np.arange(len(words), dtype=np.int32), self.sizes)
         self.place = np.arange(len(self.data)) - self.starts[self.word]
         self.kind = kinds.astype(np.uint64)[self.word]
+        self.tail = None if tails is None else tails.astype(np.uint64)[self.word]
         value = (self.data + np.uint64(1)) * _powers(int(self.sizes.max(initial=1)))[self.place]
         before = np.cumsum(value) - value
         self.prefix = before - before[self.starts[self.word]]
+        self.after = self.prefix + value
         # Of its first bytes the words of all tasks know: those contexts come from the table.
         self.short = self.place < HEAD
 
     def behind(self, k: int, rows: np.ndarray | slice) -> np.ndarray:
-        """The last ``k`` bytes, with the space ahead of the word and nothing before it."""
-        place, out = self.place[rows], np.zeros(len(self.data[rows]), np.uint64)
-        at = np.arange(len(self.data))[rows]
+        """The last ``k`` bytes, with the space ahead of the word and what stands before that."""
+        at = np.arange(len(self.data))[rows] if isinstance(rows, slice) else rows
+        place, out = self.place[at], np.zeros(len(at), np.uint64)
         for j in range(1, k + 1):
             byte = np.where(place >= j, self.data[at - np.minimum(j, place)], np.where(place == j - 1, np.uint64(32), np.uint64(0)))
+            if self.tail is not None and j > 1:
+                far = np.clip(j - 2 - place, 0, 7).astype(np.uint64)
+                byte = np.where(place < j - 1, self.tail[at] >> np.uint64(8) * far & np.uint64(255), byte)
             out |= byte << np.uint64(8 * (j - 1))
         return out if k < 3 else mix(out) >> np.uint64(64 - PLACES)
 
@@ -96,6 +110,14 @@ class Grams:
             h = h * _BASE + self.kind[rows] + np.uint64(1)
         return mix(h) & ~np.uint64(255) | data
 
+    def nodes(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(one of the bytes for each byte and all that it depends on, the number of that byte for each row)."""
+        h = mix(self.after[rows]) + self.kind[rows]
+        if self.tail is not None:
+            h = mix(h) + self.tail[rows]
+        _, first, back = np.unique(h, return_index=True, return_inverse=True)
+        return rows[first], back
+
 
 #: Number of leading bits, of eight, that a byte's zeros leave equal.
 _SHARED = np.array([8 - x.bit_length() for x in range(256)])
@@ -107,12 +129,15 @@ class Paths:
     def __init__(self, keys: np.ndarray, n: np.ndarray):
         self.keys, at = np.unique(keys, return_inverse=True)
         total = np.bincount(at, n, len(self.keys)).astype(np.int64) if len(keys) else np.zeros(0, np.int64)
-        self.sums = np.zeros((len(self.keys), 9), np.int64)
+        self.sums = np.zeros((len(self.keys), 9), np.int32 if total.sum() < 2**31 else np.int64)
         for bits in range(9 if len(self.keys) else 0):
             node = self.keys >> np.uint64(8 - bits)
             start = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
             self.sums[:, bits] = np.repeat(np.add.reduceat(total, start), np.diff(np.append(start, len(self.keys))))
 
+    def __reduce__(self):
+        return Paths, (self.keys, self.sums[:, 8])
+
     def _shared(self, keys: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Leading bits of the byte that are equal; -1 in another context."""
         apart = keys ^ self.keys[at]
@@ -148,17 +173,19 @@ class Mixer:
     def inputs(self, paths: list[np.ndarray], data: np.ndarray, bit: int, held_back: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(stretched predictions, gates, bits); ``paths`` has the counts (bits, byte) of every predictor."""
         y = (data >> np.uint64(7 - bit) & np.uint64(1)).astype(np.int64)
-        x, depth, known = np.empty((len(data), PREDICTORS)), np.zeros(len(data), np.int64), np.zeros(len(data))
+        kind = np.float32 if held_back else np.float64  # learning needs no more
+        x, depth, known = np.empty((PREDICTORS, len(data)), kind), np.zeros(len(data), np.int64), np.zeros(len(data), kind)
+        sign = (2 * y - 1).astype(kind)
         for k, path in enumerate(paths):
-            same, other = path[bit + 1].astype(float), (path[bit] - path[bit + 1]).astype(float)
+            same, other = path[bit + 1].astype(kind), (path[bit] - path[bit + 1]).astype(kind)
             if held_back:
-                same = np.maximum(same - 1, 0)
-            n0, n1 = np.where(y, other, same), np.where(y, same, other)
-            x[:, k] = np.log((n1 + PRIOR) / (n0 + PRIOR))
-            total = n0 + n1
+                same = np.maximum(same - kind(1), kind(0))
+            x[k] = sign * np.log((same + kind(PRIOR)) / (other + kind(PRIOR)))
+            total = same + other
             depth = np.where(total > 0, k, depth)
             known = np.where(total > 0, total, known)
-        return x, depth * (len(LEVELS) + 1) + np.searchsorted(LEVELS, known, side="right"), y
+        level = sum((known >= low).astype(np.int64) for low in LEVELS)
+        return x.T, depth * (len(LEVELS) + 1) + level, y
 
     def mixed(self, x: np.ndarray, gate: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(probability before and after refinement, cell of the refinement)."""
@@ -226,7 +253,7 @@ def kind_of(counts: Counter, frequent: dict[bytes, int]) -> int:
 
 
 def _word_counts(keyed: DataFrame) -> DataFrame:
-    """(word, n) over the training texts, folded in the tasks."""
+    """(word, c) over the training texts, folded in the tasks."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
@@ -248,182 +275,353 @@ def _word_counts(keyed: DataFrame) -> DataFrame:
     return keyed.where(~F.col("held_out")).select("text").mapInArrow(task, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def _chunks(keyed: DataFrame, frequent: dict[bytes, int]) -> DataFrame:
-    """All rows with their kind and the number of their chunk: rows that follow each other in a task."""
+class Numbers(dict):
+    """Numbers of words in the order of their coming."""
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = len(self)
+        return value
 
-        chunk, size = TaskContext.get().partitionId() << 32, 0
-        for batch in batches:
-            chunks, kinds = [], []
-            for text in batch.column("text"):
-                value = text.as_py()
-                if size > CHUNK:
-                    chunk, size = chunk + 1, 0
-                size += len(value or "")
-                chunks.append(chunk)
-                kinds.append(kind_of(Counter(lower_words(value)), frequent))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(chunks, pa.int64()), pa.array(kinds, pa.int16()), *(batch.column(c) for c in ("doc_id", "held_out", "text"))],
-                names=["chunk", "kind", "doc_id", "held_out", "text"])
 
-    return keyed.select("doc_id", "held_out", "text").mapInArrow(task, "chunk long, kind short, doc_id long, held_out boolean, text string")
+def head_of(word: bytes) -> int:
+    """The first bytes of a word with its space, their number above them."""
+    body = (word if word == _END else word + b" ")[:HEAD]
+    return len(body) << 8 * HEAD | int.from_bytes(body, "big")
+
+
+def tail_of(word: bytes) -> int:
+    """The last bytes of a word, with the space ahead of it."""
+    return int.from_bytes((b" " + word)[-HEAD:], "big")
+
 
+def _head_pairs(numbers: np.ndarray, starts: np.ndarray, kinds: np.ndarray, heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
+    """For each word of texts one after the other: kind, end of the word before, first bytes; ``kinds`` has one per word."""
+    before = np.zeros(len(numbers), np.int64)
+    before[1:] = tails[numbers[:-1]]
+    before[starts] = 0
+    return kinds << 8 * HEAD + 2 + 8 * HEAD | before << 8 * HEAD + 2 | heads[numbers]
 
-def _chunk_words(chunks: DataFrame) -> DataFrame:
-    """(chunk, kind, word, m) of the distinct words of a kind in a chunk; ``m`` counts them in training rows."""
+
+def _head_bytes(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of each of the first bytes, without what ``ORDER`` last bytes do not reach: as a pair, the byte its last."""
+    rows, keys = [], []
+    size, full = pairs >> 8 * HEAD & 3, pairs & (1 << 8 * HEAD) - 1
+    for place in range(HEAD):
+        row = np.flatnonzero(size > place)
+        far = pairs[row] >> 8 * HEAD + 2
+        tail, kind = far & (1 << 8 * (HEAD - place)) - 1, far >> 8 * HEAD
+        head = full[row] >> 8 * (size[row] - 1 - place)
+        rows.append(row)
+        keys.append(kind << 8 * HEAD + 2 + 8 * HEAD | tail << 8 * HEAD + 2 | (place + 1) << 8 * HEAD | head)
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def _head_grams(keys: np.ndarray) -> tuple[Grams, np.ndarray]:
+    """The bytes of keys, and which of them are the last ones."""
+    mask = (1 << 8 * HEAD) - 1
+    heads, sizes = (keys & mask).tolist(), (keys >> 8 * HEAD & 3).tolist()
+    words = [h.to_bytes(n, "big") for h, n in zip(heads, sizes)]
+    grams = Grams(words, keys >> 2 * 8 * HEAD + 2, keys >> 8 * HEAD + 2 & mask, whole=False)
+    return grams, grams.starts + grams.sizes - 1
+
+
+def _folded(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, each once, and the sums of their numbers."""
+    found, back = np.unique(np.concatenate(keys), return_inverse=True)
+    return found, np.bincount(back, np.concatenate(n), len(found)).astype(np.int64)
+
+
+_CUT = ("chunk long, kind short, number int, word binary, m long, head_key long, is_text boolean, doc_id long, held_out boolean, "
+        "bytes long, numbers binary")
+_CUT_ARROW = pa.schema([
+    ("chunk", pa.int64()), ("kind", pa.int16()), ("number", pa.int32()), ("word", pa.binary()), ("m", pa.int64()),
+    ("head_key", pa.int64()), ("is_text", pa.bool_()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("bytes", pa.int64()),
+    ("numbers", pa.binary())])
+
+
+def _cut_rows(n: int, **given) -> pa.RecordBatch:
+    columns = [given.get(f.name) for f in _CUT_ARROW]
+    return pa.RecordBatch.from_arrays(
+        [pa.nulls(n, f.type) if c is None else c if isinstance(c, pa.Array) else pa.array(c, f.type) for f, c in zip(_CUT_ARROW, columns)],
+        schema=_CUT_ARROW)
+
+
+def _cut(keyed: DataFrame, frequent: list[bytes]) -> DataFrame:
+    """Texts as numbers of words, and per chunk of texts that follow each other in a task three kinds of rows.
+
+    Texts have ``is_text``; words of a kind have their number, ``m`` counting them in training rows; first bytes after the
+    end of another word have ``head_key`` and ``m``, in training rows only.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, [Counter() for _ in range(KINDS + 1)]
+        from pyspark import TaskContext
+
+        def fresh() -> Numbers:
+            # The frequent words have the numbers of their kinds; numbers of kinds that no word has stay free.
+            return Numbers([(frequent[k] if k < len(frequent) else b" %d" % k, k) for k in range(KINDS)] + [(_END, KINDS)])
+
+        chunk, size, index, held, done = TaskContext.get().partitionId() << 32, 0, fresh(), [], ([], [], [], [])
+        heads, tails, waiting = [], [], 0
+
+        def fold() -> None:
+            lengths = np.array([len(h[2]) for h in held])
+            numbers = np.concatenate([h[2] for h in held])
+            kinds = np.repeat(np.array([h[0] for h in held], np.int64), lengths)
+            trained = np.repeat(np.array([h[1] for h in held]), lengths)
+            held.clear()
+            for word in islice(index, len(heads), None):
+                heads.append(head_of(word))
+                tails.append(tail_of(word))
+            found, n = _folded([kinds << 32 | numbers], [trained])
+            pairs = _head_pairs(numbers, np.cumsum(lengths) - lengths, kinds, np.array(heads), np.array(tails))
+            pairs, m = np.unique(pairs[trained], return_counts=True)
+            row, keys = _head_bytes(pairs)
+            for part, new in zip(done, (found, n, *_folded([keys], [m[row]]))):
+                part.append(new)
 
         def out() -> Iterator[pa.RecordBatch]:
-            for kind, counts in enumerate(held):
-                if counts:
-                    n = len(counts)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, last, np.int64)), pa.array(np.full(n, kind, np.int16)),
-                         pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
-                        names=["chunk", "kind", "word", "m"])
-                    counts.clear()
+            if held:
+                fold()
+            words = list(index)
+            found, m = _folded(*done[:2])
+            number = found & 0xFFFFFFFF
+            yield _cut_rows(len(found), chunk=np.full(len(found), chunk), kind=found >> 32, number=number, is_text=np.zeros(len(found), bool),
+                            word=[words[k] for k in number.tolist()], m=m)
+            keys, m = _folded(*done[2:])
+            if len(keys):
+                yield _cut_rows(len(keys), chunk=np.full(len(keys), chunk), head_key=keys, m=m, is_text=np.zeros(len(keys), bool))
+            for part in (heads, tails, *done):
+                part.clear()
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("chunk", "kind", "held_out"))
-            for chunk, kind, held_out, text in zip(*columns, batch.column("text")):
-                if chunk != last:  # a chunk bounds the words that are held
+            chunks, of_kind, sizes, blobs = [], [], [], []
+            for held_out, text in zip(batch.column("held_out").to_pylist(), batch.column("text")):
+                value = text.as_py()
+                words = lower_words(value)
+                numbers = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+                often = np.bincount(numbers[numbers < KINDS], minlength=KINDS)
+                kind = int(often.argmax()) if often.any() else KINDS
+                numbers = np.append(numbers, KINDS)
+                held.append((kind, not held_out, numbers))
+                chunks.append(chunk)
+                of_kind.append(kind)
+                sizes.append(sum(map(len, words)) + len(words) + 1)
+                blobs.append(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+                size += len(value or "")
+                waiting += len(numbers)
+                if waiting > PIECE:
+                    fold()
+                    waiting = 0
+                if size > CHUNK:
                     yield from out()
-                    last = chunk
-                words = lower_words(text.as_py())
-                if held_out:
-                    held[kind].update(dict.fromkeys(words, 0))
-                    held[kind][_END] += 0
-                else:
-                    held[kind].update(words)
-                    held[kind][_END] += 1
-        yield from out()
-
-    return chunks.select("chunk", "kind", "held_out", "text").mapInArrow(task, "chunk long, kind short, word binary, m long")
+                    chunk, size, index, waiting = chunk + 1, 0, fresh(), 0
+            n = batch.num_rows
+            yield _cut_rows(n, chunk=chunks, kind=of_kind, is_text=np.ones(n, bool), doc_id=batch.column("doc_id"),
+                            held_out=batch.column("held_out"), bytes=sizes, numbers=blobs)
+        if held or done[0]:
+            yield from out()
 
+    return keyed.select("doc_id", "held_out", "text").mapInArrow(task, _CUT)
 
-def _text_scores(chunks: DataFrame, known: DataFrame, cost: dict[int, float]) -> DataFrame:
-    """Sums over the words of every text, where chunk and scores of its words meet."""
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, bytes long"
 
-    def task(texts: pa.Table, table: pa.Table) -> pa.Table:
-        place: list[dict[bytes, int]] = [{} for _ in range(KINDS + 1)]
-        for row, (kind, word) in enumerate(zip(table.column("kind").to_pylist(), table.column("word").to_pylist())):
-            place[kind][word] = row
-        score, log = (table.column(c).to_numpy().astype(float) for c in ("score", "log"))
-        out = []
-        for kind, text in zip(texts.column("kind").to_pylist(), texts.column("text")):
-            words = lower_words(text.as_py())
-            at = np.fromiter(map(place[kind].__getitem__, words), np.int64, len(words))
-            at = np.append(at, place[kind][_END])
-            size = sum(map(len, words)) + len(words) + 1
-            out.append((len(at), int((log[at] > 0).sum()), float(log[at].sum()), float(score[at].sum()) + cost[kind], size))
-        columns = zip(*out) if out else ([] for _ in range(5))
-        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
-        return pa.table([texts.column("doc_id"), texts.column("held_out"), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                        names=[c.split()[0] for c in schema.split(", ")])
-
-    return chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(task, schema)
-
-
-def _table(units: DataFrame) -> Paths:
-    """Counts in all contexts but a word's beginning of two and more bytes. The number of contexts is bounded."""
+def _table(words: DataFrame, heads: DataFrame) -> Paths:
+    """Counts in all contexts but a word's beginning of three and more bytes. The number of contexts is bounded."""
+    schema = "slot long, n long"
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def folded(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         found, total = np.empty(0, np.uint64), np.empty(0, np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, GROUP):
-                part = batch.slice(at, GROUP)
-                grams = Grams(part.column("word").to_pylist(), part.column("kind").to_numpy())
-                n, short = part.column("m").to_numpy()[grams.word], np.flatnonzero(grams.short)
-                keys = np.concatenate([found, *(grams.keys(k) for k in range(ORDER + 1)), *(grams.keys(k, short) for k in range(ORDER + 1, PREDICTORS))])
-                counts = np.concatenate([total, *[n] * (ORDER + 1), *[n[short]] * 2])
-                found, back = np.unique(keys, return_inverse=True)
-                total = np.bincount(back, counts, len(found)).astype(np.int64)
+        for keys, n in parts:
+            found, total = _folded([found, keys], [total, n])
         if len(found):
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(total)], names=["slot", "n"])
 
-    summed = units.where("m > 0").select("kind", "word", "m").mapInArrow(task, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, GROUP):
+                yield batch.slice(at, GROUP)
+
+    def of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts():
+            for part in slices(batches):
+                grams = Grams(part.column("word").to_pylist(), part.column("kind").to_numpy())
+                n, short, rest = part.column("m").to_numpy()[grams.word], np.flatnonzero(grams.short), np.flatnonzero(~grams.short)
+                keys = [*(grams.keys(k, rest) for k in range(ORDER + 1)), *(grams.keys(k, short) for k in range(ORDER + 1, PREDICTORS))]
+                yield np.concatenate(keys), np.concatenate([*[n[rest]] * (ORDER + 1), *[n[short]] * 2])
+        return folded(parts())
+
+    def of_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts():
+            for part in slices(batches):
+                grams, rows = _head_grams(part.column("head_key").to_numpy())
+                yield np.concatenate([grams.keys(k, rows) for k in range(ORDER + 1)]), np.concatenate([part.column("m").to_numpy()] * (ORDER + 1))
+        return folded(parts())
+
+    slots = words.where("m > 0").select("kind", "word", "m").mapInArrow(of_words, schema).unionByName(
+        heads.select("head_key", "m").mapInArrow(of_heads, schema))
+    summed = slots.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     return Paths(summed.column("slot").to_numpy().astype(np.int64).view(np.uint64), summed.column("n").to_numpy())
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
-    """(words, kinds, m) of whole first bytes, from rows that come sorted by ``head``; ``GROUP`` or more at a time."""
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of whole first bytes, from rows that come sorted by ``first``; ``GROUP`` or more at a time."""
     held: list[pa.RecordBatch] = []
     rows = 0
-
-    def whole(parts: list[pa.RecordBatch]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        table = pa.Table.from_batches(parts)
-        return table.column("word").to_pylist(), table.column("kind").to_numpy(), table.column("m").to_numpy()
-
     for batch in batches:
         if not batch.num_rows:
             continue
-        head = batch.column("head").to_numpy()
+        first = batch.column("first").to_numpy()
         if rows >= GROUP:
-            last = held[-1].column("head")[-1].as_py()
-            edge = int(np.searchsorted(head, last, side="right"))
+            last = held[-1].column("first")[-1].as_py()
+            edge = int(np.searchsorted(first, last, side="right"))
             if edge:
                 held.append(batch.slice(0, edge))
-            batch, head = batch.slice(edge), head[edge:]
+            batch = batch.slice(edge)
             if batch.num_rows:
-                yield whole(held)
+                yield pa.Table.from_batches(held)
                 held, rows = [], 0
         if batch.num_rows:
             held.append(batch)
         rows += batch.num_rows
     if held:
-        yield whole(held)
+        yield pa.Table.from_batches(held)
+
+
+def _units(table: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, kinds, m) of words of a kind, and (its unit, the count of its word) of every row; rows come sorted."""
+    words, kinds, m = table.column("word").to_pylist(), table.column("kind").to_numpy(), table.column("m").to_numpy()
+    new = np.fromiter((a != b for a, b in zip(words, [None, *words])), bool, len(words))
+    unit = new | np.append(True, kinds[1:] != kinds[:-1])
+    starts, number = np.flatnonzero(unit), np.cumsum(new) - 1
+    counts = np.bincount(number, m).astype(np.int64)[number]
+    return [words[k] for k in starts], kinds[starts], np.add.reduceat(m, starts), np.cumsum(unit) - 1, counts
+
+
+def _by_piece(counts: Counts, grams: Grams, at: np.ndarray) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Bytes, and their counts, in pieces of bounded size."""
+    for low in range(0, len(at), ROWS):
+        yield at[low:low + ROWS], counts.of(grams, at[low:low + ROWS])
+
+
+def _scored(mixer: Mixer, counts: Counts, grams: Grams, rows: np.ndarray) -> np.ndarray:
+    """The sum of log10 probabilities of the chosen bytes of every word."""
+    at, back = grams.nodes(rows)
+    found = [mixer.log10(paths, grams.data[piece]) for piece, paths in _by_piece(counts, grams, at)]
+    return np.bincount(grams.word[rows], np.concatenate([*found, np.empty(0)])[back], len(grams.sizes))
+
+
+def _dealt(words: DataFrame, tasks: int, *columns: str) -> DataFrame:
+    """Words dealt and sorted by their first bytes."""
+    first = F.conv(F.hex(F.substring("word", 1, HEAD)), 16, 10).cast("int")
+    dealt = words.withColumn("first", F.coalesce(first, F.lit(0))).select("first", "kind", "word", "m", *columns)
+    return dealt.repartition(tasks, "first").sortWithinPartitions("first", "word", "kind")
+
+
+def _adapted(words: DataFrame, heads: DataFrame, tasks: int, table: Paths) -> tuple[tuple, tuple]:
+    """Weights and refinement after online steps over all training bytes: those of a word's first bytes and of later ones."""
+
+    def learn(mixer: Mixer, sofar: list, counts: Counts, grams: Grams, rows: np.ndarray, m: np.ndarray) -> None:
+        at, back = grams.nodes(rows)
+        n = np.bincount(back, m[grams.word[rows]], len(at))
+        order = np.argsort(mix(grams.after[at] + at.astype(np.uint64)))
+        at, n, done = at[order], n[order], 0
+        for piece, paths in _by_piece(counts, grams, at):
+            for low in range(0, len(piece), STEP):
+                part = slice(low, low + STEP)
+                mixer.learn([p[:, part] for p in paths], grams.data[piece[part]], n[done:done + len(piece)][part])
+                sofar[0] += 1
+                sofar[1] = sofar[1] + sofar[0] * np.concatenate([mixer.weights.ravel(), mixer.refined.ravel()])
+            done += len(piece)
+        sofar[2] += len(at)
+
+    def result(sofar: list, later: bool) -> Iterator[pa.RecordBatch]:
+        steps, total, rows = sofar
+        if steps:
+            values = np.append(total / (steps * (steps + 1) / 2) * rows, float(rows))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(values), later)), pa.array(np.arange(len(values))), pa.array(values)], names=["later", "at", "value"])
+
+    def by_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mixer, sofar = Mixer(), [0, 0.0, 0]
+        for group in _groups(batches):
+            words, kinds, m, _, _ = _units(group)
+            grams = Grams(words, kinds)
+            learn(mixer, sofar, Counts(grams, m, table), grams, np.flatnonzero(~grams.short), np.sqrt(m))
+        yield from result(sofar, True)
 
+    def by_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mixer, sofar = Mixer(), [0, 0.0, 0]
+        for batch in batches:
+            m, (grams, rows) = batch.column("m").to_numpy(), _head_grams(batch.column("head_key").to_numpy())
+            learn(mixer, sofar, Counts(grams, m, table), grams, rows, m)
+        yield from result(sofar, False)
 
-def _model(stored: Stored, units: DataFrame) -> DataFrame:
-    """(kind, word, score) of every word of a kind; the weights adapt over those that occur in training texts."""
-    table = _table(units)
-    tasks = -(-units.count() // SHARE) or 1
-    head = F.conv(F.hex(F.substring("word", 1, HEAD)), 16, 10).cast("int")
-    dealt = units.withColumn("head", F.coalesce(head, F.lit(0))).select("head", "kind", "word", "m")
-    dealt = dealt.repartition(tasks, "head").sortWithinPartitions("head", "word", "kind")
+    schema = "later boolean, at long, value double"
+    values = _dealt(words.where("m > 0"), tasks).mapInArrow(by_words, schema).unionByName(
+        heads.select("head_key", "m").mapInArrow(by_heads, schema)).groupBy("later", "at").agg(F.sum("value").alias("value")).orderBy("at").toArrow()
+    part, values = (values.column(c).to_numpy(zero_copy_only=False) for c in ("later", "value"))
+    cut = GATES * PREDICTORS
+    first, later = (v[:-1] / v[-1] if len(v) and v[-1] > 0 else None for v in (values[~part], values[part]))
+    return tuple((None, None) if v is None else (v[:cut].reshape(-1, PREDICTORS), v[cut:].reshape(-1, STEPS)) for v in (first, later))
 
-    def adapt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, rows, steps, total = Mixer(), 0, 0, 0.0
-        for words, kinds, m in _groups(batches):
-            grams = Grams(words, kinds)
-            counts, n = Counts(grams, m, table), np.sqrt(m)[grams.word]
-            learnt = np.flatnonzero(n > 0)
-            learnt = learnt[np.argsort(mix(grams.prefix[learnt] + grams.word[learnt].astype(np.uint64)))]
-            for at in range(0, len(learnt), STEP):
-                part = learnt[at:at + STEP]
-                mixer.learn(counts.of(grams, part), grams.data[part], n[part])
-                steps += 1
-                total = total + steps * np.concatenate([mixer.weights.ravel(), mixer.refined.ravel()])
-            rows += len(learnt)
-        if steps:
-            values = total / (steps * (steps + 1) / 2) * rows
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(values) + 1)), pa.array(np.append(values, float(rows)))], names=["at", "value"])
-
-    mean = dealt.mapInArrow(adapt, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).orderBy("at").toArrow()
-    weights = refined = None
-    values = mean.column("value").to_numpy() if mean.num_rows else np.zeros(1)
-    if values[-1] > 0:
-        values = values / values[-1]
-        cut = GATES * PREDICTORS
-        weights, refined = values[:cut].reshape(-1, PREDICTORS), values[cut:-1].reshape(-1, STEPS)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer = Mixer(weights, refined)
-        for words, kinds, m in _groups(batches):
+
+def _word_scores(words: DataFrame, tasks: int, table: Paths, model: tuple) -> DataFrame:
+    """Per chunk, kind and number: score of the word's later bytes, its count, and its ends."""
+    schema = "chunk long, kind short, number int, score double, c long, head int, tail int"
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mixer = Mixer(*model[1])
+        for group in _groups(batches):
+            words, kinds, m, unit, c = _units(group)
             grams = Grams(words, kinds)
-            counts = Counts(grams, m, table)
-            found = np.concatenate([
-                mixer.log10(counts.of(grams, slice(at, at + ROWS)), grams.data[at:at + ROWS]) for at in range(0, len(grams.data), ROWS)])
+            found = _scored(mixer, Counts(grams, m, table), grams, np.flatnonzero(~grams.short))[unit]
+            heads, tails = (np.array([f(w) for w in words], np.int32)[unit] for f in (head_of, tail_of))
+            given = (group.column(k).combine_chunks() for k in ("chunk", "kind", "number"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kinds), pa.array(words, pa.binary()), pa.array(np.add.reduceat(found, grams.starts))], names=["kind", "word", "score"])
+                [*given, *map(pa.array, (found, c, heads, tails))], names=[f.split()[0] for f in schema.split(", ")])
+
+    return _dealt(words, tasks, "chunk", "number").mapInArrow(task, schema)
+
+
+def _text_scores(texts: DataFrame, known: DataFrame, table: Paths, model: tuple, cost: dict[int, float]) -> DataFrame:
+    """Sums over the words of every text, where the texts of a chunk and the scores of its words meet."""
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, bytes long"
 
-    return stored.keep(dealt.mapInArrow(score, "kind short, word binary, score double"), "word-scores")
+    def task(texts: pa.Table, found: pa.Table) -> pa.Table:
+        kind, number = (found.column(c).to_numpy() for c in ("kind", "number"))
+        score, (log, heads, tails) = np.zeros((KINDS + 1, number.max() + 1)), np.zeros((3, number.max() + 1))
+        score[kind, number] = found.column("score").to_numpy()
+        log[number] = np.log10(found.column("c").to_numpy() + 1.0)
+        heads, tails = heads.astype(np.int64), tails.astype(np.int64)
+        heads[number], tails[number] = (found.column(c).to_numpy() for c in ("head", "tail"))
+        planes = [np.frombuffer(b, np.uint8).reshape(4, -1) for b in texts.column("numbers").to_pylist()]
+        lengths, of_text = np.array([p.shape[1] for p in planes]), texts.column("kind").to_numpy().astype(np.int64)
+        ends = np.append(np.flatnonzero(np.diff(np.cumsum(lengths) // PIECE)) + 1, len(planes))
+        sums, seen = [], []
+        for low, high in zip(np.append(0, ends[:-1]), ends):
+            if low == high:
+                continue
+            starts = np.cumsum(lengths[low:high]) - lengths[low:high]
+            numbers = np.concatenate([np.ascontiguousarray(p.T).view("<u4").ravel() for p in planes[low:high]]).astype(np.int64)
+            kinds = np.repeat(of_text[low:high], lengths[low:high])
+            pairs, back = np.unique(_head_pairs(numbers, starts, kinds, heads, tails), return_inverse=True)
+            seen.append((pairs, back.astype(np.int32), starts))
+            logs = log[numbers]
+            sums.append([np.add.reduceat(x, starts) for x in ((logs > 0).astype(np.int64), logs, score[kinds, numbers])])
+        keys = np.unique(np.concatenate([_head_bytes(pairs)[1] for pairs, _, _ in seen]))
+        grams, rows = _head_grams(keys)
+        first = _scored(Mixer(*model[0]), Counts(grams, np.zeros(len(keys)), table), grams, rows)
+        begin = []
+        for pairs, back, starts in seen:
+            row, key = _head_bytes(pairs)
+            of_pair = np.bincount(row, first[np.searchsorted(keys, key)], len(pairs))
+            begin.append(np.add.reduceat(of_pair[back], starts))
+        n_known, logs, later = (np.concatenate(x) for x in zip(*sums))
+        total = later + np.concatenate(begin) + np.array([cost[k] for k in range(KINDS + 1)])[of_text]
+        return pa.table([
+            texts.column("doc_id"), texts.column("held_out"), pa.array(lengths, pa.int64()), pa.array(n_known), pa.array(logs),
+            pa.array(total), texts.column("bytes")], names=[c.split()[0] for c in schema.split(", ")])
+
+    return texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(task, schema)
 
 
 def scores(docs: DataFrame) -> DataFrame:
@@ -431,25 +629,24 @@ def scores(docs: DataFrame) -> DataFrame:
     stored = Stored(docs.sparkSession, "scoring")
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select(
         "doc_id", "text", is_held_out(FOLDS, FOLD).alias("held_out"))
-    counted = stored.keep(_word_counts(keyed), "words")
-    totals = counted.agg(F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types")).first()
-    tokens, types = totals["tokens"] or 0, totals["types"]
-    top = counted.where(F.col("word") != F.lit(_END)).orderBy(F.desc("c"), "word").limit(KINDS).collect()
-    frequent = {bytes(r.word): k for k, r in enumerate(top)}
-
-    chunks = stored.keep(_chunks(keyed, frequent), "chunks")
-    words = stored.keep(_chunk_words(chunks), "chunk-words")
-    units = stored.keep(words.groupBy("kind", "word").agg(F.sum("m").alias("m")), "units")
-    # The end sign counts the training texts of a kind.
-    shares = {r.kind: r.m for r in units.where(F.col("word") == F.lit(_END)).collect()}
+    seen = Observation()
+    counted = _word_counts(keyed).observe(seen, F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types"))
+    top = counted.orderBy(F.col("word") == F.lit(_END), F.desc("c"), "word").limit(KINDS).collect()
+    tokens, types = seen.get["tokens"] or 0, seen.get["types"] or 0
+    frequent = [bytes(r.word) for r in top if bytes(r.word) != _END]
+
+    parts = stored.keep(_cut(keyed, frequent), "cut")
+    texts = parts.where("is_text").select("chunk", "kind", "doc_id", "held_out", "bytes", "numbers")
+    words = parts.where("number is not null").select("chunk", "kind", "number", "word", "m")
+    heads = stored.keep(
+        parts.where("head_key is not null").groupBy("head_key").agg(F.sum("m").alias("m")), "heads")
+    shares = {r.kind: r.n for r in texts.where(~F.col("held_out")).groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
     whole = sum(shares.values())
     cost = {k: float(np.log10((shares.get(k, 0) + 1) / (whole + KINDS + 1))) for k in range(KINDS + 1)}
-    model = _model(stored, units)
-    known = stored.keep(model.join(counted.hint("merge"), "word", "left").select(
-        "kind", "word", "score", F.log10(F.coalesce("c", F.lit(0)) + 1.0).alias("log")), "known")
-    stored.drop(counted, units, model)
-    met = words.select("chunk", "kind", "word").distinct().join(known.hint("merge"), ["word", "kind"])
-    found = _text_scores(chunks, met.select("chunk", "kind", "word", "score", "log"), cost)
+    tasks = -(-words.count() // SHARE) or 1
+    table = _table(words, heads)
+    model = _adapted(words, heads, tasks, table)
+    found = _text_scores(texts, _word_scores(words, tasks, table, model), table, model, cost)
     return found.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("logs") - F.col("n_tokens") * float(np.log10(tokens + types + 1))).alias("base_score"), "score",

@@ -140,3 +140,54 @@ def test_kind_is_the_most_frequent_of_the_frequent_words():
     assert scoring.kind_of(Counter(b"a a a der".split()), frequent) == 1
     assert scoring.kind_of(Counter(b"der the".split()), frequent) == 0
     assert scoring.kind_of(Counter(), frequent) == scoring.KINDS
+
+
+def running_contexts(words: list[bytes], kind: int):
+    """As ``plain_contexts``, but last bytes are those of the text: the end of the word before stands ahead of the space."""
+    for before, word in zip([b"", *words], words):
+        body = word if word == b"\n" else word + b" "
+        ahead = bytes(8) + (b" " + before)[-3:] if before else bytes(8)
+        for (byte, own), at in zip(plain_contexts(word, kind), range(len(body))):
+            seen = ahead + b" " + body[:at]
+            yield byte, at >= scoring.HEAD, [("last", k, seen[-k:] if k else b"") for k in range(scoring.ORDER + 1)] + own[scoring.ORDER + 1:]
+
+
+def test_text_scores_equal_plain_counts_over_the_running_text(spark, monkeypatch):
+    """Every byte of a text counts and is judged with the bytes ahead of it, the word before included."""
+    rng, mixers = random.Random(5), (some_mixer(6), some_mixer(7))
+    monkeypatch.setattr(scoring, "PLACES", 31)
+    monkeypatch.setattr(scoring, "CHUNK", 500)
+    monkeypatch.setattr(scoring, "_adapted", lambda *args: tuple((m.weights, m.refined) for m in mixers))
+    few = ["a", "é", "ab", "abc", "abcd", "babab", "cé", "x" * 40]
+    docs = [(i, " ".join(rng.choice(few) for _ in range(rng.randint(0, 30)))) for i in range(40)] + [(50, "ab never"), (51, "never ab"), (52, None)]
+    rows = {r.doc_id: r for r in scoring.scores(table(spark, docs).repartition(3)).collect()}
+    held_out = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in docs}
+    cut = {i: [*(t or "").encode().split(), b"\n"] for i, t in docs}
+    total = Counter(w for i, words in cut.items() if not held_out[i] for w in words)
+    frequent = sorted((w for w in total if w != b"\n"), key=lambda w: (-total[w], w))[:scoring.KINDS]
+    kinds = {i: scoring.kind_of(Counter(words), {w: k for k, w in enumerate(frequent)}) for i, words in cut.items()}
+    seen = Counter()
+    for i, words in cut.items():
+        for byte, _, contexts in running_contexts(words, kinds[i]) if not held_out[i] else ():
+            seen.update((c, bits, byte >> 8 - bits) for c in contexts for bits in range(9))
+    shares = Counter(kinds[i] for i in cut if not held_out[i])
+    for i, words in cut.items():
+        score = math.log10((shares[kinds[i]] + 1) / (sum(shares.values()) + scoring.KINDS + 1))
+        for byte, later, contexts in running_contexts(words, kinds[i]):
+            mixer = mixers[later]
+            for bit in range(8):
+                y, x, depth, known = byte >> 7 - bit & 1, [], 0, 0
+                for k, context in enumerate(contexts):
+                    n0, n1 = (seen[context, bit + 1, byte >> 8 - bit << 1 | v] for v in (0, 1))
+                    x.append(math.log((n1 + scoring.PRIOR) / (n0 + scoring.PRIOR)))
+                    if n0 + n1:
+                        depth, known = k, n0 + n1
+                gate = depth * (len(scoring.LEVELS) + 1) + sum(known >= level for level in scoring.LEVELS)
+                z = max(-12.0, min(12.0, sum(w * v for w, v in zip(mixer.weights[gate], x))))
+                cell = min(scoring.STEPS - 1, max(0, round((z + 8) * (scoring.STEPS - 1) / 16)))
+                p = min(1 - 1e-6, max(1e-6, (1 / (1 + math.exp(-z)) + mixer.refined[gate, cell]) / 2))
+                score += math.log10(p if y else 1 - p)
+        assert rows[i].score == pytest.approx(score)
+        base = sum(math.log10((total[w] + 1) / (sum(total.values()) + len(total) + 1)) for w in words)
+        assert rows[i].base_score == pytest.approx(base) and rows[i].n_tokens == len(words)
+        assert rows[i].n_known == sum(total[w] > 0 for w in words)
