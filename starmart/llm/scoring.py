@@ -34,6 +34,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from starmart.llm.tables import Stored
@@ -48,8 +49,9 @@ LEVELS = np.array([2.0, 8.0, 64.0])
 ORDER, PLACES = 4, 20
 PREDICTORS, GATES = ORDER + 3, (ORDER + 3) * (len(LEVELS) + 1)
 #: Distinct words held before they are passed on, words that a task adapts to, words that are dealt with together, bytes
-#: of one step, bytes scored at a time, characters of a chunk, and words of texts looked at together.
-HELD, SHARE, GROUP, STEP, ROWS, CHUNK, PIECE = 200_000, 400_000, 20_000, 512, 200_000, 40_000_000, 1_000_000
+#: of one step, bytes looked up at a time (whole steps, few enough to stay near the processor), characters of a chunk, and
+#: words of texts looked at together.
+HELD, SHARE, GROUP, STEP, ROWS, CHUNK, PIECE = 200_000, 400_000, 20_000, 512, 32 * 512, 40_000_000, 1_000_000
 #: First bytes of a word that the words of all tasks know about; the contexts of last bytes of later ones lie in the word.
 HEAD = ORDER - 1
 FOLDS, FOLD = 7, 2
@@ -65,6 +67,21 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(np.append(np.uint64(1), np.full(n - 1, _BASE)))
 
 
+def last_keys(k: int, behind: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """The context of the last ``k`` of the bytes ``behind`` above the byte in the lowest 8 bits."""
+    last = behind & np.uint64((1 << 8 * k) - 1)
+    if k >= 3:
+        last = mix(last) >> np.uint64(64 - PLACES)
+    return np.uint64(k) << np.uint64(60) | last << np.uint64(8) | data
+
+
+def _new(keys: np.ndarray) -> np.ndarray:
+    """Which of sorted keys are the first of their kind."""
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    return new
+
+
 class Grams:
     """The bytes of words, each with the space behind it (the end sign has none), and the contexts that they stand in.
 
@@ -88,23 +105,23 @@ class Grams:
         # Of its first bytes the words of all tasks know: those contexts come from the table.
         self.short = self.place < HEAD
 
-    def behind(self, k: int, rows: np.ndarray | slice) -> np.ndarray:
-        """The last ``k`` bytes, with the space ahead of the word and what stands before that."""
+    def behind(self, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """The last ``ORDER`` bytes, with the space ahead of the word and what stands before that; the last one lowest."""
         at = np.arange(len(self.data))[rows] if isinstance(rows, slice) else rows
         place, out = self.place[at], np.zeros(len(at), np.uint64)
-        for j in range(1, k + 1):
+        for j in range(1, ORDER + 1):
             byte = np.where(place >= j, self.data[at - np.minimum(j, place)], np.where(place == j - 1, np.uint64(32), np.uint64(0)))
             if self.tail is not None and j > 1:
                 far = np.clip(j - 2 - place, 0, 7).astype(np.uint64)
                 byte = np.where(place < j - 1, self.tail[at] >> np.uint64(8) * far & np.uint64(255), byte)
             out |= byte << np.uint64(8 * (j - 1))
-        return out if k < 3 else mix(out) >> np.uint64(64 - PLACES)
+        return out
 
     def keys(self, k: int, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
         """The context of predictor ``k`` above the byte in the lowest 8 bits."""
-        low, data = np.uint64(8), self.data[rows]
+        data = self.data[rows]
         if k <= ORDER:
-            return np.uint64(k) << np.uint64(60) | self.behind(k, rows) << low | data
+            return last_keys(k, self.behind(rows), data)
         h = self.prefix[rows] + np.uint64(7)
         if k == ORDER + 2:
             h = h * _BASE + self.kind[rows] + np.uint64(1)
@@ -115,7 +132,11 @@ class Grams:
         h = mix(self.after[rows]) + self.kind[rows]
         if self.tail is not None:
             h = mix(h) + self.tail[rows]
-        _, first, back = np.unique(h, return_index=True, return_inverse=True)
+        order = np.argsort(h)
+        new = _new(h[order])
+        back = np.empty(len(h), np.int64)
+        back[order] = np.cumsum(new) - 1
+        first = np.minimum.reduceat(order, np.flatnonzero(new)) if len(h) else order
         return rows[first], back
 
 
@@ -127,8 +148,7 @@ class Paths:
     """How often the first 0 to 8 bits of each key's byte followed its context; the keys must be all of their contexts."""
 
     def __init__(self, keys: np.ndarray, n: np.ndarray):
-        self.keys, at = np.unique(keys, return_inverse=True)
-        total = np.bincount(at, n, len(self.keys)).astype(np.int64) if len(keys) else np.zeros(0, np.int64)
+        self.keys, total = _folded([keys], [n])
         self.sums = np.zeros((len(self.keys), 9), np.int32 if total.sum() < 2**31 else np.int64)
         for bits in range(9 if len(self.keys) else 0):
             node = self.keys >> np.uint64(8 - bits)
@@ -177,39 +197,60 @@ class Mixer:
         x, depth, known = np.empty((PREDICTORS, len(data)), kind), np.zeros(len(data), np.int64), np.zeros(len(data), kind)
         sign = (2 * y - 1).astype(kind)
         for k, path in enumerate(paths):
-            same, other = path[bit + 1].astype(kind), (path[bit] - path[bit + 1]).astype(kind)
+            all_of, same = path[bit], path[bit + 1].astype(kind)
+            other = (all_of - path[bit + 1]).astype(kind)
             if held_back:
                 same = np.maximum(same - kind(1), kind(0))
             x[k] = sign * np.log((same + kind(PRIOR)) / (other + kind(PRIOR)))
-            total = same + other
-            depth = np.where(total > 0, k, depth)
-            known = np.where(total > 0, total, known)
+            seen = (same + other if held_back else all_of) > 0
+            depth[seen] = k
+            np.copyto(known, same + other, where=seen)
         level = sum((known >= low).astype(np.int64) for low in LEVELS)
         return x.T, depth * (len(LEVELS) + 1) + level, y
 
     def mixed(self, x: np.ndarray, gate: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(probability before and after refinement, cell of the refinement)."""
-        z = np.clip((x * self.weights[gate]).sum(axis=1), -12, 12)
-        p = 1 / (1 + np.exp(-z))
-        cell = np.clip(np.rint((z + 8) * (STEPS - 1) / 16), 0, STEPS - 1).astype(np.int64)
-        return p, (p + self.refined[gate, cell]) / 2, cell
+        p, cell = self._before(x, gate)
+        return p, (p + self.refined.take(gate * STEPS + cell)) / 2, cell
+
+    def _before(self, x: np.ndarray, gate: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        z = np.einsum("ij,ij->i", x, self.weights.take(gate, axis=0))
+        np.minimum(np.maximum(z, -12, out=z), 12, out=z)
+        cell = np.rint((z + 8) * ((STEPS - 1) / 16))
+        np.minimum(np.maximum(cell, 0, out=cell), STEPS - 1, out=cell)
+        return 1 / (1 + np.exp(-z)), cell.astype(np.int64)
 
     def learn(self, paths: list[np.ndarray], data: np.ndarray, count: np.ndarray) -> None:
         """One online step over a small group of bytes: weights against the coding loss, cells towards their bits."""
+        for _ in self.steps(paths, data, count, max(1, len(data))):
+            pass
+
+    def steps(self, paths: list[np.ndarray], data: np.ndarray, count: np.ndarray, step: int) -> Iterator[None]:
+        """Online steps of ``step`` bytes each, one after the other; what they do not change is worked out for all at once."""
+        bits = []
         for bit in range(8):
             x, gate, y = self.inputs(paths, data, bit, True)
-            p, _, cell = self.mixed(x, gate)
-            total = np.bincount(gate, count, GATES)
-            for k in range(PREDICTORS):
-                slope = np.bincount(gate, count * (y - p) * x[:, k], GATES) / np.maximum(total, 1e-9)
-                self.steep[:, k] += slope * slope
-                self.weights[:, k] += RATE * slope / np.sqrt(self.steep[:, k] + 1e-8)
-            np.clip(self.weights, -1.0, 4.0, out=self.weights)
-            flat = gate * STEPS + cell
-            hits = np.bincount(flat, count, GATES * STEPS).reshape(GATES, STEPS)
-            ones = np.bincount(flat, count * y, GATES * STEPS).reshape(GATES, STEPS)
-            share = 1 - (1 - REFINE_RATE) ** np.minimum(hits, 64)
-            self.refined += share * (ones / np.maximum(hits, 1e-9) - self.refined) * (hits > 0)
+            bits.append((np.ascontiguousarray(x, np.float64), gate, y, gate[:, None] * PREDICTORS + np.arange(PREDICTORS)))
+        for low in range(0, len(data), step):
+            part = slice(low, low + step)
+            for inputs in bits:
+                self._step(count[part], *(v[part] for v in inputs))
+            yield
+
+    def _step(self, count: np.ndarray, x: np.ndarray, gate: np.ndarray, y: np.ndarray, of_weight: np.ndarray) -> None:
+        p, cell = self._before(x, gate)
+        x *= (count * (y - p))[:, None]
+        slope = np.bincount(of_weight.ravel(), x.ravel(), GATES * PREDICTORS).reshape(GATES, PREDICTORS)
+        slope /= np.maximum(np.bincount(gate, count, GATES), 1e-9)[:, None]
+        self.steep += slope * slope
+        self.weights += RATE * slope / np.sqrt(self.steep + 1e-8)
+        np.minimum(np.maximum(self.weights, -1.0, out=self.weights), 4.0, out=self.weights)
+        flat = gate * STEPS + cell
+        hits, ones = np.bincount(flat, count, GATES * STEPS), np.bincount(flat, count * y, GATES * STEPS)
+        hit = np.flatnonzero(hits)
+        hits, refined = hits[hit], self.refined.reshape(-1)
+        before = refined[hit]
+        refined[hit] = before + (1 - (1 - REFINE_RATE) ** np.minimum(hits, 64)) * (ones[hit] / np.maximum(hits, 1e-9) - before)
 
     def log10(self, paths: list[np.ndarray], data: np.ndarray) -> np.ndarray:
         """log10 probability of every byte."""
@@ -233,7 +274,8 @@ class Counts:
     def of(self, grams: Grams, rows: np.ndarray | slice) -> list[np.ndarray]:
         """Per predictor the counts (bits, byte) of the chosen bytes."""
         short = grams.short[rows]
-        out = [self.table.of(grams.keys(k, rows)) for k in range(ORDER + 1)]
+        behind, data = grams.behind(rows), grams.data[rows]
+        out = [self.table.of(last_keys(k, behind, data)) for k in range(ORDER + 1)]
         for k, deep in enumerate(self.deep, ORDER + 1):
             keys = grams.keys(k, rows)
             found = np.empty((9, len(keys)), np.int64)
@@ -283,15 +325,20 @@ class Numbers(dict):
         return value
 
 
-def head_of(word: bytes) -> int:
-    """The first bytes of a word with its space, their number above them."""
-    body = (word if word == _END else word + b" ")[:HEAD]
-    return len(body) << 8 * HEAD | int.from_bytes(body, "big")
-
-
-def tail_of(word: bytes) -> int:
-    """The last bytes of a word, with the space ahead of it."""
-    return int.from_bytes((b" " + word)[-HEAD:], "big")
+def ends_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The first bytes of words with their space, their number above them, and the last ones with the space ahead of a word."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    data = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.int64)
+    start = np.cumsum(sizes + 1) - sizes
+    size = np.minimum(sizes + 1, HEAD)
+    # The end sign has no space behind it.
+    first = np.where((sizes == 1) & (data[start] == _END[0]), 1, size)
+    heads, tails = first.copy(), np.zeros(len(words), np.int64)
+    for place in range(HEAD):
+        heads = np.where(first > place, heads << 8 | data[np.minimum(start + place, len(data) - 1)], heads)
+        far = HEAD - 1 - place
+        tails = np.where(size > far, tails << 8 | data[np.maximum(start + sizes - 1 - far, 0)], tails)
+    return heads + (first << 8 * HEAD) - (first << 8 * first), tails
 
 
 def _head_pairs(numbers: np.ndarray, starts: np.ndarray, kinds: np.ndarray, heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
@@ -327,8 +374,13 @@ def _head_grams(keys: np.ndarray) -> tuple[Grams, np.ndarray]:
 
 def _folded(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Keys, each once, and the sums of their numbers."""
-    found, back = np.unique(np.concatenate(keys), return_inverse=True)
-    return found, np.bincount(back, np.concatenate(n), len(found)).astype(np.int64)
+    keys, n = np.concatenate(keys), np.concatenate(n).astype(np.int64)
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys)
+    keys = keys[order]
+    start = np.flatnonzero(_new(keys))
+    return keys[start], np.add.reduceat(n[order], start)
 
 
 _CUT = ("chunk long, kind short, number int, word binary, m long, head_key long, is_text boolean, doc_id long, held_out boolean, "
@@ -361,19 +413,18 @@ def _cut(keyed: DataFrame, frequent: list[bytes]) -> DataFrame:
             return Numbers([(frequent[k] if k < len(frequent) else b" %d" % k, k) for k in range(KINDS)] + [(_END, KINDS)])
 
         chunk, size, index, held, done = TaskContext.get().partitionId() << 32, 0, fresh(), [], ([], [], [], [])
-        heads, tails, waiting = [], [], 0
+        heads, tails, waiting = np.empty(0, np.int64), np.empty(0, np.int64), 0
 
         def fold() -> None:
+            nonlocal heads, tails
             lengths = np.array([len(h[2]) for h in held])
             numbers = np.concatenate([h[2] for h in held])
             kinds = np.repeat(np.array([h[0] for h in held], np.int64), lengths)
             trained = np.repeat(np.array([h[1] for h in held]), lengths)
             held.clear()
-            for word in islice(index, len(heads), None):
-                heads.append(head_of(word))
-                tails.append(tail_of(word))
+            heads, tails = (np.append(old, new) for old, new in zip((heads, tails), ends_of(list(islice(index, len(heads), None)))))
             found, n = _folded([kinds << 32 | numbers], [trained])
-            pairs = _head_pairs(numbers, np.cumsum(lengths) - lengths, kinds, np.array(heads), np.array(tails))
+            pairs = _head_pairs(numbers, np.cumsum(lengths) - lengths, kinds, heads, tails)
             pairs, m = np.unique(pairs[trained], return_counts=True)
             row, keys = _head_bytes(pairs)
             for part, new in zip(done, (found, n, *_folded([keys], [m[row]]))):
@@ -390,7 +441,7 @@ def _cut(keyed: DataFrame, frequent: list[bytes]) -> DataFrame:
             keys, m = _folded(*done[2:])
             if len(keys):
                 yield _cut_rows(len(keys), chunk=np.full(len(keys), chunk), head_key=keys, m=m, is_text=np.zeros(len(keys), bool))
-            for part in (heads, tails, *done):
+            for part in done:
                 part.clear()
 
         for batch in batches:
@@ -415,6 +466,7 @@ def _cut(keyed: DataFrame, frequent: list[bytes]) -> DataFrame:
                 if size > CHUNK:
                     yield from out()
                     chunk, size, index, waiting = chunk + 1, 0, fresh(), 0
+                    heads, tails = heads[:0], tails[:0]
             n = batch.num_rows
             yield _cut_rows(n, chunk=chunks, kind=of_kind, is_text=np.ones(n, bool), doc_id=batch.column("doc_id"),
                             held_out=batch.column("held_out"), bytes=sizes, numbers=blobs)
@@ -429,9 +481,14 @@ def _table(words: DataFrame, heads: DataFrame) -> Paths:
     schema = "slot long, n long"
 
     def folded(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        found, total = np.empty(0, np.uint64), np.empty(0, np.int64)
+        found, total, held = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
         for keys, n in parts:
-            found, total = _folded([found, keys], [total, n])
+            found.append(keys)
+            total.append(n)
+            held += len(keys)
+            if held > max(HELD, len(found[0])):
+                (found, total), held = ([x] for x in _folded(found, total)), 0
+        found, total = _folded(found, total)
         if len(found):
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(total)], names=["slot", "n"])
 
@@ -440,20 +497,27 @@ def _table(words: DataFrame, heads: DataFrame) -> Paths:
             for at in range(0, batch.num_rows, GROUP):
                 yield batch.slice(at, GROUP)
 
+    def lasts(grams: Grams, rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Contexts of last bytes of all orders, from the longest ones with their byte, each once."""
+        longest, n = _folded([grams.behind(rows) << np.uint64(8) | grams.data[rows]], [n])
+        behind, data = longest >> np.uint64(8), longest & np.uint64(255)
+        return _folded([last_keys(k, behind, data) for k in range(ORDER + 1)], [n] * (ORDER + 1))
+
     def of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parts():
             for part in slices(batches):
                 grams = Grams(part.column("word").to_pylist(), part.column("kind").to_numpy())
                 n, short, rest = part.column("m").to_numpy()[grams.word], np.flatnonzero(grams.short), np.flatnonzero(~grams.short)
-                keys = [*(grams.keys(k, rest) for k in range(ORDER + 1)), *(grams.keys(k, short) for k in range(ORDER + 1, PREDICTORS))]
-                yield np.concatenate(keys), np.concatenate([*[n[rest]] * (ORDER + 1), *[n[short]] * 2])
+                keys = [grams.keys(k, short) for k in range(ORDER + 1, PREDICTORS)]
+                yield lasts(grams, rest, n[rest])
+                yield _folded(keys, [n[short]] * len(keys))
         return folded(parts())
 
     def of_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parts():
             for part in slices(batches):
                 grams, rows = _head_grams(part.column("head_key").to_numpy())
-                yield np.concatenate([grams.keys(k, rows) for k in range(ORDER + 1)]), np.concatenate([part.column("m").to_numpy()] * (ORDER + 1))
+                yield lasts(grams, rows, part.column("m").to_numpy())
         return folded(parts())
 
     slots = words.where("m > 0").select("kind", "word", "m").mapInArrow(of_words, schema).unionByName(
@@ -463,16 +527,16 @@ def _table(words: DataFrame, heads: DataFrame) -> Paths:
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows of whole first bytes, from rows that come sorted by ``first``; ``GROUP`` or more at a time."""
+    """Rows of whole first bytes, from rows that come sorted by word; ``GROUP`` or more at a time."""
     held: list[pa.RecordBatch] = []
     rows = 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        first = batch.column("first").to_numpy()
         if rows >= GROUP:
-            last = held[-1].column("first")[-1].as_py()
-            edge = int(np.searchsorted(first, last, side="right"))
+            last = held[-1].column("word")[-1].as_py()[:HEAD]
+            edge = pc.index(pc.equal(pc.binary_slice(batch.column("word"), 0, HEAD), pa.scalar(last, pa.binary())), False).as_py()
+            edge = batch.num_rows if edge < 0 else edge
             if edge:
                 held.append(batch.slice(0, edge))
             batch = batch.slice(edge)
@@ -488,12 +552,12 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 def _units(table: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(words, kinds, m) of words of a kind, and (its unit, the count of its word) of every row; rows come sorted."""
-    words, kinds, m = table.column("word").to_pylist(), table.column("kind").to_numpy(), table.column("m").to_numpy()
-    new = np.fromiter((a != b for a, b in zip(words, [None, *words])), bool, len(words))
-    unit = new | np.append(True, kinds[1:] != kinds[:-1])
+    words, kinds, m = table.column("word").combine_chunks(), table.column("kind").to_numpy(), table.column("m").to_numpy()
+    new = np.append(True, pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False))
+    unit = new | _new(kinds)
     starts, number = np.flatnonzero(unit), np.cumsum(new) - 1
     counts = np.bincount(number, m).astype(np.int64)[number]
-    return [words[k] for k in starts], kinds[starts], np.add.reduceat(m, starts), np.cumsum(unit) - 1, counts
+    return words.take(pa.array(starts)).to_pylist(), kinds[starts], np.add.reduceat(m, starts), np.cumsum(unit) - 1, counts
 
 
 def _by_piece(counts: Counts, grams: Grams, at: np.ndarray) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
@@ -511,9 +575,8 @@ def _scored(mixer: Mixer, counts: Counts, grams: Grams, rows: np.ndarray) -> np.
 
 def _dealt(words: DataFrame, tasks: int, *columns: str) -> DataFrame:
     """Words dealt and sorted by their first bytes."""
-    first = F.conv(F.hex(F.substring("word", 1, HEAD)), 16, 10).cast("int")
-    dealt = words.withColumn("first", F.coalesce(first, F.lit(0))).select("first", "kind", "word", "m", *columns)
-    return dealt.repartition(tasks, "first").sortWithinPartitions("first", "word", "kind")
+    dealt = words.select("kind", "word", "m", *columns)
+    return dealt.repartition(tasks, F.substring("word", 1, HEAD)).sortWithinPartitions("word", "kind")
 
 
 def _adapted(words: DataFrame, heads: DataFrame, tasks: int, table: Paths) -> tuple[tuple, tuple]:
@@ -525,9 +588,7 @@ def _adapted(words: DataFrame, heads: DataFrame, tasks: int, table: Paths) -> tu
         order = np.argsort(mix(grams.after[at] + at.astype(np.uint64)))
         at, n, done = at[order], n[order], 0
         for piece, paths in _by_piece(counts, grams, at):
-            for low in range(0, len(piece), STEP):
-                part = slice(low, low + STEP)
-                mixer.learn([p[:, part] for p in paths], grams.data[piece[part]], n[done:done + len(piece)][part])
+            for _ in mixer.steps(paths, grams.data[piece], n[done:done + len(piece)], STEP):
                 sofar[0] += 1
                 sofar[1] = sofar[1] + sofar[0] * np.concatenate([mixer.weights.ravel(), mixer.refined.ravel()])
             done += len(piece)
@@ -564,22 +625,47 @@ def _adapted(words: DataFrame, heads: DataFrame, tasks: int, table: Paths) -> tu
     return tuple((None, None) if v is None else (v[:cut].reshape(-1, PREDICTORS), v[cut:].reshape(-1, STEPS)) for v in (first, later))
 
 
+#: What a chunk gets of each of its words of a kind.
+_SCORED = np.dtype([("number", "<i4"), ("kind", "u1"), ("c", "<i8"), ("head", "<i4"), ("tail", "<i4"), ("score", "<f8")])
+
+
+def _packed(rows: np.ndarray) -> bytes:
+    """Rows as bytes, those of one place together, which compress better."""
+    return rows.view(np.uint8).reshape(len(rows), -1).T.tobytes()
+
+
+def _unpacked(blob: pa.Buffer) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(_SCORED.itemsize, -1).T).view(_SCORED).ravel()
+
+
 def _word_scores(words: DataFrame, tasks: int, table: Paths, model: tuple) -> DataFrame:
-    """Per chunk, kind and number: score of the word's later bytes, its count, and its ends."""
-    schema = "chunk long, kind short, number int, score double, c long, head int, tail int"
+    """Per chunk, for many of its words of a kind at a time: score of the word's later bytes, its count, and its ends."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer = Mixer(*model[1])
+        mixer, held = Mixer(*model[1]), []
+
+        def out() -> pa.RecordBatch:
+            chunk, rows = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            order = np.argsort(chunk, kind="stable")
+            chunk, rows = chunk[order], rows[order]
+            start = np.flatnonzero(_new(chunk))
+            packed = [_packed(rows[low:high]) for low, high in zip(start, [*start[1:], len(rows)])]
+            return pa.RecordBatch.from_arrays([pa.array(chunk[start]), pa.array(packed, pa.binary())], names=["chunk", "rows"])
+
         for group in _groups(batches):
             words, kinds, m, unit, c = _units(group)
-            grams = Grams(words, kinds)
-            found = _scored(mixer, Counts(grams, m, table), grams, np.flatnonzero(~grams.short))[unit]
-            heads, tails = (np.array([f(w) for w in words], np.int32)[unit] for f in (head_of, tail_of))
-            given = (group.column(k).combine_chunks() for k in ("chunk", "kind", "number"))
-            yield pa.RecordBatch.from_arrays(
-                [*given, *map(pa.array, (found, c, heads, tails))], names=[f.split()[0] for f in schema.split(", ")])
+            grams, rows = Grams(words, kinds), np.empty(group.num_rows, _SCORED)
+            rows["score"] = _scored(mixer, Counts(grams, m, table), grams, np.flatnonzero(~grams.short))[unit]
+            rows["head"], rows["tail"] = (ends[unit] for ends in ends_of(words))
+            rows["number"], rows["kind"], rows["c"] = group.column("number").to_numpy(), group.column("kind").to_numpy(), c
+            held.append((group.column("chunk").to_numpy(), rows))
+            if sum(len(x) for _, x in held) >= HELD:
+                yield out()
+        if held:
+            yield out()
 
-    return _dealt(words, tasks, "chunk", "number").mapInArrow(task, schema)
+    return _dealt(words, tasks, "chunk", "number").mapInArrow(task, "chunk long, rows binary")
 
 
 def _text_scores(texts: DataFrame, known: DataFrame, table: Paths, model: tuple, cost: dict[int, float]) -> DataFrame:
@@ -587,13 +673,15 @@ def _text_scores(texts: DataFrame, known: DataFrame, table: Paths, model: tuple,
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, bytes long"
 
     def task(texts: pa.Table, found: pa.Table) -> pa.Table:
-        kind, number = (found.column(c).to_numpy() for c in ("kind", "number"))
-        score, (log, heads, tails) = np.zeros((KINDS + 1, number.max() + 1)), np.zeros((3, number.max() + 1))
-        score[kind, number] = found.column("score").to_numpy()
-        log[number] = np.log10(found.column("c").to_numpy() + 1.0)
-        heads, tails = heads.astype(np.int64), tails.astype(np.int64)
-        heads[number], tails[number] = (found.column(c).to_numpy() for c in ("head", "tail"))
-        planes = [np.frombuffer(b, np.uint8).reshape(4, -1) for b in texts.column("numbers").to_pylist()]
+        found = [_unpacked(b.as_buffer()) for b in found.column("rows")]
+        size = max(f["number"].max() for f in found) + 1
+        score, log, (heads, tails) = np.zeros((KINDS + 1, size)), np.zeros(size), np.zeros((2, size), np.int64)
+        for f in found:
+            number = f["number"]
+            score[f["kind"], number], heads[number], tails[number] = f["score"], f["head"], f["tail"]
+            log[number] = np.log10(f["c"] + 1.0)
+        del found
+        planes = [np.frombuffer(b.as_buffer(), np.uint8).reshape(4, -1) for b in texts.column("numbers")]
         lengths, of_text = np.array([p.shape[1] for p in planes]), texts.column("kind").to_numpy().astype(np.int64)
         ends = np.append(np.flatnonzero(np.diff(np.cumsum(lengths) // PIECE)) + 1, len(planes))
         sums, seen = [], []

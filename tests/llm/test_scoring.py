@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,3 +192,32 @@ def test_text_scores_equal_plain_counts_over_the_running_text(spark, monkeypatch
         base = sum(math.log10((total[w] + 1) / (sum(total.values()) + len(total) + 1)) for w in words)
         assert rows[i].base_score == pytest.approx(base) and rows[i].n_tokens == len(words)
         assert rows[i].n_known == sum(total[w] > 0 for w in words)
+
+
+def test_steps_prepared_together_equal_steps_one_by_one():
+    rng, together, single = np.random.default_rng(8), some_mixer(9), some_mixer(9)
+    paths = [np.sort(rng.integers(0, 50, (9, 300)), axis=0)[::-1] for _ in range(scoring.PREDICTORS)]
+    data, count = rng.integers(0, 256, 300).astype(np.uint64), rng.integers(1, 9, 300).astype(float)
+    assert sum(1 for _ in together.steps(paths, data, count, 64)) == 5
+    for low in range(0, 300, 64):
+        single.learn([p[:, low:low + 64] for p in paths], data[low:low + 64], count[low:low + 64])
+    assert together.weights == pytest.approx(single.weights) and together.refined == pytest.approx(single.refined)
+
+
+def test_ends_of_words():
+    heads, tails = scoring.ends_of([b"\n", b"a", b"ab", b"abcd", b"\x00"])
+    first = [b"\n", b"a ", b"ab ", b"abc", b"\x00 "]
+    assert heads.tolist() == [len(f) << 24 | int.from_bytes(f, "big") for f in first]
+    assert tails.tolist() == [int.from_bytes(x, "big") for x in (b" \n", b" a", b" ab", b"bcd", b" \x00")]
+
+
+def test_scores_of_words_come_packed_by_chunk(spark):
+    """A row holds all words that a task has for a chunk, not one; every word of a kind comes once, whatever its bytes are."""
+    words = [(c, k, n, f"{'éab'[n % 3]}{n}".encode(), 1) for c in (0, 7 << 32) for k in (1, 16) for n in range(300)]
+    frame = spark.createDataFrame(words, "chunk long, kind short, number int, word binary, m long").repartition(5)
+    rows = scoring._word_scores(frame, 2, scoring.Paths(np.empty(0, np.uint64), np.empty(0)), ((None, None),) * 2).collect()
+    assert len(rows) <= 4
+    found = [(r.chunk, x) for r in rows for x in scoring._unpacked(pa.py_buffer(r.rows))]
+    assert sorted((c, x["kind"], x["number"]) for c, x in found) == sorted(w[:3] for w in words)
+    heads, tails = scoring.ends_of([w[3] for w in words[:300]])
+    assert all(x["c"] == 4 and x["head"] == heads[x["number"]] and x["tail"] == tails[x["number"]] for _, x in found)
