@@ -8,7 +8,7 @@ from helpers import frame, rows, texts
 from pyspark.sql import functions as F
 
 from starmart import tables as t
-from starmart.operators import positions, routes
+from starmart.operators import positions, ranking, routes
 from starmart.operators.payments import payments_from_trips
 from starmart.operators.ranking import ranked_within
 
@@ -42,6 +42,16 @@ def test_hot_group_is_spread_over_slices(spark, bridge):
     assert largest < bridge.count() / 4
 
 
+def test_tasks_that_number_rows_grow_with_the_rows(bridge, expected, monkeypatch):
+    """Tasks hold about as many rows as asked for, however few bytes these take when compressed."""
+    monkeypatch.setattr(ranking, "TASK_ROWS", 100)
+    got = ranked_within(bridge, "route_id", "stop_id", "n", 20).withColumn("p", F.spark_partition_id())
+    sizes = got.groupBy("p").count().collect()
+    assert len(sizes) > 15 and max(r["count"] for r in sizes) < 500
+    assert rows(got.drop("p")) == sorted(
+        ((r, s, i) for r, found in expected.items() for i, s in enumerate(found, 1)), key=repr)
+
+
 @pytest.mark.parametrize("chunk", [2, 100, 900, 10_000])
 def test_pattern_hash_matches_python_for_any_chunk(spark, bridge, expected, chunk):
     got = dict(rows(routes.pattern_hash(routes.stop_sequence(bridge, 8), chunk)))
