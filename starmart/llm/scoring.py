@@ -30,15 +30,14 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from starmart.llm.tables import Stored
-from starmart.llm.text import is_held_out, lower_words, mix
+from starmart.llm.text import is_held_out, mix
 
 #: Frequent words that name the kinds of texts; a text without any of them has the kind ``KINDS``.
 KINDS = 16
@@ -48,7 +47,9 @@ LEVELS = np.array([2.0, 8.0, 64.0])
 #: Longest context of last bytes; contexts of more than two bytes are hashed to that many bits.
 ORDER, PLACES = 4, 20
 PREDICTORS, GATES = ORDER + 3, (ORDER + 3) * (len(LEVELS) + 1)
-#: Distinct words held before they are passed on, words that a task adapts to, words that are dealt with together, bytes
+#: Words of a piece of texts that the search for the most frequent ones counts.
+MOST = 20_000
+#: Scored words held before they are passed on, words that a task adapts to, words that are dealt with together, bytes
 #: of one step, bytes looked up at a time (whole steps, few enough to stay near the processor), characters of a chunk, and
 #: words of texts looked at together.
 HELD, SHARE, GROUP, STEP, ROWS, CHUNK, PIECE = 200_000, 400_000, 20_000, 512, 32 * 512, 40_000_000, 1_000_000
@@ -294,35 +295,65 @@ def kind_of(counts: Counter, frequent: dict[bytes, int]) -> int:
     return best
 
 
-def _word_counts(keyed: DataFrame) -> DataFrame:
-    """(word, c) over the training texts, folded in the tasks."""
+def cut_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The lower-cased words of all texts, one after the other, and their number in every text; none in a null text."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = cut.flatten().cast(pa.binary())
+    kept = pc.greater(pc.binary_length(words), 0)  # the split leaves empty words at both ends of a text
+    ends = np.append(0, np.cumsum(kept.to_numpy(zero_copy_only=False)))[np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(cut), 0)))]
+    return words.filter(kept), np.diff(ends)
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """Rows that follow each other, of about ``PIECE`` words in all, and the number of their letters."""
+    sizes = np.cumsum(pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    low = 0
+    while low < batch.num_rows:
+        before = sizes[low - 1] if low else 0
+        high = min(int(np.searchsorted(sizes, before + min(6 * PIECE, CHUNK))) + 1, batch.num_rows)
+        yield batch.slice(low, high - low), int(sizes[high - 1] - before)
+        low = high
 
-        for batch in batches:
-            for text in batch.column("text"):
-                held.update(lower_words(text.as_py()))
-                held[_END] += 1
-                if len(held) >= HELD:
-                    yield out()
-                    held.clear()
-        if held:
-            yield out()
-
-    return keyed.where(~F.col("held_out")).select("text").mapInArrow(task, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
+def _word_counts(keyed: DataFrame, most: int | None = None) -> DataFrame:
+    """(word, c, cut) over the training texts; a null word has the number of all tokens.
 
-class Numbers(dict):
-    """Numbers of words in the order of their coming."""
+    With ``most``, only so many words of a piece of texts are counted, the frequent ones; ``cut`` sums over the pieces how
+    often a word may occur in them and not be counted (null word: in all pieces, others: in those that count the word).
+    """
 
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = len(self)
-        return value
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, _ in _pieces(batch):
+                words, lengths = cut_words(part.column("text"))
+                words, n = pc.value_counts(words).flatten()
+                counts, limit = n.to_numpy(), 0
+                if most is not None and len(n) > most:
+                    order = np.argsort(-counts)
+                    limit, order = counts[order[most]], pa.array(order[:most])
+                    words, n = words.take(order), n.take(order)
+                rows = len(n) + 1
+                yield pa.RecordBatch.from_arrays([
+                    pa.concat_arrays([pa.nulls(1, pa.binary()), words]), pa.concat_arrays([pa.array([int(lengths.sum()) + len(lengths)]), n]),
+                    pa.array(np.full(rows, limit, np.int64))], names=["word", "n", "cut"])
+
+    counted = keyed.where(~F.col("held_out")).select("text").mapInArrow(task, "word binary, n long, cut long")
+    return counted.groupBy("word").agg(F.sum("n").alias("c"), F.sum("cut").alias("cut"))
+
+
+def _frequent(keyed: DataFrame) -> tuple[list[bytes], int]:
+    """The most frequent words of the training texts, ties in the order of bytes, and the number of all tokens.
+
+    The frequent words of pieces tell, unless a word that some piece did not count may be among them: then all are counted.
+    """
+    for most in (MOST, None):
+        first = (F.col("word").isNotNull(), F.desc(F.col("c") - F.col("cut")), "cut", "word")
+        top = _word_counts(keyed, most).orderBy(*first).limit(KINDS + 1).collect()
+        whole = next((r for r in top if r.word is None), None)
+        words = [r for r in top if r.word is not None]
+        if whole is None or all(r.cut == whole.cut for r in words):
+            return [bytes(r.word) for r in words], whole.c if whole else 0
+    raise AssertionError("all words were counted")
 
 
 def ends_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -341,6 +372,19 @@ def ends_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return heads + (first << 8 * HEAD) - (first << 8 * first), tails
 
 
+def windows_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """For the bytes of words behind their first ones, the space behind the word included: its word, the last bytes and it."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    data = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.uint64)
+    start, rest = np.cumsum(sizes + 1) - sizes, np.maximum(sizes + 1 - HEAD, 0)
+    row = np.repeat(np.arange(len(words)), rest)
+    at = np.arange(len(row)) + (start + HEAD - np.cumsum(rest) + rest)[row]
+    windows = np.zeros(max(0, len(data) - ORDER), np.uint64)
+    for place in range(ORDER + 1):
+        windows = windows << np.uint64(8) | data[place:place + len(windows)]
+    return row, windows[at - ORDER]
+
+
 def _head_pairs(numbers: np.ndarray, starts: np.ndarray, kinds: np.ndarray, heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
     """For each word of texts one after the other: kind, end of the word before, first bytes; ``kinds`` has one per word."""
     before = np.zeros(len(numbers), np.int64)
@@ -405,73 +449,60 @@ def _cut(keyed: DataFrame, frequent: list[bytes]) -> DataFrame:
     end of another word have ``head_key`` and ``m``, in training rows only.
     """
 
+    # The frequent words have the numbers of their kinds; numbers of kinds that no word has stay free.
+    fixed = pa.array([frequent[k] if k < len(frequent) else b" %d" % k for k in range(KINDS)] + [_END], pa.binary())
+
+    def rows(chunk: int, texts: list[pa.Table], cut: list[tuple[pa.Array, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        numbers = pa.chunked_array([fixed, *(words for words, _ in cut)]).dictionary_encode().chunks
+        words, numbers = numbers[-1].dictionary, [n.indices.to_numpy() for n in numbers[1:]]
+        heads, tails = ends_of(words.to_numpy(zero_copy_only=False).tolist())
+        texts, done, low = pa.concat_tables(texts), ([], [], [], []), 0
+        width = pc.binary_length(words).to_numpy().astype(np.int64) + 1
+        for number, (_, lengths) in zip(numbers, cut):
+            part, low = texts.slice(low, len(lengths)), low + len(lengths)
+            held_out = part.column("held_out").to_numpy()
+            text = np.repeat(np.arange(len(lengths)), lengths)
+            often = np.flatnonzero(number < KINDS)
+            often = np.bincount(text[often] * KINDS + number[often], minlength=len(lengths) * KINDS).reshape(-1, KINDS)
+            kinds = np.where(often.any(axis=1), often.argmax(axis=1), KINDS)
+            # Every text has its end sign behind its words.
+            ends = np.cumsum(lengths)
+            number = np.insert(number.astype(np.int64), ends, KINDS)
+            ends += np.arange(1, len(ends) + 1)
+            starts, of_word, trained = ends - lengths - 1, kinds.repeat(lengths + 1), (~held_out).repeat(lengths + 1)
+            found, m = _folded([of_word << 32 | number], [trained])
+            pairs = np.sort(_head_pairs(number, starts, of_word, heads, tails)[trained])
+            start = np.flatnonzero(_new(pairs)) if len(pairs) else np.empty(0, np.int64)
+            row, keys = _head_bytes(pairs[start])
+            for parts, new in zip(done, (found, m, *_folded([keys], [np.diff(start, append=len(pairs))[row]]))):
+                parts.append(new)
+            blobs = [np.ascontiguousarray(n.view(np.uint8).reshape(-1, 4).T).tobytes() for n in np.split(number.astype("<u4"), ends[:-1])]
+            yield _cut_rows(
+                len(lengths), chunk=np.full(len(lengths), chunk), kind=kinds, is_text=np.ones(len(lengths), bool),
+                doc_id=part.column("doc_id").combine_chunks(), held_out=part.column("held_out").combine_chunks(),
+                bytes=np.add.reduceat(width[number], starts) - 1, numbers=blobs)
+        found, m = _folded(*done[:2])
+        number = found & 0xFFFFFFFF
+        yield _cut_rows(len(found), chunk=np.full(len(found), chunk), kind=found >> 32, number=number, is_text=np.zeros(len(found), bool),
+                        word=words.take(pa.array(number)), m=m)
+        keys, m = _folded(*done[2:])
+        if len(keys):
+            yield _cut_rows(len(keys), chunk=np.full(len(keys), chunk), head_key=keys, m=m, is_text=np.zeros(len(keys), bool))
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        def fresh() -> Numbers:
-            # The frequent words have the numbers of their kinds; numbers of kinds that no word has stay free.
-            return Numbers([(frequent[k] if k < len(frequent) else b" %d" % k, k) for k in range(KINDS)] + [(_END, KINDS)])
-
-        chunk, size, index, held, done = TaskContext.get().partitionId() << 32, 0, fresh(), [], ([], [], [], [])
-        heads, tails, waiting = np.empty(0, np.int64), np.empty(0, np.int64), 0
-
-        def fold() -> None:
-            nonlocal heads, tails
-            lengths = np.array([len(h[2]) for h in held])
-            numbers = np.concatenate([h[2] for h in held])
-            kinds = np.repeat(np.array([h[0] for h in held], np.int64), lengths)
-            trained = np.repeat(np.array([h[1] for h in held]), lengths)
-            held.clear()
-            heads, tails = (np.append(old, new) for old, new in zip((heads, tails), ends_of(list(islice(index, len(heads), None)))))
-            found, n = _folded([kinds << 32 | numbers], [trained])
-            pairs = _head_pairs(numbers, np.cumsum(lengths) - lengths, kinds, heads, tails)
-            pairs, m = np.unique(pairs[trained], return_counts=True)
-            row, keys = _head_bytes(pairs)
-            for part, new in zip(done, (found, n, *_folded([keys], [m[row]]))):
-                part.append(new)
-
-        def out() -> Iterator[pa.RecordBatch]:
-            if held:
-                fold()
-            words = list(index)
-            found, m = _folded(*done[:2])
-            number = found & 0xFFFFFFFF
-            yield _cut_rows(len(found), chunk=np.full(len(found), chunk), kind=found >> 32, number=number, is_text=np.zeros(len(found), bool),
-                            word=[words[k] for k in number.tolist()], m=m)
-            keys, m = _folded(*done[2:])
-            if len(keys):
-                yield _cut_rows(len(keys), chunk=np.full(len(keys), chunk), head_key=keys, m=m, is_text=np.zeros(len(keys), bool))
-            for part in done:
-                part.clear()
-
+        chunk, size, texts, cut = TaskContext.get().partitionId() << 32, 0, [], []
         for batch in batches:
-            chunks, of_kind, sizes, blobs = [], [], [], []
-            for held_out, text in zip(batch.column("held_out").to_pylist(), batch.column("text")):
-                value = text.as_py()
-                words = lower_words(value)
-                numbers = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-                often = np.bincount(numbers[numbers < KINDS], minlength=KINDS)
-                kind = int(often.argmax()) if often.any() else KINDS
-                numbers = np.append(numbers, KINDS)
-                held.append((kind, not held_out, numbers))
-                chunks.append(chunk)
-                of_kind.append(kind)
-                sizes.append(sum(map(len, words)) + len(words) + 1)
-                blobs.append(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
-                size += len(value or "")
-                waiting += len(numbers)
-                if waiting > PIECE:
-                    fold()
-                    waiting = 0
+            for part, n in _pieces(batch):
+                texts.append(pa.Table.from_batches([part.select(["doc_id", "held_out"])]))
+                cut.append(cut_words(part.column("text")))
+                size += n
                 if size > CHUNK:
-                    yield from out()
-                    chunk, size, index, waiting = chunk + 1, 0, fresh(), 0
-                    heads, tails = heads[:0], tails[:0]
-            n = batch.num_rows
-            yield _cut_rows(n, chunk=chunks, kind=of_kind, is_text=np.ones(n, bool), doc_id=batch.column("doc_id"),
-                            held_out=batch.column("held_out"), bytes=sizes, numbers=blobs)
-        if held or done[0]:
-            yield from out()
+                    yield from rows(chunk, texts, cut)
+                    chunk, size, texts, cut = chunk + 1, 0, [], []
+        if cut:
+            yield from rows(chunk, texts, cut)
 
     return keyed.select("doc_id", "held_out", "text").mapInArrow(task, _CUT)
 
@@ -492,32 +523,42 @@ def _table(words: DataFrame, heads: DataFrame) -> Paths:
         if len(found):
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(total)], names=["slot", "n"])
 
-    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, GROUP):
-                yield batch.slice(at, GROUP)
-
-    def lasts(grams: Grams, rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def lasts(longest: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Contexts of last bytes of all orders, from the longest ones with their byte, each once."""
-        longest, n = _folded([grams.behind(rows) << np.uint64(8) | grams.data[rows]], [n])
+        longest, n = _folded([longest], [n])
         behind, data = longest >> np.uint64(8), longest & np.uint64(255)
         return _folded([last_keys(k, behind, data) for k in range(ORDER + 1)], [n] * (ORDER + 1))
 
     def of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def beginnings(keys: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            grams, _ = _head_grams(keys)
+            return _folded([grams.keys(k) for k in range(ORDER + 1, PREDICTORS)], [m[grams.word]] * 2)
+
         def parts():
-            for part in slices(batches):
-                grams = Grams(part.column("word").to_pylist(), part.column("kind").to_numpy())
-                n, short, rest = part.column("m").to_numpy()[grams.word], np.flatnonzero(grams.short), np.flatnonzero(~grams.short)
-                keys = [grams.keys(k, short) for k in range(ORDER + 1, PREDICTORS)]
-                yield lasts(grams, rest, n[rest])
-                yield _folded(keys, [n[short]] * len(keys))
+            begin, longest, held = ([], []), ([], []), 0
+            for batch in batches:
+                words = batch.column("word").to_numpy(zero_copy_only=False).tolist()
+                kinds, m = batch.column("kind").to_numpy().astype(np.int64), batch.column("m").to_numpy()
+                row, windows = windows_of(words)
+                for part, new in zip((*begin, *longest), (*_folded([kinds << 2 * 8 * HEAD + 2 | ends_of(words)[0]], [m]), windows, m[row])):
+                    part.append(new)
+                held += len(words) + len(windows)
+                if held > PIECE:
+                    yield lasts(*map(np.concatenate, longest))
+                    yield beginnings(*_folded(*begin))
+                    begin, longest, held = ([], []), ([], []), 0
+            if held:
+                yield lasts(*map(np.concatenate, longest))
+                yield beginnings(*_folded(*begin))
         return folded(parts())
 
     def of_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parts():
-            for part in slices(batches):
-                grams, rows = _head_grams(part.column("head_key").to_numpy())
-                yield lasts(grams, rows, part.column("m").to_numpy())
+            for batch in batches:
+                for at in range(0, batch.num_rows, GROUP):
+                    part = batch.slice(at, GROUP)
+                    grams, rows = _head_grams(part.column("head_key").to_numpy())
+                    yield lasts(grams.behind(rows) << np.uint64(8) | grams.data[rows], part.column("m").to_numpy())
         return folded(parts())
 
     slots = words.where("m > 0").select("kind", "word", "m").mapInArrow(of_words, schema).unionByName(
@@ -579,8 +620,8 @@ def _dealt(words: DataFrame, tasks: int, *columns: str) -> DataFrame:
     return dealt.repartition(tasks, F.substring("word", 1, HEAD)).sortWithinPartitions("word", "kind")
 
 
-def _adapted(words: DataFrame, heads: DataFrame, tasks: int, table: Paths) -> tuple[tuple, tuple]:
-    """Weights and refinement after online steps over all training bytes: those of a word's first bytes and of later ones."""
+def _learnt(words: DataFrame, heads: DataFrame, tasks: int, table: Paths) -> tuple[pa.Table, int]:
+    """Sums of what the tasks' online steps over all training bytes lead to, and the number of distinct training words."""
 
     def learn(mixer: Mixer, sofar: list, counts: Counts, grams: Grams, rows: np.ndarray, m: np.ndarray) -> None:
         at, back = grams.nodes(rows)
@@ -602,11 +643,12 @@ def _adapted(words: DataFrame, heads: DataFrame, tasks: int, table: Paths) -> tu
                 [pa.array(np.full(len(values), later)), pa.array(np.arange(len(values))), pa.array(values)], names=["later", "at", "value"])
 
     def by_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, sofar = Mixer(), [0, 0.0, 0]
+        mixer, sofar, types = Mixer(), [0, 0.0, 0], 0
         for group in _groups(batches):
             words, kinds, m, _, _ = _units(group)
-            grams = Grams(words, kinds)
+            grams, types = Grams(words, kinds), types + len(set(words))
             learn(mixer, sofar, Counts(grams, m, table), grams, np.flatnonzero(~grams.short), np.sqrt(m))
+        yield pa.RecordBatch.from_arrays([pa.array([True]), pa.array([-1]), pa.array([float(types)])], names=["later", "at", "value"])
         yield from result(sofar, True)
 
     def by_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -619,7 +661,13 @@ def _adapted(words: DataFrame, heads: DataFrame, tasks: int, table: Paths) -> tu
     schema = "later boolean, at long, value double"
     values = _dealt(words.where("m > 0"), tasks).mapInArrow(by_words, schema).unionByName(
         heads.select("head_key", "m").mapInArrow(by_heads, schema)).groupBy("later", "at").agg(F.sum("value").alias("value")).orderBy("at").toArrow()
-    part, values = (values.column(c).to_numpy(zero_copy_only=False) for c in ("later", "value"))
+    types = values.filter(pc.less(values.column("at"), 0)).column("value").to_pylist()
+    return values.filter(pc.greater_equal(values.column("at"), 0)), int(types[0]) if types else 0
+
+
+def _adapted(learnt: pa.Table) -> tuple[tuple, tuple]:
+    """Averages of weights and refinement over the tasks: for a word's first bytes and for later ones."""
+    part, values = (learnt.column(c).to_numpy(zero_copy_only=False) for c in ("later", "value"))
     cut = GATES * PREDICTORS
     first, later = (v[:-1] / v[-1] if len(v) and v[-1] > 0 else None for v in (values[~part], values[part]))
     return tuple((None, None) if v is None else (v[:cut].reshape(-1, PREDICTORS), v[cut:].reshape(-1, STEPS)) for v in (first, later))
@@ -717,11 +765,7 @@ def scores(docs: DataFrame) -> DataFrame:
     stored = Stored(docs.sparkSession, "scoring")
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select(
         "doc_id", "text", is_held_out(FOLDS, FOLD).alias("held_out"))
-    seen = Observation()
-    counted = _word_counts(keyed).observe(seen, F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types"))
-    top = counted.orderBy(F.col("word") == F.lit(_END), F.desc("c"), "word").limit(KINDS).collect()
-    tokens, types = seen.get["tokens"] or 0, seen.get["types"] or 0
-    frequent = [bytes(r.word) for r in top if bytes(r.word) != _END]
+    frequent, tokens = _frequent(keyed)
 
     parts = stored.keep(_cut(keyed, frequent), "cut")
     texts = parts.where("is_text").select("chunk", "kind", "doc_id", "held_out", "bytes", "numbers")
@@ -733,7 +777,8 @@ def scores(docs: DataFrame) -> DataFrame:
     cost = {k: float(np.log10((shares.get(k, 0) + 1) / (whole + KINDS + 1))) for k in range(KINDS + 1)}
     tasks = -(-words.count() // SHARE) or 1
     table = _table(words, heads)
-    model = _adapted(words, heads, tasks, table)
+    learnt, types = _learnt(words, heads, tasks, table)
+    model = _adapted(learnt)
     found = _text_scores(texts, _word_scores(words, tasks, table, model), table, model, cost)
     return found.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),

@@ -221,3 +221,38 @@ def test_scores_of_words_come_packed_by_chunk(spark):
     assert sorted((c, x["kind"], x["number"]) for c, x in found) == sorted(w[:3] for w in words)
     heads, tails = scoring.ends_of([w[3] for w in words[:300]])
     assert all(x["c"] == 4 and x["head"] == heads[x["number"]] and x["tail"] == tails[x["number"]] for _, x in found)
+
+
+def test_words_of_texts():
+    texts = [" the  The\tdog\x0b\x1cé\x85 ÉA\n", None, "", " \r\n", "end", "x\x00y\x0cz"]
+    words, lengths = scoring.cut_words(pa.array(["skipped", *texts]).slice(1))
+    cut = [(t or "").encode().lower().split() for t in texts]
+    assert words.to_pylist() == [w for one in cut for w in one] and lengths.tolist() == list(map(len, cut))
+
+
+def test_windows_of_words_are_their_longest_contexts():
+    words = [w for w, _ in some_words(9, 40)[0]]
+    grams = scoring.Grams(words, np.zeros(len(words), int))
+    rows = np.flatnonzero(~grams.short)
+    word, windows = scoring.windows_of(words)
+    assert word.tolist() == grams.word[rows].tolist()
+    assert windows.tolist() == (grams.behind(rows) << np.uint64(8) | grams.data[rows]).tolist()
+
+
+def test_frequent_words_pass_on_few_words_and_are_exact(spark, monkeypatch):
+    """A frequent word that some piece left out is found all the same, as are ties; a piece passes on the words asked for only."""
+    monkeypatch.setattr(scoring, "KINDS", 2)
+    monkeypatch.setattr(scoring, "MOST", 2)
+    monkeypatch.setattr(scoring, "CHUNK", 1)  # every text is a piece
+    for texts in (["a a a b b c"] * 5, ["a a b b c"] * 3 + ["d d d d d d d"], ["a a c c b"] * 2 + ["b b b a a"], ["b a"], [None, ""], []):
+        docs = [(7 * i, t, False) for i, t in enumerate(texts)] + [(1000, "held out " * 50, True)]
+        keyed = spark.createDataFrame(docs, "doc_id long, text string, held_out boolean").coalesce(1)
+        counts = Counter(w for t in texts for w in (t or "").encode().split())
+        found = scoring._frequent(keyed)
+        assert found == (sorted(counts, key=lambda w: (-counts[w], w))[:2], sum(counts.values()) + len(texts))
+        passed = {r.word: (r.c, r.cut) for r in scoring._word_counts(keyed, 2).collect()}
+        assert sum(c for w, (c, _) in passed.items() if w is not None) <= sum(
+            sum(n for _, n in Counter((t or "").split()).most_common(2)) for t in texts)
+        for word, n in counts.items():
+            c, cut = passed.get(word, (0, 0))
+            assert c <= n <= c + passed[None][1] - cut
