@@ -86,16 +86,25 @@ def _new(keys: np.ndarray) -> np.ndarray:
 class Grams:
     """The bytes of words, each with the space behind it (the end sign has none), and the contexts that they stand in.
 
-    ``tails`` are the last three bytes ahead of the space before a word, nothing if not given; words that are not ``whole``
-    are taken as they are.
+    ``tails`` are the last three bytes ahead of the space before a word, nothing if not given.
     """
 
-    def __init__(self, words: list[bytes], kinds: np.ndarray, tails: np.ndarray | None = None, whole: bool = True):
-        bodies = [w if w == _END else w + b" " for w in words] if whole else words
-        self.sizes = np.array([len(b) for b in bodies], np.int64)
+    def __init__(self, words: list[bytes], kinds: np.ndarray, tails: np.ndarray | None = None):
+        bodies = [w if w == _END else w + b" " for w in words]
+        self._fill(np.fromiter(map(len, bodies), np.int64, len(bodies)), np.frombuffer(b"".join(bodies), np.uint8), kinds, tails)
+
+    @classmethod
+    def of_bytes(cls, sizes: np.ndarray, data: np.ndarray, kinds: np.ndarray, tails: np.ndarray | None = None) -> Grams:
+        """Those of given bytes, without more of them."""
+        grams = cls.__new__(cls)
+        grams._fill(sizes, data, kinds, tails)
+        return grams
+
+    def _fill(self, sizes: np.ndarray, data: np.ndarray, kinds: np.ndarray, tails: np.ndarray | None) -> None:
+        self.sizes = sizes
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.data = np.frombuffer(b"".join(bodies), np.uint8).astype(np.uint64)
-        self.word = np.repeat(np.arange(len(words), dtype=np.int32), self.sizes)
+        self.data = data.astype(np.uint64)
+        self.word = np.repeat(np.arange(len(sizes), dtype=np.int32), self.sizes)
         self.place = np.arange(len(self.data)) - self.starts[self.word]
         self.kind = kinds.astype(np.uint64)[self.word]
         self.tail = None if tails is None else tails.astype(np.uint64)[self.word]
@@ -168,7 +177,8 @@ class Paths:
         """(bits, key); the path of a key that was never counted ends where its byte leaves the known ones."""
         if not len(self.keys):
             return np.zeros((9, len(keys)), np.int64)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        order, at = np.argsort(keys), np.empty(len(keys), np.int64)  # keys in order are found faster
+        at[order] = np.minimum(np.searchsorted(self.keys, keys[order]), len(self.keys) - 1)
         shared = self._shared(keys, at)
         other = np.flatnonzero(shared < 8)
         if len(other):
@@ -275,8 +285,9 @@ class Counts:
     def of(self, grams: Grams, rows: np.ndarray | slice) -> list[np.ndarray]:
         """Per predictor the counts (bits, byte) of the chosen bytes."""
         short = grams.short[rows]
-        behind, data = grams.behind(rows), grams.data[rows]
-        out = [self.table.of(last_keys(k, behind, data)) for k in range(ORDER + 1)]
+        windows, back = np.unique(grams.behind(rows) << np.uint64(8) | grams.data[rows], return_inverse=True)
+        behind, data = windows >> np.uint64(8), windows & np.uint64(255)
+        out = [self.table.of(last_keys(k, behind, data)).take(back, axis=1) for k in range(ORDER + 1)]
         for k, deep in enumerate(self.deep, ORDER + 1):
             keys = grams.keys(k, rows)
             found = np.empty((9, len(keys)), np.int64)
@@ -409,10 +420,9 @@ def _head_bytes(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _head_grams(keys: np.ndarray) -> tuple[Grams, np.ndarray]:
     """The bytes of keys, and which of them are the last ones."""
-    mask = (1 << 8 * HEAD) - 1
-    heads, sizes = (keys & mask).tolist(), (keys >> 8 * HEAD & 3).tolist()
-    words = [h.to_bytes(n, "big") for h, n in zip(heads, sizes)]
-    grams = Grams(words, keys >> 2 * 8 * HEAD + 2, keys >> 8 * HEAD + 2 & mask, whole=False)
+    sizes, shifts = keys >> 8 * HEAD & 3, 8 * np.arange(HEAD - 1, -1, -1)
+    data = (keys[:, None] >> shifts & 255)[np.arange(HEAD - 1, -1, -1) < sizes[:, None]]
+    grams = Grams.of_bytes(sizes, data, keys >> 2 * 8 * HEAD + 2, keys >> 8 * HEAD + 2 & (1 << 8 * HEAD) - 1)
     return grams, grams.starts + grams.sizes - 1
 
 
@@ -568,16 +578,15 @@ def _table(words: DataFrame, heads: DataFrame) -> Paths:
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows of whole first bytes, from rows that come sorted by word; ``GROUP`` or more at a time."""
+    """Rows of whole first bytes, from rows that come sorted by a number of these; ``GROUP`` or more at a time."""
     held: list[pa.RecordBatch] = []
     rows = 0
     for batch in batches:
         if not batch.num_rows:
             continue
         if rows >= GROUP:
-            last = held[-1].column("word")[-1].as_py()[:HEAD]
-            edge = pc.index(pc.equal(pc.binary_slice(batch.column("word"), 0, HEAD), pa.scalar(last, pa.binary())), False).as_py()
-            edge = batch.num_rows if edge < 0 else edge
+            other = np.flatnonzero(batch.column("first").to_numpy() != held[-1].column("first")[-1].as_py())
+            edge = int(other[0]) if len(other) else batch.num_rows
             if edge:
                 held.append(batch.slice(0, edge))
             batch = batch.slice(edge)
@@ -592,13 +601,17 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _units(table: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(words, kinds, m) of words of a kind, and (its unit, the count of its word) of every row; rows come sorted."""
-    words, kinds, m = table.column("word").combine_chunks(), table.column("kind").to_numpy(), table.column("m").to_numpy()
-    new = np.append(True, pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False))
-    unit = new | _new(kinds)
-    starts, number = np.flatnonzero(unit), np.cumsum(new) - 1
+    """(words, kinds, m) of words of a kind in their order, and (its unit, the count of its word) of every row."""
+    words, kinds, m = table.column("word").combine_chunks().dictionary_encode(), table.column("kind").to_numpy(), table.column("m").to_numpy()
+    order = pc.array_sort_indices(words.dictionary)
+    place = np.empty(len(order), np.int64)
+    place[order.to_numpy()] = np.arange(len(order))
+    number = place[words.indices.to_numpy()]
     counts = np.bincount(number, m).astype(np.int64)[number]
-    return words.take(pa.array(starts)).to_pylist(), kinds[starts], np.add.reduceat(m, starts), np.cumsum(unit) - 1, counts
+    units, unit = np.unique(number * (KINDS + 1) + kinds, return_inverse=True)
+    number, kinds = np.divmod(units, KINDS + 1)
+    found = words.dictionary.take(order.take(pa.array(number))).to_numpy(zero_copy_only=False).tolist()
+    return found, kinds, np.bincount(unit, m).astype(np.int64), unit, counts
 
 
 def _by_piece(counts: Counts, grams: Grams, at: np.ndarray) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
@@ -615,9 +628,10 @@ def _scored(mixer: Mixer, counts: Counts, grams: Grams, rows: np.ndarray) -> np.
 
 
 def _dealt(words: DataFrame, tasks: int, *columns: str) -> DataFrame:
-    """Words dealt and sorted by their first bytes."""
-    dealt = words.select("kind", "word", "m", *columns)
-    return dealt.repartition(tasks, F.substring("word", 1, HEAD)).sortWithinPartitions("word", "kind")
+    """Words dealt by their first bytes and sorted by a number of these, which costs less than an order of words."""
+    first = F.substring("word", 1, HEAD)
+    dealt = words.select("kind", "word", "m", *columns).repartition(tasks, first)
+    return dealt.withColumn("first", F.xxhash64(first)).sortWithinPartitions("first")
 
 
 def _learnt(words: DataFrame, heads: DataFrame, tasks: int, table: Paths) -> tuple[pa.Table, int]:
@@ -743,14 +757,14 @@ def _text_scores(texts: DataFrame, known: DataFrame, table: Paths, model: tuple,
             seen.append((pairs, back.astype(np.int32), starts))
             logs = log[numbers]
             sums.append([np.add.reduceat(x, starts) for x in ((logs > 0).astype(np.int64), logs, score[kinds, numbers])])
-        keys = np.unique(np.concatenate([_head_bytes(pairs)[1] for pairs, _, _ in seen]))
+        every = np.sort(np.concatenate([pairs for pairs, _, _ in seen]))
+        every = every[_new(every)]
+        row, key = _head_bytes(every)
+        keys, of_key = np.unique(key, return_inverse=True)
         grams, rows = _head_grams(keys)
         first = _scored(Mixer(*model[0]), Counts(grams, np.zeros(len(keys)), table), grams, rows)
-        begin = []
-        for pairs, back, starts in seen:
-            row, key = _head_bytes(pairs)
-            of_pair = np.bincount(row, first[np.searchsorted(keys, key)], len(pairs))
-            begin.append(np.add.reduceat(of_pair[back], starts))
+        of_pair = np.bincount(row, first[of_key], len(every))
+        begin = [np.add.reduceat(of_pair[np.searchsorted(every, pairs)][back], starts) for pairs, back, starts in seen]
         n_known, logs, later = (np.concatenate(x) for x in zip(*sums))
         total = later + np.concatenate(begin) + np.array([cost[k] for k in range(KINDS + 1)])[of_text]
         return pa.table([
