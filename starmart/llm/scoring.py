@@ -52,7 +52,7 @@ MOST = 20_000
 #: Scored words held before they are passed on, words that a task adapts to, words that are dealt with together, bytes
 #: of one step, bytes looked up at a time (whole steps, few enough to stay near the processor), characters of a chunk, and
 #: words of texts looked at together.
-HELD, SHARE, GROUP, STEP, ROWS, CHUNK, PIECE = 200_000, 400_000, 20_000, 512, 32 * 512, 40_000_000, 1_000_000
+HELD, SHARE, GROUP, STEP, ROWS, CHUNK, PIECE = 200_000, 400_000, 20_000, 512, 32 * 512, 40_000_000, 300_000
 #: First bytes of a word that the words of all tasks know about; the contexts of last bytes of later ones lie in the word.
 HEAD = ORDER - 1
 FOLDS, FOLD = 7, 2
@@ -306,6 +306,12 @@ def kind_of(counts: Counter, frequent: dict[bytes, int]) -> int:
     return best
 
 
+def _release() -> None:
+    """Hand free memory back to the system, as workers stay for other tasks and would keep it beside theirs."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
 def cut_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The lower-cased words of all texts, one after the other, and their number in every text; none in a null text."""
     cut = pc.ascii_split_whitespace(pc.ascii_lower(texts))
@@ -347,6 +353,8 @@ def _word_counts(keyed: DataFrame, most: int | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     pa.concat_arrays([pa.nulls(1, pa.binary()), words]), pa.concat_arrays([pa.array([int(lengths.sum()) + len(lengths)]), n]),
                     pa.array(np.full(rows, limit, np.int64))], names=["word", "n", "cut"])
+        words = n = None
+        _release()
 
     counted = keyed.where(~F.col("held_out")).select("text").mapInArrow(task, "word binary, n long, cut long")
     return counted.groupBy("word").agg(F.sum("n").alias("c"), F.sum("cut").alias("cut"))
@@ -460,15 +468,16 @@ def _cut(keyed: DataFrame, frequent: list[bytes]) -> DataFrame:
     """
 
     # The frequent words have the numbers of their kinds; numbers of kinds that no word has stay free.
-    fixed = pa.array([frequent[k] if k < len(frequent) else b" %d" % k for k in range(KINDS)] + [_END], pa.binary())
+    fixed = pa.array([frequent[k] if k < len(frequent) else b" %d" % k for k in range(KINDS)] + [_END], pa.binary()).dictionary_encode()
 
-    def rows(chunk: int, texts: list[pa.Table], cut: list[tuple[pa.Array, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        numbers = pa.chunked_array([fixed, *(words for words, _ in cut)]).dictionary_encode().chunks
-        words, numbers = numbers[-1].dictionary, [n.indices.to_numpy() for n in numbers[1:]]
+    def rows(chunk: int, texts: list[pa.Table], cut: list[tuple[pa.DictionaryArray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        numbers = pa.chunked_array([fixed, *(words for words, _ in cut)]).unify_dictionaries().chunks
+        words, numbers, lengths_of = numbers[-1].dictionary, [n.indices.to_numpy() for n in numbers[1:]], [n for _, n in cut]
+        cut.clear()
         heads, tails = ends_of(words.to_numpy(zero_copy_only=False).tolist())
         texts, done, low = pa.concat_tables(texts), ([], [], [], []), 0
         width = pc.binary_length(words).to_numpy().astype(np.int64) + 1
-        for number, (_, lengths) in zip(numbers, cut):
+        for number, lengths in zip(numbers, lengths_of):
             part, low = texts.slice(low, len(lengths)), low + len(lengths)
             held_out = part.column("held_out").to_numpy()
             text = np.repeat(np.arange(len(lengths)), lengths)
@@ -491,13 +500,11 @@ def _cut(keyed: DataFrame, frequent: list[bytes]) -> DataFrame:
                 len(lengths), chunk=np.full(len(lengths), chunk), kind=kinds, is_text=np.ones(len(lengths), bool),
                 doc_id=part.column("doc_id").combine_chunks(), held_out=part.column("held_out").combine_chunks(),
                 bytes=np.add.reduceat(width[number], starts) - 1, numbers=blobs)
-        found, m = _folded(*done[:2])
-        number = found & 0xFFFFFFFF
-        yield _cut_rows(len(found), chunk=np.full(len(found), chunk), kind=found >> 32, number=number, is_text=np.zeros(len(found), bool),
-                        word=words.take(pa.array(number)), m=m)
-        keys, m = _folded(*done[2:])
-        if len(keys):
-            yield _cut_rows(len(keys), chunk=np.full(len(keys), chunk), head_key=keys, m=m, is_text=np.zeros(len(keys), bool))
+        for column, (found, m) in (("word", _folded(*done[:2])), ("head_key", _folded(*done[2:]))):
+            for low in range(0, len(found), ROWS):
+                some, number = found[low:low + ROWS], found[low:low + ROWS] & 0xFFFFFFFF
+                given = {"word": words.take(pa.array(number)), "kind": some >> 32, "number": number} if column == "word" else {column: some}
+                yield _cut_rows(len(some), chunk=np.full(len(some), chunk), is_text=np.zeros(len(some), bool), m=m[low:low + ROWS], **given)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -506,13 +513,17 @@ def _cut(keyed: DataFrame, frequent: list[bytes]) -> DataFrame:
         for batch in batches:
             for part, n in _pieces(batch):
                 texts.append(pa.Table.from_batches([part.select(["doc_id", "held_out"])]))
-                cut.append(cut_words(part.column("text")))
+                words, lengths = cut_words(part.column("text"))
+                cut.append((words.dictionary_encode(), lengths))
                 size += n
                 if size > CHUNK:
                     yield from rows(chunk, texts, cut)
+                    _release()
                     chunk, size, texts, cut = chunk + 1, 0, [], []
         if cut:
             yield from rows(chunk, texts, cut)
+        texts = cut = words = None
+        _release()
 
     return keyed.select("doc_id", "held_out", "text").mapInArrow(task, _CUT)
 
@@ -530,6 +541,7 @@ def _table(words: DataFrame, heads: DataFrame) -> Paths:
             if held > max(HELD, len(found[0])):
                 (found, total), held = ([x] for x in _folded(found, total)), 0
         found, total = _folded(found, total)
+        _release()
         if len(found):
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(total)], names=["slot", "n"])
 
@@ -663,6 +675,8 @@ def _learnt(words: DataFrame, heads: DataFrame, tasks: int, table: Paths) -> tup
             grams, types = Grams(words, kinds), types + len(set(words))
             learn(mixer, sofar, Counts(grams, m, table), grams, np.flatnonzero(~grams.short), np.sqrt(m))
         yield pa.RecordBatch.from_arrays([pa.array([True]), pa.array([-1]), pa.array([float(types)])], names=["later", "at", "value"])
+        group = grams = None
+        _release()
         yield from result(sofar, True)
 
     def by_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -670,6 +684,7 @@ def _learnt(words: DataFrame, heads: DataFrame, tasks: int, table: Paths) -> tup
         for batch in batches:
             m, (grams, rows) = batch.column("m").to_numpy(), _head_grams(batch.column("head_key").to_numpy())
             learn(mixer, sofar, Counts(grams, m, table), grams, rows, m)
+        _release()
         yield from result(sofar, False)
 
     schema = "later boolean, at long, value double"
@@ -726,6 +741,8 @@ def _word_scores(words: DataFrame, tasks: int, table: Paths, model: tuple) -> Da
                 yield out()
         if held:
             yield out()
+        group = grams = rows = None
+        _release()
 
     return _dealt(words, tasks, "chunk", "number").mapInArrow(task, "chunk long, rows binary")
 
@@ -735,13 +752,23 @@ def _text_scores(texts: DataFrame, known: DataFrame, table: Paths, model: tuple,
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, bytes long"
 
     def task(texts: pa.Table, found: pa.Table) -> pa.Table:
+        _release()
         found = [_unpacked(b.as_buffer()) for b in found.column("rows")]
         size = max(f["number"].max() for f in found) + 1
-        score, log, (heads, tails) = np.zeros((KINDS + 1, size)), np.zeros(size), np.zeros((2, size), np.int64)
+        log, (heads, tails), of_kinds = np.zeros(size), np.zeros((2, size), np.int64), np.zeros(size, np.uint32)
         for f in found:
             number = f["number"]
-            score[f["kind"], number], heads[number], tails[number] = f["score"], f["head"], f["tail"]
-            log[number] = np.log10(f["c"] + 1.0)
+            heads[number], tails[number], log[number] = f["head"], f["tail"], np.log10(f["c"] + 1.0)
+            np.bitwise_or.at(of_kinds, number, np.uint32(1) << f["kind"].astype(np.uint32))
+        # Scores stand word by word, for those kinds that a word occurs in.
+        place = np.cumsum(np.bitwise_count(of_kinds), dtype=np.int64) - np.bitwise_count(of_kinds)
+        score = np.empty(sum(map(len, found)))
+
+        def where(number: np.ndarray, kind: np.ndarray) -> np.ndarray:
+            return place[number] + np.bitwise_count(of_kinds[number] & (np.uint32(1) << kind.astype(np.uint32)) - np.uint32(1))
+
+        for f in found:
+            score[where(f["number"], f["kind"])] = f["score"]
         del found
         planes = [np.frombuffer(b.as_buffer(), np.uint8).reshape(4, -1) for b in texts.column("numbers")]
         lengths, of_text = np.array([p.shape[1] for p in planes]), texts.column("kind").to_numpy().astype(np.int64)
@@ -756,7 +783,7 @@ def _text_scores(texts: DataFrame, known: DataFrame, table: Paths, model: tuple,
             pairs, back = np.unique(_head_pairs(numbers, starts, kinds, heads, tails), return_inverse=True)
             seen.append((pairs, back.astype(np.int32), starts))
             logs = log[numbers]
-            sums.append([np.add.reduceat(x, starts) for x in ((logs > 0).astype(np.int64), logs, score[kinds, numbers])])
+            sums.append([np.add.reduceat(x, starts) for x in ((logs > 0).astype(np.int64), logs, score[where(numbers, kinds)])])
         every = np.sort(np.concatenate([pairs for pairs, _, _ in seen]))
         every = every[_new(every)]
         row, key = _head_bytes(every)

@@ -256,3 +256,11 @@ def test_frequent_words_pass_on_few_words_and_are_exact(spark, monkeypatch):
         for word, n in counts.items():
             c, cut = passed.get(word, (0, 0))
             assert c <= n <= c + passed[None][1] - cut
+
+
+def test_words_of_a_kind_from_rows_in_any_order():
+    rows = [(b"abd", 2, 3), (b"abc", 16, 0), (b"abd", 0, 1), (b"abc", 16, 5), (b"abd", 2, 4), (b"\n", 1, 2)]
+    table = pa.table({"word": pa.array([w for w, _, _ in rows], pa.binary()), "kind": pa.array([k for _, k, _ in rows], pa.int16()), "m": [m for _, _, m in rows]})
+    words, kinds, m, unit, counts = scoring._units(table)
+    assert list(zip(words, kinds.tolist(), m.tolist())) == [(b"\n", 1, 2), (b"abc", 16, 5), (b"abd", 0, 1), (b"abd", 2, 7)]
+    assert unit.tolist() == [3, 1, 2, 1, 3, 0] and counts.tolist() == [8, 5, 8, 5, 8, 2]
