@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 import random
 import zlib
 from collections import Counter
@@ -264,3 +265,80 @@ def test_words_of_a_kind_from_rows_in_any_order():
     words, kinds, m, unit, counts = scoring._units(table)
     assert list(zip(words, kinds.tolist(), m.tolist())) == [(b"\n", 1, 2), (b"abc", 16, 5), (b"abd", 0, 1), (b"abd", 2, 7)]
     assert unit.tolist() == [3, 1, 2, 1, 3, 0] and counts.tolist() == [8, 5, 8, 5, 8, 2]
+
+
+def test_paths_equal_plain_counts_and_stay_small():
+    """A key takes few bytes, as every worker holds the table of them all; counts beyond 32 bits are told."""
+    rng = np.random.default_rng(10)
+    for most in (9, 2**40):
+        keys = rng.integers(0, 60, 9000).astype(np.uint64) << np.uint64(8) | rng.integers(0, 256, 9000).astype(np.uint64)
+        keys, n = np.append(keys, np.uint64(2**63)), rng.integers(0, most, 9001)
+        paths = pickle.loads(pickle.dumps(scoring.Paths(keys, n)))
+        asked = np.append(rng.integers(0, 64, 500) << 8 | rng.integers(0, 256, 500), 7 << 8).astype(np.uint64)
+        found = paths.of(asked)
+        for bits in range(9):
+            shift = np.uint64(8 - bits)
+            assert found[bits].tolist() == [int(n[keys >> shift == key >> shift].sum()) for key in asked]
+        assert paths.keys.nbytes + paths.ahead.nbytes + paths.spans.nbytes <= (28 + 4 * (most > 9)) * len(paths.keys) + 8
+
+
+def crowded_words():
+    """Many words with the same first bytes, one of them in many chunks."""
+    rng = random.Random(11)
+    words = [("und" + "".join(rng.choice("abé") for _ in range(rng.randint(0, 6)))).encode() for _ in range(300)] + [b"und", b"andere", b"\n", b"u"]
+    return [(c, rng.choice([1, 16]), n, w, rng.randint(0, 2)) for n, w in enumerate(words) for c in range(2)] + [(c, 1, 300, b"und", 1) for c in range(2, 40)]
+
+
+def test_crowds_of_words_are_dealt_by_more_bytes(spark, monkeypatch):
+    """A task needs no more words at a time than those that share as many bytes as leave few; what one word has stays together."""
+    monkeypatch.setattr(scoring, "CROWD", 25)
+    rows = crowded_words()
+    frame = spark.createDataFrame(rows, "chunk long, kind short, number int, word binary, m long").repartition(5)
+    n, crowds = scoring._crowds(frame)
+    beginnings = Counter(w[:k] for *_, w, _ in rows for k in range(scoring.HEAD, len(w) + 1))
+    assert n == len(rows) and {k: len(v) for k, v in crowds.items()} == Counter(len(b) for b, n in beginnings.items() if n > 25)
+    dealt = scoring._dealt(frame.withColumn("depth", scoring._depth(crowds)), 7).select("first", "word", "depth", "kind", "m").collect()
+    assert sorted((r.kind, bytes(r.word), r.m) for r in dealt) == sorted((k, w, m) for _, k, _, w, m in rows)
+    groups = {}
+    for r in dealt:
+        groups.setdefault(r.first, []).append((bytes(r.word), r.depth))
+    assert all(len(g) <= 25 or len({w for w, _ in g}) == 1 for g in groups.values())
+    assert len({(r.word[:r.depth]) for r in dealt}) == len(groups)
+    assert all(len({(w[:d], d) for w, d in g}) == 1 for g in groups.values())
+
+
+def test_scores_of_crowds_equal_those_of_words_held_together(spark, monkeypatch):
+    """Counts of bytes that several groups of words share come from the table, and lead to the same scores."""
+    rng, mixers = random.Random(12), (some_mixer(13), some_mixer(14))
+    monkeypatch.setattr(scoring, "_adapted", lambda *args: tuple((m.weights, m.refined) for m in mixers))
+    words = [w.decode() for *_, w, _ in crowded_words() if w != b"\n"]
+    docs = table(spark, [(i, " ".join(rng.choice(words) for _ in range(40))) for i in range(60)]).repartition(3)
+
+    def found():
+        return {r.doc_id: (r.score, r.base_score, r.n_known) for r in scoring.scores(docs).collect()}
+
+    together = found()
+    for name in ("CROWD", "CROWD_BYTES"):
+        monkeypatch.setattr(scoring, name, 9)
+        assert found() == {i: pytest.approx(v) for i, v in together.items()}
+        monkeypatch.undo()
+        monkeypatch.setattr(scoring, "_adapted", lambda *args: tuple((m.weights, m.refined) for m in mixers))
+
+
+def test_groups_of_words_are_whole_and_cut_where_words_are_long(monkeypatch):
+    monkeypatch.setattr(scoring, "CROWD_BYTES", 1000)
+    first = np.repeat([5, 7, 9, 11], [3, 1, 4, 2])
+    for size, most in ((10, 10), (400, 6)):
+        batch = pa.RecordBatch.from_arrays([pa.array(first), pa.array([b"x" * size] * 10)], names=["first", "word"])
+        groups = [g.column("first").to_pylist() for g in scoring._groups(iter([batch.slice(0, 6), batch.slice(6, 0), batch.slice(6)]))]
+        assert sum(groups, []) == first.tolist() and max(map(len, groups)) <= most
+        assert all(not set(a) & set(b) for a, b in zip(groups, groups[1:]))
+
+
+def test_chunks_have_texts_and_words_of_one_kind(spark):
+    docs = [(i, f"{w} {w} other", False) for i, w in enumerate(["the", "der"] * 4)]
+    rows = scoring._cut(spark.createDataFrame(docs, "doc_id long, text string, held_out boolean").coalesce(1), [b"the", b"der"])
+    kinds = {}
+    for r in rows.where("chunk is not null").collect():
+        kinds.setdefault(r.chunk, set()).add(r.kind)
+    assert sorted(map(list, kinds.values())) == [[0], [1]]
